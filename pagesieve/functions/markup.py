@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import decode_entities, squeeze, strip
+from .text import decode_entities, let, squeeze, strip
 
 _ALL = 2**30  # length for slice(): "to the end"
 
@@ -48,7 +48,10 @@ def _attribute_pattern(name: str) -> str:
 def attribute(tag: Column, name: str) -> Column:
     """Attribute value, null when the attribute is missing."""
     raw = F.regexp_extract(tag, _attribute_pattern(name), 1)
-    return F.when(raw != "", decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", "")))
+    return let(
+        raw,
+        lambda v: F.when(v != "", decode_entities(F.regexp_replace(v, r"""^["']|["']$""", ""))),
+    )
 
 
 def anchors(d: Column) -> Column:
@@ -57,18 +60,21 @@ def anchors(d: Column) -> Column:
     ``no`` counts all anchor tags (also those without href) from 0.
     """
     def cut(piece: Column, i: Column) -> Column:
-        return F.struct(
-            i.alias("no"),
-            F.regexp_extract(piece, r"^([^>]*)>", 1).alias("tag"),
-            F.element_at(
-                F.split(F.regexp_extract(piece, r"(?s)^[^>]*>(.*)$", 1), r"(?i)</a\s*>", 2), 1
-            ).alias("inner"),
+        inner = F.split(F.regexp_extract(piece, r"(?s)^[^>]*>(.*)$", 1), r"(?i)</a\s*>", 2)
+        return let(
+            F.regexp_extract(piece, r"^([^>]*)>", 1),
+            lambda tag: F.struct(
+                i.alias("no"),
+                tag.alias("tag"),
+                attribute(tag, "href").alias("href"),
+                F.element_at(inner, 1).alias("inner"),
+            ),
         )
 
     def parse(a: Column) -> Column:
         return F.struct(
             a["no"].alias("no"),
-            attribute(a["tag"], "href").alias("href"),
+            a["href"].alias("href"),
             F.coalesce(attribute(a["tag"], "rel"), F.lit("")).alias("rel"),
             F.coalesce(attribute(a["tag"], "class"), F.lit("")).alias("cls"),
             F.coalesce(attribute(a["tag"], "id"), F.lit("")).alias("id"),
@@ -76,7 +82,8 @@ def anchors(d: Column) -> Column:
         )
 
     pieces = F.slice(F.split(d, r"(?i)<a\s"), 2, _ALL)
-    return F.filter(F.transform(F.transform(pieces, cut), parse), lambda a: a["href"].isNotNull())
+    linked = F.filter(F.transform(pieces, cut), lambda a: a["href"].isNotNull())
+    return F.transform(linked, parse)
 
 
 def page_title(d: Column) -> Column:
@@ -96,16 +103,21 @@ def link_text(a: Column) -> Column:
     return F.lower(F.array_join(a["texts"], " "))
 
 
-def own_paging_tests(a: Column, squeezed: bool = False) -> list[tuple[Column, Column]]:
-    """(test, label) pairs that make one anchor look like a next-page link."""
+def paging_labels(a: Column, squeezed: bool = False) -> Column:
+    """Labels of the tests by which one anchor looks like a next-page link."""
     text = squeeze(link_text(a)) if squeezed else link_text(a)
     rel = F.split(F.lower(squeeze(a["rel"])), " ")
-    return [
-        (F.array_contains(rel, "next"), F.lit(fixed.SIGNAL_REL)),
-        (text.isin(fixed.NEXT_TEXTS), F.concat(F.lit(fixed.SIGNAL_TEXT), text)),
-        (a["href"].rlike(fixed.PAGING_HREF), F.lit(fixed.SIGNAL_HREF)),
-        (_is_paging(a["cls"]) | _is_paging(a["id"]), F.lit(fixed.SIGNAL_ANCHOR)),
-    ]
+    return F.array_compact(
+        F.array(
+            F.when(F.array_contains(rel, "next"), fixed.SIGNAL_REL),
+            let(
+                text,
+                lambda t: F.when(t.isin(fixed.NEXT_TEXTS), F.concat(F.lit(fixed.SIGNAL_TEXT), t)),
+            ),
+            F.when(a["href"].rlike(fixed.PAGING_HREF), fixed.SIGNAL_HREF),
+            F.when(_is_paging(a["cls"]) | _is_paging(a["id"]), fixed.SIGNAL_ANCHOR),
+        )
+    )
 
 
 def has_paging_element(d: Column) -> Column:

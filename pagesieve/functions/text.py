@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from . import fixed
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Inside lambdas there is no common-subexpression elimination; a one-element
+    array binds the value instead of repeating its expression.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim every Unicode white space character at both ends."""
     return F.btrim(c, F.lit(fixed.WS_CHARS))
@@ -34,19 +43,25 @@ def decode_entities(c: Column) -> Column:
     """
     def piece(p: Column, i: Column) -> Column:
         name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);", 1)
-        rest = F.substr(p, F.length(name) + 2)
+        return F.when(i == 0, p).otherwise(let(name, lambda n: one(p, n)))
+
+    def one(p: Column, name: Column) -> Column:
         number = F.when(
             F.lower(F.left(name, F.lit(2))) == "#x", F.conv(F.substr(name, F.lit(3)), 16, 10)
-        ).when(F.left(name, F.lit(1)) == "#", F.substr(name, F.lit(2)))
+        ).otherwise(F.substr(name, F.lit(2)))
         point = F.lpad(F.hex(number.cast("long")), 8, "0")
-        out = F.when(i == 0, p).when(name == "", F.concat(F.lit("&"), p))
-        for key, char in fixed.ENTITIES.items():
-            out = out.when(name == key, F.concat(F.lit(char), rest))
-        out = out.when(number.isNotNull(), F.concat(F.decode(F.unhex(point), "UTF-32"), rest))
-        return out.otherwise(F.concat(F.lit("&"), p))
-
-    decoded = F.array_join(F.transform(F.split(c, "&"), piece), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+        char = F.lit(None).cast("string")
+        for key, value in fixed.ENTITIES.items():
+            char = F.when(name == key, F.lit(value)).otherwise(char)
+        char = F.when(F.startswith(name, F.lit("#")), F.decode(F.unhex(point), "UTF-32")).otherwise(char)
+        return F.coalesce(
+            F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)
+        )
+
+    def decoded(text: Column) -> Column:
+        return F.array_join(F.transform(F.split(text, "&"), piece), "")
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def first_of(values: list[str], test) -> Column:

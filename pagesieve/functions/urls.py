@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 
 
@@ -55,41 +57,68 @@ def base_parts(u: Column) -> Column:
 
 def _without_dots(p: Column) -> Column:
     """Fold '.' and '..' segments; only paths that contain some pay for it."""
-    segments = F.split(p, "/")
-    folded = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
-        .when(s == ".", kept)
-        .otherwise(F.concat(kept, F.array(s))),
-    )
-    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
-        F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+
+    def fold(segments: Column) -> Column:
+        kept = F.aggregate(
+            segments,
+            none,
+            lambda kept, s: F.when(
+                s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+            )
+            .when(s == ".", kept)
+            .otherwise(F.concat(kept, F.array(s))),
+        )
+        tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+        joined = F.array_join(F.concat(kept, tail), "/")
+        return F.regexp_replace(joined, "^(?!/)", "/")
+
+    return let(
+        p,
+        lambda v: F.when(v.rlike(r"(?:^|/)\.\.?(?:/|$)"), let(F.split(v, "/"), fold)).otherwise(v),
     )
-    joined = F.array_join(F.concat(folded, tail), "/")
-    rooted = F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
-    return F.when(p.rlike(r"(?:^|/)\.\.?(?:/|$)"), rooted).otherwise(p)
 
 
 def resolve(base: Column, ref: Column) -> Column:
     """Absolute form of ``ref`` on a page whose ``base_parts`` are given."""
-    ref_scheme = scheme(ref)
-    rest = F.when(ref_scheme == "", ref).otherwise(F.substr(ref, F.length(ref_scheme) + 2))
-    host = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
-    p = F.regexp_extract(rest, r"^(?://[^/?#]*)?([^?#]*)", 1)
-    q, frag = query(rest), fragment(rest)
     site = F.concat(base["scheme"], F.lit("://"), base["netloc"])
-    slash = F.when((p == "") | F.startswith(p, F.lit("/")), F.lit("")).otherwise(F.lit("/"))
-    folder = F.regexp_extract(base["path"], r"^(.*/)", 1)
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    relative = F.regexp_replace(F.concat(folder, p), "/{2,}", "/")
-    return (
-        F.when(ref == "", base["full"])
-        .when((ref_scheme != "") & (ref_scheme != base["scheme"]), ref)
-        .when(host != "", F.concat(base["scheme"], F.lit("://"), host, slash, p, q, frag))
-        .when(p == "", F.concat(site, base["path"], F.when(q == "", base["query"]).otherwise(q), frag))
-        .when(F.startswith(p, F.lit("/")), F.concat(site, _without_dots(p), q, frag))
-        .otherwise(F.concat(site, _without_dots(relative), q, frag))
+    folder = F.concat(F.regexp_extract(base["path"], r"^(.*)/", 1), F.lit("/"))
+
+    def split_ref(r: Column) -> Column:
+        s = r["scheme"]
+        rest = F.when(s == "", r["ref"]).otherwise(F.substr(r["ref"], F.length(s) + 2))
+        return let(
+            rest,
+            lambda v: F.struct(
+                r["ref"].alias("ref"),
+                s.alias("scheme"),
+                F.regexp_extract(v, r"^//([^/?#]*)", 1).alias("host"),
+                F.regexp_extract(v, r"^(?://[^/?#]*)?([^?#]*)", 1).alias("path"),
+                query(v).alias("query"),
+                fragment(v).alias("fragment"),
+            ),
+        )
+
+    def join(r: Column) -> Column:
+        p, q, frag = r["path"], r["query"], r["fragment"]
+        slash = F.when((p == "") | F.startswith(p, F.lit("/")), F.lit("")).otherwise(F.lit("/"))
+        whole = F.when(F.startswith(p, F.lit("/")), p).otherwise(
+            F.regexp_replace(F.concat(folder, p), "/{2,}", "/")
+        )
+        return (
+            F.when((r["scheme"] != "") & (r["scheme"] != base["scheme"]), r["ref"])
+            .when(
+                r["host"] != "",
+                F.concat(base["scheme"], F.lit("://"), r["host"], slash, p, q, frag),
+            )
+            .when(p == "", F.concat(site, base["path"], F.when(q == "", base["query"]).otherwise(q), frag))
+            .otherwise(F.concat(site, _without_dots(whole), q, frag))
+        )
+
+    parsed = let(ref, lambda v: F.struct(v.alias("ref"), scheme(v).alias("scheme")))
+    return let(
+        parsed,
+        lambda r: F.when(r["ref"] == "", base["full"]).otherwise(let(split_ref(r), join)),
     )
 
 

@@ -18,20 +18,22 @@ def next_page_links(pages: DataFrame) -> DataFrame:
     Needs url, dom, anchors. Only pages with a paging class or id somewhere go
     to the Arrow helper, which tells the anchors inside such an element.
     """
-    pages = pages.withColumn(
-        "_paging_page", F.when(markup.has_paging_element(F.col("dom")), F.col("dom"))
+    pages = pages.withColumns(
+        {
+            "_paging_page": F.when(markup.has_paging_element(F.col("dom")), F.col("dom")),
+            "_base": urls.base_parts(F.col("url")),
+        }
     )
     pages = pages.withColumn("_ranges", trees.paging_ranges("_paging_page"))
-    pages = pages.withColumn("_base", urls.base_parts(F.col("url")))
     base, host = F.col("_base"), F.lower(F.col("_base")["netloc"])
 
     def is_next(a: Column) -> Column:
-        own = [test for test, _ in markup.own_paging_tests(a, squeezed=True)]
+        own = F.size(markup.paging_labels(a, squeezed=True)) > 0
         inside = F.exists(
             F.coalesce("_ranges", F.array().cast("array<struct<first:int,last:int>>")),
             lambda r: (r["first"] <= a["no"]) & (a["no"] <= r["last"]),
         )
-        return own[0] | own[1] | own[2] | own[3] | inside
+        return own | inside
 
     targets = F.transform(
         F.filter("anchors", is_next), lambda a: urls.resolve(base, strip(a["href"]))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, trees, urls
-from ..functions.text import squeeze, strip
+from ..functions.text import let, squeeze, strip
 from .policy import normalised
 from .profile import blocked_status
 from .routing import parses_as_json
@@ -91,10 +91,7 @@ def _first_classed(card: Column, name: str) -> Column:
 
 def card_title(card: Column) -> Column:
     found = [_first_inner(card, t) for t in ("h1", "h2", "h3", "a")] + [_first_classed(card, "title")]
-    out = F.lit("")
-    for text in reversed(found):
-        out = F.when(text != "", text).otherwise(out)
-    return out
+    return F.coalesce(*[F.nullif(text, F.lit("")) for text in found], F.lit(""))
 
 
 def card_href(card: Column) -> Column:
@@ -105,14 +102,16 @@ def card_href(card: Column) -> Column:
 
 
 def card_url(card: Column, base: Column) -> Column:
-    href = card_href(card)
-    return F.when(usable_href(href), urls.resolve(base, href)).otherwise(F.lit(""))
+    return let(
+        card_href(card),
+        lambda href: F.when(usable_href(href), urls.resolve(base, href)).otherwise(F.lit("")),
+    )
 
 
 def card_price(card: Column) -> Column:
     marked = _first_classed(card, "price")
     found = squeeze(F.regexp_extract(markup.joined_text(card), fixed.CARD_PRICE, 0))
-    return F.when(marked != "", marked).otherwise(found)
+    return F.coalesce(F.nullif(marked, F.lit("")), found)
 
 
 def _first_per_key(df: DataFrame, column: str) -> DataFrame:

@@ -41,28 +41,21 @@ def body_bytes(body: Column) -> Column:
     return F.octet_length(body)
 
 
-def pagination_signals(anchors: Column, dom: Column) -> Column:
+def anchor_labels(anchors: Column) -> Column:
+    """Paging labels of each anchor: array of arrays, in document order."""
+    return F.transform(anchors, lambda a: markup.paging_labels(a))
+
+
+def pagination_signals(labels: Column, dom: Column) -> Column:
     """Distinct labels in first-seen order; the element label comes last."""
-    per_anchor = F.flatten(
-        F.transform(
-            anchors,
-            lambda a: F.array_compact(
-                F.array(*[F.when(t, label) for t, label in markup.own_paging_tests(a)])
-            ),
-        )
-    )
     element = F.when(
         markup.has_paging_element(dom), F.array(F.lit(fixed.SIGNAL_ELEMENT))
     ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(per_anchor, element))
-
+    return F.array_distinct(F.concat(F.flatten(labels), element))
 
-def next_page_count(anchors: Column) -> Column:
-    def any_test(a: Column) -> Column:
-        (r, _), (t, _), (h, _), (c, _) = markup.own_paging_tests(a)
-        return r | t | h | c
 
-    return F.size(F.filter(anchors, any_test))
+def next_page_count(labels: Column) -> Column:
+    return F.size(F.filter(labels, lambda one: F.size(one) > 0))
 
 
 def price_count(text: Column) -> Column:
@@ -105,63 +98,68 @@ def source_profile(captures: DataFrame, keep_page_columns: bool = False) -> Data
     Only HTML that is not status-blocked is taken apart; other rows carry null
     markup through the same expressions, which then cost nothing.
     """
-    flags = content_flags(F.col("content_type"))
     reached = F.col("error").isNull()
-    looked_at = reached & ~F.col("_stop")
-    df = (
-        captures.withColumnRenamed("status", "status_code")
-        .withColumn("content_type", F.when(reached, F.lower("content_type")))
-        .withColumn("_stop", blocked_status(F.col("status_code")))
-        .withColumn("status_code", F.when(reached, F.col("status_code")))
-        .withColumn("html_size", F.when(reached, body_bytes(F.col("body"))))
+    stop = blocked_status(F.col("status_code"))
+    flags = {
+        name: F.when(reached, flag & ~stop)
+        for name, flag in content_flags(F.col("content_type")).items()
+    }
+    df = captures.withColumnRenamed("status", "status_code").withColumns(
+        {
+            "status_code": F.when(reached, F.col("status_code")),
+            "content_type": F.when(reached, F.lower("content_type")),
+            "html_size": F.when(reached, body_bytes(F.col("body"))),
+            **flags,
+            "html": F.when(flags["is_html"], F.col("body")),
+            "profile_error": F.when(
+                ~reached,
+                F.concat(F.lit("Network error while profiling "), F.col("url"), F.lit(": "), F.col("error")),
+            ),
+        }
     )
-    for name, flag in flags.items():
-        df = df.withColumn(name, F.when(reached, flag & ~F.col("_stop")))
-    df = df.withColumn("html", F.when(looked_at & F.col("is_html"), F.col("body")))
     df = markup.with_page_columns(df, "html")
     dom, anchors, text = F.col("dom"), F.col("anchors"), F.col("text")
-
-    def measured(c: Column, empty) -> Column:
-        return F.when(reached, F.coalesce(c, empty))
-
-    no_names = F.array().cast("array<string>")
-    df = (
-        df.withColumn("link_count", measured(F.when(anchors.isNotNull(), F.size(anchors)), F.lit(0)))
-        .withColumn("title_candidates_count", measured(markup.heading_count(dom), F.lit(0)))
-        .withColumn("price_candidates_count", measured(price_count(text), F.lit(0)))
-        .withColumn(
-            "js_heavy",
-            measured(F.when(dom.isNotNull(), js_heavy(markup.script_elements(F.col("html")), text)), F.lit(False)),
-        )
-        .withColumn("pagination_signals", measured(pagination_signals(anchors, dom), no_names))
-        .withColumn(
-            "next_page_candidates_count",
-            measured(F.when(anchors.isNotNull(), next_page_count(anchors)), F.lit(0)),
-        )
-        .withColumn("_title_seen", F.coalesce(title_evidence(dom, anchors), F.lit(False)))
-        .withColumn("_low_text", F.lower(text))
+    df = df.withColumns(
+        {
+            "_labels": anchor_labels(anchors),
+            "_scripts": markup.script_elements(F.col("html")),
+            "_title_seen": title_evidence(dom, anchors),
+            "_low_text": F.lower(text),
+            "_headings": markup.heading_count(dom),
+            "_prices": price_count(text),
+        }
     )
+    labels = F.col("_labels")
     seen = {
         "title": F.col("_title_seen"),
-        "url": F.col("link_count") > 0,
-        "price": F.col("price_candidates_count") > 0,
+        "url": F.size(anchors) > 0,
+        "price": F.col("_prices") > 0,
         "availability": availability_evidence(text),
     }
-    hits = F.when(dom.isNotNull(), field_hits(F.col("fields"), F.col("_low_text"), seen))
-    df = (
-        df.withColumn("visible_field_hits", measured(hits, no_names))
-        .withColumn("has_pagination", F.when(reached, F.size("pagination_signals") > 0))
-        .withColumn("pagination_detected", F.col("has_pagination"))
-        .withColumn("data_visible_in_html", F.when(reached, F.size("visible_field_hits") > 0))
-        .withColumn(
-            "profile_error",
-            F.when(
-                ~reached,
-                F.concat(F.lit("Network error while profiling "), F.col("url"), F.lit(": "), F.col("error")),
-            ),
-        )
-        .drop("_stop", "_title_seen", "_low_text")
+
+    def measured(c: Column, empty) -> Column:
+        """Zero, false or empty for reached responses that are no HTML."""
+        return F.when(reached, F.when(dom.isNotNull(), c).otherwise(empty))
+
+    no_names = F.array().cast("array<string>")
+    df = df.withColumns(
+        {
+            "link_count": measured(F.size(anchors), F.lit(0)),
+            "title_candidates_count": measured(F.col("_headings"), F.lit(0)),
+            "price_candidates_count": measured(F.col("_prices"), F.lit(0)),
+            "js_heavy": measured(js_heavy(F.col("_scripts"), text), F.lit(False)),
+            "pagination_signals": measured(pagination_signals(labels, dom), no_names),
+            "next_page_candidates_count": measured(next_page_count(labels), F.lit(0)),
+            "visible_field_hits": measured(field_hits(F.col("fields"), F.col("_low_text"), seen), no_names),
+        }
     )
+    df = df.withColumns(
+        {
+            "has_pagination": F.when(reached, F.size("pagination_signals") > 0),
+            "pagination_detected": F.when(reached, F.size("pagination_signals") > 0),
+            "data_visible_in_html": F.when(reached, F.size("visible_field_hits") > 0),
+        }
+    ).drop("_labels", "_scripts", "_title_seen", "_low_text", "_headings", "_prices")
     return df if keep_page_columns else df.drop("html", "dom", "anchors", "text")
 
 

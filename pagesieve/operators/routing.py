@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, urls
 from ..functions.text import any_of, first_of, strip
+from .profile import anchor_labels, next_page_count, pagination_signals
 
 STRATEGIES = list(fixed.STRATEGY_REASON)
 ROUTES = [
@@ -95,66 +96,68 @@ def router_js_heavy(scripts: Column, text_length: Column) -> Column:
 def html_signals(df: DataFrame, html: str = "html") -> DataFrame:
     """Add the 11 content signals of the router."""
     source = F.col(html)
-    df = (
-        df.withColumn("html_provided", source.isNotNull())
-        .withColumn("html_length", F.coalesce(F.length(source), F.lit(0)))
-        .withColumn("_low", F.lower(source))
-        .withColumn("blocked_pattern", blocked_pattern(F.col("_low")))
-        .withColumn("json_like_content", looks_like_json(source))
-        .withColumn("xml_like_content", ~F.col("json_like_content") & looks_like_xml(source))
+    df = df.withColumns(
+        {
+            "html_provided": source.isNotNull(),
+            "html_length": F.coalesce(F.length(source), F.lit(0)),
+            "_low": F.lower(source),
+            "json_like_content": looks_like_json(source),
+            "_xml_like": looks_like_xml(source),
+        }
     )
-    parsed = F.when(~F.col("json_like_content") & ~F.col("xml_like_content"), source)
-    df = df.withColumn("_html", parsed).withColumn("_dom", markup.dom(F.col("_html")))
-    df = (
-        df.withColumn("_anchors", markup.anchors(F.col("_dom")))
-        .withColumn("_bare", markup.without_noscript(F.col("_dom")))
-        .withColumn("_bare_text", markup.joined_text(F.col("_bare")))
+    markup_only = ~F.col("json_like_content") & ~F.col("_xml_like")
+    df = df.withColumns(
+        {
+            "blocked_pattern": blocked_pattern(F.col("_low")),
+            "xml_like_content": ~F.col("json_like_content") & F.col("_xml_like"),
+            "_html": F.when(markup_only, source),
+            "_dom": markup.dom(F.when(markup_only, source)),
+        }
+    )
+    df = df.withColumns(
+        {"_anchors": markup.anchors(F.col("_dom")), "_bare": markup.without_noscript(F.col("_dom"))}
     )
-    from .profile import next_page_count, pagination_signals
-
     anchors, bare = F.col("_anchors"), F.col("_bare")
     bare_anchors = F.when(
-        F.contains(F.lower("_dom"), F.lit("<noscript")), F.size(markup.anchors(bare))
+        F.contains(F.col("_low"), F.lit("<noscript")), F.size(markup.anchors(bare))
     ).otherwise(F.size(anchors))
-    df = (
-        df.withColumn(
-            "script_count", F.coalesce(F.regexp_count("_html", F.lit(r"(?i)<script\b")), F.lit(0))
-        )
-        .withColumn("visible_text_length", F.coalesce(F.length("_bare_text"), F.lit(0)))
-        .withColumn(
-            "target_like_structure_count",
-            F.coalesce(markup.structure_count(bare, bare_anchors), F.lit(0)),
-        )
-        .withColumn(
-            "html_pagination_signals",
-            F.coalesce(pagination_signals(anchors, F.col("_dom")), F.array().cast("array<string>")),
-        )
-        .withColumn("html_has_pagination", F.size("html_pagination_signals") > 0)
-        .withColumn(
-            "html_next_page_candidates_count",
-            F.when(anchors.isNotNull(), next_page_count(anchors)).otherwise(0),
-        )
+    df = df.withColumns({"_labels": anchor_labels(anchors), "_bare_text": markup.joined_text(bare)})
+
+    def counted(c: Column) -> Column:
+        return F.when(F.col("_dom").isNotNull(), c).otherwise(0)
+
+    df = df.withColumns(
+        {
+            "script_count": counted(F.regexp_count("_html", F.lit(r"(?i)<script\b"))),
+            "visible_text_length": counted(F.length("_bare_text")),
+            "target_like_structure_count": counted(markup.structure_count(bare, bare_anchors)),
+            "html_pagination_signals": F.coalesce(
+                pagination_signals(F.col("_labels"), F.col("_dom")), F.array().cast("array<string>")
+            ),
+            "html_next_page_candidates_count": counted(next_page_count(F.col("_labels"))),
+        }
+    ).withColumn("html_has_pagination", F.size("html_pagination_signals") > 0)
+    return df.drop(
+        "_low", "_xml_like", "_html", "_dom", "_anchors", "_labels", "_bare", "_bare_text"
     )
-    return df.drop("_low", "_html", "_dom", "_anchors", "_bare", "_bare_text")
 
 
 def metadata_signals(df: DataFrame) -> DataFrame:
     """Profile columns with the router's defaults, prefixed ``meta_``."""
     names = F.array().cast("array<string>")
-    return (
-        df.withColumn("meta_content_type", F.coalesce("content_type", F.lit("")))
-        .withColumn("meta_is_json", _true(F.col("is_json")))
-        .withColumn("meta_is_xml", _true(F.col("is_xml")))
-        .withColumn("meta_is_html", _true(F.col("is_html")))
-        .withColumn("meta_js_heavy", _true(F.col("js_heavy")))
-        .withColumn("meta_data_visible", _true(F.col("data_visible_in_html")))
-        .withColumn(
-            "meta_has_pagination",
-            _true(F.col("has_pagination")) | _true(F.col("pagination_detected")),
-        )
-        .withColumn("meta_pagination_signals", F.coalesce("pagination_signals", names))
-        .withColumn("meta_next_page_candidates", F.coalesce("next_page_candidates_count", F.lit(0)))
-        .withColumn("meta_field_hits", F.coalesce("visible_field_hits", names))
+    return df.withColumns(
+        {
+            "meta_content_type": F.coalesce("content_type", F.lit("")),
+            "meta_is_json": _true(F.col("is_json")),
+            "meta_is_xml": _true(F.col("is_xml")),
+            "meta_is_html": _true(F.col("is_html")),
+            "meta_js_heavy": _true(F.col("js_heavy")),
+            "meta_data_visible": _true(F.col("data_visible_in_html")),
+            "meta_has_pagination": _true(F.col("has_pagination")) | _true(F.col("pagination_detected")),
+            "meta_pagination_signals": F.coalesce("pagination_signals", names),
+            "meta_next_page_candidates": F.coalesce("next_page_candidates_count", F.lit(0)),
+            "meta_field_hits": F.coalesce("visible_field_hits", names),
+        }
     )
 
 
@@ -241,10 +244,14 @@ def scrape_route(df: DataFrame, with_html: bool) -> DataFrame:
         return out
 
     return (
-        df.withColumn("route", looked_up(0))
-        .withColumn("confidence", looked_up(1))
-        .withColumn("route_reasons", reasons)
-        .withColumn("recommended_next_step", looked_up(2, fixed.NEXT_STEP.get))
+        df.withColumns(
+            {
+                "route": looked_up(0),
+                "confidence": looked_up(1),
+                "route_reasons": reasons,
+                "recommended_next_step": looked_up(2, fixed.NEXT_STEP.get),
+            }
+        )
         .drop("_case", *[c for c in df.columns if c.startswith("meta_")])
     )
 

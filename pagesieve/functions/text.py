@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -17,6 +17,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed here and not again above.
+
+    The optimizer copies column expressions into the filters and projections
+    that use them; with chains of costly columns the copies multiply. A one-row
+    generator is a border it does not copy across. It stays in the same stage.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def strip(c: Column) -> Column:
     """Trim every Unicode white space character at both ends."""
     return F.btrim(c, F.lit(fixed.WS_CHARS))

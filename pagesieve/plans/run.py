@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.text import settled
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources.workspace import ensure_checkpoint_dir
 
@@ -37,7 +38,7 @@ def assess(captures: DataFrame) -> DataFrame:
     ``items`` holds what the extractor would give if the job is allowed; crawl
     jobs get theirs later. ``json_read`` and ``xml_read`` tell parse failures.
     """
-    df = profile.source_profile(policy.field_gate(captures), keep_page_columns=True)
+    df = settled(profile.source_profile(policy.field_gate(captures), keep_page_columns=True))
     reached = (
         (F.col("risk_level") == "low")
         & F.col("error").isNull()
@@ -59,11 +60,14 @@ def assess(captures: DataFrame) -> DataFrame:
         .when(F.col("_json").isNotNull(), extraction.json_items(F.col("_json_records"), F.col("fields")))
         .when(F.col("_xml").isNotNull(), extraction.xml_items(F.col("_xml_records"), F.col("fields")))
     )
-    return (
-        df.withColumn("items", items)
-        .withColumn("json_read", F.col("_json_records").isNotNull())
-        .withColumn("xml_read", F.col("_xml_records").isNotNull())
-        .drop(
+    return settled(
+        df.withColumns(
+            {
+                "items": items,
+                "json_read": F.col("_json_records").isNotNull(),
+                "xml_read": F.col("_xml_records").isNotNull(),
+            }
+        ).drop(
             "body", "html", "dom", "anchors", "text", "_json", "_xml", "_json_records",
             "_xml_records", "_extractor", "strategy", "route", "confidence", "route_reasons",
             "recommended_next_step",

@@ -52,7 +52,7 @@ select cast(p_partkey * 4 + 1 as bigint) as job_id,
   || '<div class="' || case when p_partkey % 10 = 9 then 'row' else 'product-card' end || '"><h2>' || p_name || '</h2><a href="/p/' || {_KEY}
   || '">Again</a><p class="price">1</p></div><div class="' || case when p_partkey % 10 = 9 then 'row' else 'card-empty' end || '"><p>.</p></div></section>'
   || '<nav class="pager"><a href="/list?page=' || cast(p_partkey % 25 + 3 as string) || '">skip</a> <a rel="next nofollow" href="?page='
-  || cast(p_partkey % 25 + 1 as string) || '">Next</a></nav><a href="https://other.example/list?page=2">next</a><a href="#">top</a></body></html>' as body
+  || cast(p_partkey % 25 + 1 as string) || '">Next</a><a href="/list?all=1">all</a></nav><a href="https://other.example/list?page=2">next</a><a href="#">top</a></body></html>' as body
 from @part@
 """
 
@@ -106,6 +106,22 @@ from @part@
 
 CAPTURES = " union all ".join([PAGE_CAPTURES, LISTING_CAPTURES, JSON_CAPTURES, XML_CAPTURES])
 
+# Price texts in several forms, one per line item.
+PRICE_TEXTS = """
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber,
+  case l_linenumber % 7 when 0 then '$' when 1 then ' £ ' when 2 then 'from ' when 3 then 'N/A ' when 4 then '€' when 5 then 'usd ' else '' end
+  || cast(cast(l_extendedprice as decimal(12,2)) as string)
+  || case l_linenumber % 7 when 2 then ' sarongs' when 6 then ' JOD or 5,00 ' when 1 then ',00 EUR' else '' end as price
+from @lineitem@
+"""
+
+# One sentence per order that may speak of availability.
+STOCK_TEXTS = """
+select o_orderkey, 'Status: ' || case o_orderstatus when 'O' then 'In-Stock, ships today' when 'F' then 'reavailable item'
+  else 'sold out' end || case when o_orderpriority like '1%' then ' (pre order)' else '.' end as text
+from @orders@
+"""
+
 # One robots file per origin that occurs in the captures.
 ROBOTS_FILES = f"""
 select origin,
@@ -125,7 +141,7 @@ from (select distinct regexp_extract(url, '^(https?://[^/?#]+)', 1) as origin fr
 
 
 def for_spark(sql: str, sf_dir: str) -> str:
-    for name in ("pages", "part"):
+    for name in ("pages", "part", "lineitem", "orders"):
         sql = sql.replace(f"@{name}@", f"parquet.`{sf_dir}/{name}.parquet`")
     return sql
 

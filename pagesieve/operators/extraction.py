@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, trees, urls
-from ..functions.text import let, squeeze, strip
+from ..functions.text import let, settled, squeeze, strip
 from .policy import normalised
 from .profile import blocked_status
 from .routing import parses_as_json
@@ -184,6 +184,8 @@ def page_records(pages: DataFrame) -> DataFrame:
             F.array().cast(kind),
         ),
     ).drop("cards")
+    pages = settled(pages)
+    base = F.col("_base")
 
     def link(a: Column) -> Column:
         text, href = squeeze(F.array_join(a["texts"], " ")), strip(a["href"])
@@ -198,7 +200,7 @@ def page_records(pages: DataFrame) -> DataFrame:
         "records",
         F.when(F.size("records") > 0, F.col("records")).otherwise(F.transform(usable, link)),
     ).drop("_base")
-    return _first_per_key(pages, "records")
+    return _first_per_key(settled(pages), "records")
 
 
 def shaped(record: Column, fields: Column) -> Column:

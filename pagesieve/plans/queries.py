@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, urls
-from ..functions.text import squeeze
+from ..functions.text import settled, squeeze
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources import captures as source
 from ..sources import derived, sinks
@@ -83,7 +83,7 @@ def _walkable(spark: SparkSession, sf: str) -> DataFrame:
     caps = _captures(spark, sf)
     html = profile.content_flags(F.col("content_type"))["is_html"]
     pages = caps.where(html & ~profile.blocked_status(F.col("status")) & F.col("body").isNotNull())
-    return markup.with_page_columns(pages, "body")
+    return settled(markup.with_page_columns(pages, "body").drop("body", "text"))
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -451,7 +451,7 @@ def blocked_pattern(spark, sf):
 
 
 def _signals(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.html_signals(_profile(spark, sf).withColumnRenamed("body", "content"), "content")
+    return routing.html_signals(settled(_profile(spark, sf)).withColumnRenamed("body", "content"), "content")
 
 
 @query
@@ -480,7 +480,7 @@ def metadata_signals(spark, sf):
 
 
 def _routed(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.scrape_route(_signals(spark, sf), with_html=True)
+    return routing.scrape_route(settled(_signals(spark, sf)), with_html=True)
 
 
 @query
@@ -641,7 +641,7 @@ def html_title_fallback(spark, sf):
 
 
 def _cards(spark: SparkSession, sf: str) -> DataFrame:
-    pages = extraction.card_segments(_walkable(spark, sf).drop("anchors", "text"))
+    pages = extraction.card_segments(_walkable(spark, sf).drop("anchors"))
     return pages.withColumn("base", urls.base_parts(F.col("url"))).select(
         "job_id", "base", F.posexplode("cards").alias("pos", "card")
     )
@@ -681,7 +681,7 @@ def in_page_dedup(spark, sf):
 
 @query
 def card_link_fallback(spark, sf):
-    pages = extraction.page_records(_walkable(spark, sf))
+    pages = settled(extraction.page_records(_walkable(spark, sf)).select("job_id", "records"))
     no_price = F.forall("records", lambda r: r["price"] == "")
     rows = pages.where(no_price).select("job_id", F.explode("records").alias("r"))
     return rows.select("job_id", F.col("r.pos").cast("long").alias("pos"), "r.title", "r.url")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .text import let
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
+# Absolute web URLs that resolving leaves as they are, whatever the base.
+_FINISHED = r"(?s)^https?://[^/?#]+(?:/[^?#]*)?(?:\?[^#]+)?(?:#.+)?$"
 
 
 def scheme(u: Column) -> Column:
@@ -115,10 +117,14 @@ def resolve(base: Column, ref: Column) -> Column:
             .otherwise(F.concat(site, _without_dots(whole), q, frag))
         )
 
-    parsed = let(ref, lambda v: F.struct(v.alias("ref"), scheme(v).alias("scheme")))
+    def parsed(v: Column) -> Column:
+        return let(F.struct(v.alias("ref"), scheme(v).alias("scheme")), split_ref)
+
     return let(
-        parsed,
-        lambda r: F.when(r["ref"] == "", base["full"]).otherwise(let(split_ref(r), join)),
+        ref,
+        lambda v: F.when(v == "", base["full"])
+        .when(v.rlike(_FINISHED), v)
+        .otherwise(let(parsed(v), join)),
     )
 
 

@@ -12,6 +12,7 @@ from ..functions.text import settled, squeeze
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources import captures as source
 from ..sources import derived, sinks
+from ..sources.tables import given
 from ..sources.workspace import new_folder
 from ..streaming import ingest
 from . import run as plan
@@ -385,7 +386,7 @@ def field_evidence_generic(spark, sf):
     asked = F.array(*[F.lit(f) for f in _ASKED])
     no = F.lit(False)
     seen = {"title": no, "url": no, "price": no, "availability": no}
-    return spark.read.parquet(f"{sf}/documents.parquet").select(
+    return given(spark, sf, "documents").select(
         "doc_id", F.array_join(profile.field_hits(asked, F.lower("text"), seen), "|").alias("hits")
     )
 
@@ -513,7 +514,8 @@ def effective_extractor(spark, sf):
 @query
 def dispatch_union(spark, sf):
     assessed = _assessed(spark, sf).checkpoint()
-    items = plan.dispatch_items(assessed, plan.decide(assessed, _robots(spark, sf)), _captures(spark, sf))
+    decided = plan.decide(assessed, _robots(spark, sf)).checkpoint()
+    items = plan.dispatch_items(assessed, decided, _captures(spark, sf))
     return items.select("job_id", *_long("page_seq", "pos"), "title", "url", "price", "source")
 
 
@@ -733,7 +735,7 @@ def crawl_status_skip(spark, sf):
 # --- cleaning, validation, deduplication --------------------------------------------------
 @query
 def squeeze_whitespace(spark, sf):
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", squeeze(F.col("text")).alias("text"))
+    return given(spark, sf, "documents").select("doc_id", squeeze(F.col("text")).alias("text"))
 
 
 @query

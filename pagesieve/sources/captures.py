@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed
 from ..functions.text import strip
+from .tables import given
 
 # A response together with the request it answers, so that neither profiling nor
 # extraction has to join (and shuffle) the bodies. ``error`` is the network error
@@ -33,8 +34,7 @@ def capture_scan(spark: SparkSession, path: str, file_format: str = "parquet") -
 
 def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given ``pages`` as plain HTML responses, status 200."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select(
+    return given(spark, sf_dir, "pages").select(
         F.col("page_id").alias("job_id"),
         "url",
         F.lit(200).alias("status"),

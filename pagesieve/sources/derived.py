@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .tables import relation
+
 _RETAIL = "cast(cast(p_retailprice as decimal(12,2)) as string)"
 _KEY = "cast(p_partkey as string)"
 
@@ -140,15 +142,12 @@ from (select distinct regexp_extract(url, '^(https?://[^/?#]+)', 1) as origin fr
 """
 
 
-def for_spark(sql: str, sf_dir: str) -> str:
-    for name in ("pages", "part", "lineitem", "orders"):
-        sql = sql.replace(f"@{name}@", f"parquet.`{sf_dir}/{name}.parquet`")
-    return sql
-
-
 def for_views(sql: str) -> str:
     return sql.replace("@", "")
 
 
 def derive(spark: SparkSession, sql: str, sf_dir: str) -> DataFrame:
-    return spark.sql(for_spark(sql, sf_dir))
+    for name in ("pages", "part", "lineitem", "orders"):
+        if f"@{name}@" in sql:
+            sql = sql.replace(f"@{name}@", relation(spark, sf_dir, name))
+    return spark.sql(sql)

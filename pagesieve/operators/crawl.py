@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, trees, urls
-from ..functions.text import strip
+from ..functions.text import settled, strip
 from ..sources.workspace import ensure_checkpoint_dir
 from .extraction import ITEM, page_records, shaped
 from .profile import blocked_status
@@ -55,10 +55,10 @@ def page_facts(captures: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(captures.sparkSession)
     readable = captures.where(~blocked_status(F.col("status")) & F.col("body").isNotNull())
     view = markup.with_page_columns(readable.select("job_id", "url", "body"), "body")
-    facts = page_records(next_page_links(view.drop("text", "body")))
+    facts = page_records(next_page_links(settled(view.drop("text", "body"))))
     one = Window.partitionBy("url").orderBy("job_id")
     return (
-        facts.select("job_id", "url", "next_urls", "records")
+        settled(facts.select("job_id", "url", "next_urls", "records"))
         .withColumn("_n", F.row_number().over(one))
         .where(F.col("_n") == 1)
         .drop("_n", "job_id")

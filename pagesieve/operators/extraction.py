@@ -401,7 +401,8 @@ def fetch_warning(kind: str, decision: Column) -> Column:
 
 def exploded(df: DataFrame, items: str = "items") -> DataFrame:
     """One row per item of one-page jobs: job_id, base_url, page_seq 0, ITEM fields."""
-    return df.select(
+    packed = settled(df.select("job_id", "url", items))
+    return packed.select(
         "job_id", F.col("url").alias("base_url"), F.lit(0).alias("page_seq"),
         F.explode(items).alias("_i"),
     ).select("job_id", "base_url", "page_seq", "_i.*")

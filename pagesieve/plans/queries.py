@@ -56,7 +56,7 @@ def _html(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _anchored(spark: SparkSession, sf: str) -> DataFrame:
-    return _html(spark, sf).withColumn("anchors", markup.anchors(F.col("dom")))
+    return settled(_html(spark, sf).withColumn("anchors", markup.anchors(F.col("dom"))))
 
 
 def _kind(spark: SparkSession, sf: str, sql: str) -> DataFrame:
@@ -536,7 +536,8 @@ def _json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_records(spark, sf):
-    rows = _json(spark, sf).select("job_id", F.posexplode("records").alias("pos", "rec"))
+    read = settled(_json(spark, sf).select("job_id", "records"))
+    rows = read.select("job_id", F.posexplode("records").alias("pos", "rec"))
     return rows.select(
         "job_id", *_long("pos"),
         *[F.get_json_object("rec", f"$.{k}").alias(k) for k in ("title", "price", "stock", "href")],
@@ -547,7 +548,8 @@ def _json_items(spark: SparkSession, sf: str) -> DataFrame:
     items = _json(spark, sf).withColumn(
         "items", extraction.json_items(F.col("records"), F.col("fields"))
     )
-    return items.select("job_id", F.explode("items").alias("i"), "fields").select("job_id", "fields", "i.*")
+    items = settled(items.select("job_id", "items"))
+    return settled(items.select("job_id", F.explode("items").alias("i")).select("job_id", "i.*"))
 
 
 @query
@@ -581,7 +583,8 @@ def _xml(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _xml_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _xml(spark, sf).select("job_id", F.posexplode("records").alias("pos", "r")).select(
+    read = settled(_xml(spark, sf).select("job_id", "records"))
+    return read.select("job_id", F.posexplode("records").alias("pos", "r")).select(
         "job_id", *_long("pos"), "r.tag", "r.children"
     )
 
@@ -610,7 +613,7 @@ def xml_project_fields(spark, sf):
     items = _xml(spark, sf).withColumn(
         "items", extraction.xml_items(F.col("records"), F.col("fields"))
     )
-    return items.select("job_id", F.explode("items").alias("i")).select(
+    return settled(items.select("job_id", "items")).select("job_id", F.explode("items").alias("i")).select(
         "job_id", F.col("i.pos").cast("long").alias("pos"), "i.title", "i.url", "i.price", "i.source",
         F.col("i.extra")["note"].alias("note"), F.size("i.keys").cast("long").alias("n_keys"),
     )
@@ -644,9 +647,8 @@ def html_title_fallback(spark, sf):
 
 def _cards(spark: SparkSession, sf: str) -> DataFrame:
     pages = extraction.card_segments(_walkable(spark, sf).drop("anchors"))
-    return pages.withColumn("base", urls.base_parts(F.col("url"))).select(
-        "job_id", "base", F.posexplode("cards").alias("pos", "card")
-    )
+    pages = settled(pages.select("job_id", urls.base_parts(F.col("url")).alias("base"), "cards"))
+    return pages.select("job_id", "base", F.posexplode("cards").alias("pos", "card"))
 
 
 @query
@@ -675,15 +677,20 @@ def card_price(spark, sf):
     )
 
 
+def _page_records(spark: SparkSession, sf: str) -> DataFrame:
+    records = extraction.page_records(_walkable(spark, sf))
+    return settled(records.select("job_id", "fields", "records"))
+
+
 @query
 def in_page_dedup(spark, sf):
-    rows = extraction.page_records(_walkable(spark, sf)).select("job_id", F.explode("records").alias("r"))
+    rows = _page_records(spark, sf).select("job_id", F.explode("records").alias("r"))
     return rows.select("job_id", F.col("r.pos").cast("long").alias("pos"), "r.title", "r.url", "r.price")
 
 
 @query
 def card_link_fallback(spark, sf):
-    pages = settled(extraction.page_records(_walkable(spark, sf)).select("job_id", "records"))
+    pages = _page_records(spark, sf)
     no_price = F.forall("records", lambda r: r["price"] == "")
     rows = pages.where(no_price).select("job_id", F.explode("records").alias("r"))
     return rows.select("job_id", F.col("r.pos").cast("long").alias("pos"), "r.title", "r.url")
@@ -691,7 +698,7 @@ def card_link_fallback(spark, sf):
 
 @query
 def shape_item(spark, sf):
-    rows = extraction.page_records(_walkable(spark, sf)).select(
+    rows = _page_records(spark, sf).select(
         "job_id", F.explode(F.transform("records", lambda r: extraction.shaped(r, F.col("fields")))).alias("i")
     )
     return rows.select(
@@ -702,9 +709,8 @@ def shape_item(spark, sf):
 
 @query
 def next_page_edges(spark, sf):
-    edges = crawl.next_page_links(_walkable(spark, sf)).select(
-        "job_id", F.posexplode("next_urls").alias("ord", "next_url")
-    )
+    linked = settled(crawl.next_page_links(_walkable(spark, sf)).select("job_id", "next_urls"))
+    edges = linked.select("job_id", F.posexplode("next_urls").alias("ord", "next_url"))
     return edges.select("job_id", *_long("ord"), "next_url")
 
 
@@ -757,7 +763,7 @@ def price_clean(spark, sf):
 
 
 def _one_page_items(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean_items(extraction.exploded(_assessed(spark, sf).where(F.size("items") > 0)))
+    return cleaning.clean_items(extraction.exploded(_assessed(spark, sf)))
 
 
 @query

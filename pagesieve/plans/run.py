@@ -100,7 +100,7 @@ def dispatch_items(assessed: DataFrame, decided: DataFrame, captures: DataFrame)
     measuring). Crawl jobs add the items of their walk.
     """
     stopped = decided.where(~F.col("allowed")).select("job_id")
-    one_page = extraction.exploded(assessed.where(F.size("items") > 0)).join(
+    one_page = extraction.exploded(assessed).join(
         stopped, "job_id", "left_anti"
     )
     is_html = profile.content_flags(F.col("content_type"))["is_html"]

@@ -67,7 +67,7 @@ def parses_as_json(text: Column) -> Column:
     """
     options = {"allowSingleQuotes": "false"}
     as_array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", options)
-    as_value = F.json_object_keys(F.concat(F.lit('{"k":'), text, F.lit("}")))
+    as_value = F.from_json(F.concat(F.lit('{"k":'), text, F.lit("}")), "map<string,string>", options)
     return _true((F.size(as_array) == 1) & as_value.isNotNull())
 
 

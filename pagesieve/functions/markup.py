@@ -33,8 +33,8 @@ def script_elements(html: Column) -> Column:
 
 def text_nodes(d: Column) -> Column:
     """Non-empty trimmed texts between tags, in order."""
-    nodes = F.transform(F.split(d, fixed.TAG), lambda t: strip(decode_entities(t)))
-    return F.filter(nodes, lambda t: t != "")
+    pieces = F.filter(F.split(d, fixed.TAG), lambda t: t != "")
+    return F.filter(F.transform(pieces, lambda t: strip(decode_entities(t))), lambda t: t != "")
 
 
 def joined_text(d: Column, sep: str = " ") -> Column:

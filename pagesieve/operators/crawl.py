@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, trees, urls
-from ..functions.text import settled, strip
+from ..functions.text import settled, split_key, strip
 from ..sources.workspace import ensure_checkpoint_dir
 from .extraction import ITEM, page_records, shaped
 from .profile import blocked_status
@@ -48,9 +48,8 @@ def page_facts(captures: DataFrame) -> DataFrame:
     """What a walk needs of each captured page: url, next_urls, records.
 
     Blocked responses give nothing and are left out; of several captures of a
-    URL the lowest job_id counts. The bodies stay in the scan; the result is laid
-    out by url once and checkpointed, so that no round of the walk reads, parses
-    or moves a page again.
+    URL the lowest job_id counts. The bodies stay in the scan; the thin result is
+    checkpointed, so that no round of the walk reads or parses a page again.
     """
     ensure_checkpoint_dir(captures.sparkSession)
     readable = captures.where(~blocked_status(F.col("status")) & F.col("body").isNotNull())
@@ -72,11 +71,12 @@ def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_
     State is one row per seed (visited urls, at most ``max_pages``; frontier).
     A round looks the frontier up in the facts, keeps the first pages found (the
     rank filter cuts each partition before the shuffle) and builds the next
-    frontier. Seeds asked for by many jobs are walked once. Every round that
+    frontier. Seeds asked for by many jobs are walked once, and a page many seeds
+    reach is split by adaptive execution (see ``split_key``). Every round that
     goes on visits a page, so ``max_pages`` rounds are all that can matter.
     """
     text_list = "array<string>"
-    edges = facts.select(F.col("url").alias("_url"), "next_urls")
+    edges = facts.select(split_key(F.col("url")).alias("_key"), F.col("url").alias("_url"), "next_urls")
     state = seeds.select(F.col("url").alias("seed")).distinct().select(
         "seed",
         F.array().cast(text_list).alias("visited"),
@@ -87,7 +87,7 @@ def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_
     for _ in range(max_pages):
         asked = state.select("seed", "visited", F.posexplode_outer("frontier").alias("ord", "url"))
         found = (
-            asked.join(edges, F.col("url") == F.col("_url"), "left")
+            asked.join(edges, split_key(F.col("url")) == F.col("_key"), "left")
             .withColumn("rank", F.row_number().over(first_found))
             .where(F.col("rank") <= max_pages)
         )
@@ -114,14 +114,16 @@ def crawl_items(
 ) -> DataFrame:
     """Items of each crawl job (job_id, url, fields), at most ``max_items`` of each."""
     walk = bounded_walk(jobs, facts, max_pages)
-    records = walk.join(facts.select("url", "records"), "url").select(
+    found = facts.select(split_key(F.col("url")).alias("_key"), "records")
+    records = walk.join(found, split_key(F.col("url")) == F.col("_key")).select(
         "seed", "page_seq", F.explode("records").alias("r")
     )
+    kept = item_limit(records.select("seed", "page_seq", "r.pos", "r"), "seed", max_items)
     items = (
-        jobs.select("job_id", F.col("url").alias("seed"), "fields")
-        .join(item_limit(records.select("seed", "page_seq", "r.pos", "r"), "seed", max_items), "seed")
+        jobs.select("job_id", "url", "fields")
+        .join(kept, split_key(F.col("url")) == split_key(F.col("seed")))
         .select(
-            "job_id", F.col("seed").alias("base_url"), "page_seq",
+            "job_id", F.col("url").alias("base_url"), "page_seq",
             shaped(F.col("r"), F.col("fields")).cast(ITEM).alias("i"),
         )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, urls
-from ..functions.text import list_repr, strip
+from ..functions.text import list_repr, split_key, strip
 
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
 
@@ -151,7 +151,9 @@ def robots_decision(jobs: DataFrame, files: DataFrame, user_agent: str = fixed.U
     Nothing is hinted; the planner broadcasts the site table only under its
     measured size limit, and beyond it adaptive execution splits hot origins.
     """
-    policy = site_policy(files, user_agent).withColumnRenamed("error", "robots_error")
+    policy = site_policy(files, user_agent).select(
+        split_key(F.col("origin")).alias("_site"), "outcome", F.col("error").alias("robots_error"), "rules"
+    )
     rest = F.regexp_replace(
         urls.unquote(F.col("url")), r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?", ""
     )
@@ -165,7 +167,8 @@ def robots_decision(jobs: DataFrame, files: DataFrame, user_agent: str = fixed.U
     return (
         jobs.withColumn("origin", urls.origin(F.col("url")))
         .withColumn("asked", F.when(asked == "", "/").otherwise(asked))
-        .join(policy, "origin", "left")
+        .withColumn("_site", split_key(F.col("origin")))
+        .join(policy, "_site", "left")
         .withColumn(
             "robots_decision",
             F.when(F.col("outcome").isNull() | (F.col("outcome") == "warning"), "warning")
@@ -199,7 +202,7 @@ def robots_decision(jobs: DataFrame, files: DataFrame, user_agent: str = fixed.U
                 )
             ),
         )
-        .drop("rules", "robots_error")
+        .drop("rules", "robots_error", "_site")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, urls
-from ..functions.text import settled, squeeze
+from ..functions.text import settled, split_key, squeeze
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources import captures as source
 from ..sources import derived, sinks
@@ -118,8 +118,10 @@ def job_request_scan(spark, sf):
 
 
 def _for_output(run: plan.Run, output: str) -> DataFrame:
-    wanted = run.jobs.where(F.array_contains("outputs", output)).select("job_id")
-    return run.unique.join(wanted, "job_id", "left_semi")
+    wanted = run.jobs.where(F.array_contains("outputs", output)).select(
+        split_key(F.col("job_id")).alias("_key")
+    )
+    return run.unique.join(wanted, split_key(F.col("job_id")) == F.col("_key"), "left_semi")
 
 
 @query

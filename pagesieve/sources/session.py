@@ -9,6 +9,7 @@ SETTINGS = {
     # Hot origins, seeds and jobs: measured at run time, split by the engine.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rows here are costly to compute on, so merged partitions stay small.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",

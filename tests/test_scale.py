@@ -1,0 +1,75 @@
+"""Plans that have to hold when one key has a third of all rows."""
+
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+from pyspark.sql import functions as F
+
+from pagesieve.operators import cleaning, crawl, policy
+
+
+@contextmanager
+def settings(spark, **pairs):
+    names = {k.replace("_", "."): v for k, v in pairs.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_origin_is_split(spark):
+    """A hot site's jobs are divided among tasks when the robots join is not a broadcast."""
+    jobs = spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("job_id"),
+        F.concat(
+            F.lit("https://h"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500),
+            F.lit(".example.com/en/"), F.sha2(F.col("id").cast("string"), 512),
+        ).alias("url"),
+    )
+    files = spark.range(500).select(
+        F.concat(F.lit("https://h"), F.col("id"), F.lit(".example.com")).alias("origin"),
+        F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"),
+        F.lit("User-agent: *\nDisallow: /en/0").alias("body"),
+    )
+    with settings(
+        spark,
+        spark_sql_autoBroadcastJoinThreshold="-1",
+        spark_sql_adaptive_autoBroadcastJoinThreshold="-1",
+        spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="200k",
+        spark_sql_adaptive_skewJoin_skewedPartitionFactor="1.5",
+        spark_sql_adaptive_advisoryPartitionSizeInBytes="200k",
+    ):
+        decided = policy.robots_decision(jobs, files)
+        rows = decided.collect()
+        plan = decided._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    assert len(rows) == 60000
+    assert all((r.robots_decision == "blocked") == ("/en/0" in r.url) for r in rows)
+
+
+def test_limits_cut_before_the_shuffle(spark):
+    items = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("job_id"),
+        F.lit(0).alias("page_seq"), F.col("id").cast("int").alias("pos"),
+    )
+    limited = crawl.item_limit(items, "job_id", 5)
+    plan = limited._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
+    hot = sorted(r.pos for r in limited.where("job_id = 0").collect())
+    assert hot == [0, 3, 6, 9, 12] and limited.count() == 5 * 1000
+
+
+def test_dedup_combines_before_the_shuffle(spark):
+    items = spark.range(0, 30000, 1, 8).select(
+        (F.col("id") % 1).alias("job_id"), F.concat(F.lit("http://e/"), F.col("id") % 7).alias("url"),
+        F.lit(0).alias("page_seq"), F.col("id").cast("int").alias("pos"),
+    )
+    unique = cleaning.first_by_url(items)
+    plan = unique._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "hashpartitioning(job_id" in plan
+    assert {(r.pos, r.copies) for r in unique.collect()} == {(i, 4286 if i < 5 else 4285) for i in range(7)}

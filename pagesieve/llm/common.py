@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.workspace import new_folder
 
@@ -13,6 +15,12 @@ SPACE = r"[\x20\x09-\x0D]"
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+_ARROW = {
+    "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
+    "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
+    "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),
+}
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -59,3 +67,27 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
         .withColumn(name, F.col("_place") + F.col("_before"))
         .drop("_place", "_before", "_range")
     )
+
+
+def per_text(docs: DataFrame, carried: list[str], schema: str, work, rows_at_once: int = 256) -> DataFrame:
+    """Carried columns and what ``work(texts)`` returns (a list per column of ``schema``), by Arrow batches.
+
+    Texts go to Python ``rows_at_once`` at a time; carried columns pass untouched, nulls included.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(a, rows_at_once)
+                made = work(part.column("text").to_pylist())
+                arrays = [part.column(c) for c in carried] + [
+                    pa.array(made[f.name], f.type) for f in fields
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    kept = docs.select(*carried)
+    more = T.StructType.fromDDL(schema)
+    fields = [pa.field(f.name, _ARROW[f.dataType.simpleString()]) for f in more.fields]
+    names = [*carried, *(f.name for f in fields)]
+    columns = list(dict.fromkeys([*carried, "text"]))
+    return docs.select(*columns).mapInArrow(run, T.StructType([*kept.schema.fields, *more.fields]))

@@ -19,21 +19,19 @@ similarity 0.85 share none with probability 2e-8.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parallelism, stored
+from .common import parallelism, per_text, stored
 from .components import components
 from .superminhash import band_hashes, shingle_set, signatures, spanning_links
 
 BANDS, ROWS, WIDTH, PERCENT = 24, 4, 5, 85
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 500_000
-_SHINGLED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+_SHINGLED = "n_shingles long, set_key binary, bands array<long>"
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -43,22 +41,16 @@ def _digest(s: np.ndarray) -> bytes | None:
 def shingled(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Set size, set digest and band hashes of every document; no words (or no text): null digest."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), 200):
-                part = batch.iloc[a : a + 200]
-                sets = [shingle_set(t, width) for t in part["text"]]
-                hashes = band_hashes(signatures(sets, bands * rows), rows)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "n_shingles": [len(s) for s in sets],
-                        "set_key": [_digest(s) for s in sets],
-                        "bands": [list(h) if len(s) else None for h, s in zip(hashes, sets, strict=True)],
-                    }
-                )
+    def sign(texts: list[str | None]) -> dict[str, list]:
+        sets = [shingle_set(t, width) for t in texts]
+        hashes = band_hashes(signatures(sets, bands * rows), rows)
+        return {
+            "n_shingles": [len(s) for s in sets],
+            "set_key": [_digest(s) for s in sets],
+            "bands": [h if len(s) else None for h, s in zip(hashes, sets, strict=True)],
+        }
 
-    return docs.select("doc_id", "text").where("doc_id is not null").mapInPandas(sign, _SHINGLED)
+    return per_text(docs.where("doc_id is not null"), ["doc_id"], _SHINGLED, sign)
 
 
 def _groups(classes: DataFrame) -> DataFrame:
@@ -76,19 +68,15 @@ def _groups(classes: DataFrame) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(class_id, shingles): the full sets of the classes of some groups, taken from the texts."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), 200):
-                part = batch.iloc[a : a + 200]
-                sets = [shingle_set(t, width) for t in part["text"]]
-                fits = np.array([_digest(s) == k for s, k in zip(sets, part["set_key"], strict=True)], bool)
-                yield pd.DataFrame(
-                    {"class_id": part["class_id"][fits], "shingles": [s.tobytes() for s, f in zip(sets, fits, strict=True) if f]}
-                )
+    def cut(texts: list[str | None]) -> dict[str, list]:
+        sets = [shingle_set(t, width) for t in texts]
+        return {"digest": [_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
 
     texts = docs.select(F.col("doc_id").alias("class_id"), "text").where("class_id is not null")
-    found = texts.join(wanted, "class_id").mapInPandas(cut, "class_id long, shingles binary")
-    return stored(found.dropDuplicates(["class_id"]), "sets")
+    found = per_text(
+        texts.join(wanted, "class_id"), ["class_id", "set_key"], "digest binary, shingles binary", cut
+    ).where("digest = set_key")
+    return stored(found.select("class_id", "shingles").dropDuplicates(["class_id"]), "sets")
 
 
 def _spanning(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import near_dup, packing
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op10_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, packing
+from . import language, near_dup, packing, quality, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,28 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity.learn(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+@query
+def op4_nearest_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return language.classify(docs, language.learn(docs))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_line_frequency_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(documents(spark, sf)).verdicts.drop("row", "text_key", "source")
+
+
 @query
 def op10_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf))

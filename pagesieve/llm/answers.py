@@ -3,3 +3,43 @@
 from __future__ import annotations
 
 ANSWERS: dict[str, str] = {}
+
+ANSWERS["op9_capped_water_filling"] = """
+with recursive d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size,
+    md5('mix-1:' || coalesce(cast(doc_id as varchar), 'null')) as place
+  from documents),
+ranked as (
+  select source, cast(sum(size) as bigint) as source_size,
+    [3, 1, 2][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight
+  from d group by source),
+turns as (
+  select 0 as turn, cast(0 as double) as full_size, cast(sum(weight) as double) as free, 1.5 * sum(source_size) as total from ranked
+  union all
+  select turn + 1, f, r, total from (
+    select t.turn, t.total, t.full_size, t.free,
+      sum(case when t.free = 0 or weight * (t.total - t.full_size) > 2 * source_size * t.free then 2 * source_size else 0 end) as f,
+      sum(case when t.free = 0 or weight * (t.total - t.full_size) > 2 * source_size * t.free then 0 else weight end) as r
+    from turns t, ranked group by t.turn, t.total, t.full_size, t.free)
+  where f <> full_size or r <> free),
+settled as (select full_size, free, total from turns order by turn desc limit 1),
+wanted as (
+  select source, source_size,
+    cast(case when free = 0 or weight * (total - full_size) > 2 * source_size * free then 2 * source_size
+      else weight * (total - full_size) / free end as double) as target
+  from ranked, settled),
+amounts as (
+  select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as epochs from wanted),
+running as (
+  select d.doc_id, d.source, d.size, d.place, a.source_size, a.target, a.epochs,
+    cast(floor(a.target) as bigint) - a.epochs * a.source_size as more,
+    sum(d.size) over (partition by d.source order by d.place) as upto,
+    sum(d.size) over (partition by d.source, d.place) as tied
+  from d join amounts a on d.source is not distinct from a.source),
+placed as (
+  select *, case when upto <= more then size when upto - tied < more then floor((more - (upto - tied)) * size / tied) else 0 end as extra
+  from running)
+select doc_id, source, cast(size as bigint) as size, source_size, target, epochs, cast(extra as bigint) as extra,
+  cast(epochs * size + extra as bigint) as taken
+from placed
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, near_dup, packing, quality, toxicity
+from . import language, mixing, near_dup, packing, quality, sharding, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op6_line_frequency_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(documents(spark, sf)).verdicts.drop("row", "text_key", "source")
 
 
+@query
+def op7_kd_tree_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf), shards=8)
+
+
 @query
 def op9_capped_water_filling(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf))

@@ -73,8 +73,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         return {"digest": [_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
 
     texts = docs.select(F.col("doc_id").alias("class_id"), "text").where("class_id is not null")
+    # Texts are shuffled whatever the sizes: the wanted ids grow with them.
     found = per_text(
-        texts.join(wanted, "class_id"), ["class_id", "set_key"], "digest binary, shingles binary", cut
+        texts.join(wanted.hint("merge"), "class_id"), ["class_id", "set_key"], "digest binary, shingles binary", cut
     ).where("digest = set_key")
     return stored(found.select("class_id", "shingles").dropDuplicates(["class_id"]), "sets")
 

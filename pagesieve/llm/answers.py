@@ -43,3 +43,50 @@ select doc_id, source, cast(size as bigint) as size, source_size, target, epochs
   cast(epochs * size + extra as bigint) as taken
 from placed
 """
+
+_MARKS = "</s>[INST] ok [/INST]"
+
+
+def _escaped(text: str) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for c in ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"):
+        out = f"replace({out}, '{c}', '{c[0]}' || '\\' || '{c[1:]}')"
+    return out
+
+
+ANSWERS["op8_budgeted_chat_windows"] = f"""
+with recursive given as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{_MARKS}' union all select -7, 1, 'assistant', '{_MARKS}'),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as spot,
+    len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\x20\\x09-\\x0D\\p{{L}}\\p{{N}}]')) + 4 as tokens,
+    length({_escaped("role")}) + 5 + length({_escaped("text")}) + 8 as chars
+  from given),
+summed as (
+  select *, sum(tokens) over w as upto, sum(chars) over w as chars_upto, first_value(role) over w = 'system' as has_system,
+    case when first_value(role) over w = 'system' then first_value(tokens) over w else 0 end as system_tokens,
+    case when first_value(role) over w = 'system' then first_value(chars) over w else 0 end as system_chars
+  from placed window w as (partition by conv_id order by spot rows between unbounded preceding and current row)),
+spans as (
+  select conv_id, spot, spot as first, cast(0 as hugeint) as base from summed where spot = 1
+  union all
+  select s.conv_id, s.spot,
+    case when s.upto - p.base > greatest(384 - s.system_tokens, 128) and s.spot > p.first then s.spot else p.first end,
+    case when s.upto - p.base > greatest(384 - s.system_tokens, 128) and s.spot > p.first then s.upto - s.tokens else p.base end
+  from spans p join summed s on s.conv_id = p.conv_id and s.spot = p.spot + 1),
+begun as (select s.* from summed s join spans p on s.conv_id = p.conv_id and s.spot = p.spot and p.first = p.spot where s.spot > 1),
+repeated as (
+  select b.conv_id, b.system_chars
+    + case when b.spot - 2 >= first_free and two.tokens + one.tokens <= 128 then one.chars + two.chars
+        when b.spot - 1 >= first_free and one.tokens <= 128 then one.chars else 0 end as chars
+  from (select *, case when has_system then 2 else 1 end as first_free from begun) b
+    join summed one on one.conv_id = b.conv_id and one.spot = b.spot - 1
+    left join summed two on two.conv_id = b.conv_id and two.spot = b.spot - 2)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by spot)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by spot) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) + coalesce((select sum(chars) from repeated r where r.conv_id = s.conv_id), 0) as bigint) as formatted_chars
+from summed s group by conv_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, near_dup, packing, quality, sharding, toxicity
+from . import chat, language, mixing, near_dup, packing, quality, sharding, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,14 @@ def op7_kd_tree_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(documents(spark, sf), shards=8)
 
 
+@query
+def op8_budgeted_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    added = spark.sql(f"select * from values (-7L, 0L, 'user', '{marks}'), (-7L, 1L, 'assistant', '{marks}') as t(conv_id, turn, role, text)")
+    return chat.read_back(chat.windows(turns.unionByName(added)))
+
+
 @query
 def op9_capped_water_filling(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf))

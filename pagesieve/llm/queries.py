@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, language, mixing, near_dup, packing, quality, sharding, toxicity
+from . import chat, fingerprints, language, lm_scores, mixing, near_dup, packing, quality, sharding, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, spark.read.parquet(f"{sf}/labels.parquet")))
 
 
+@query
+def op2_stupid_backoff(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scores.scores(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op3_weighted_sampling_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf))

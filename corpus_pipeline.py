@@ -1,12 +1,29 @@
-"""A corpus from raw documents: stages applied one after another, each stored as Parquet."""
+"""A corpus from raw documents: stages applied one after another, each stored as Parquet.
+
+Every stage takes (spark, docs, sf_dir) and works on all its predecessor kept. All
+but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagesieve.llm import mixing, near_dup, packing, quality, toxicity
 from pagesieve.llm.common import documents, stored
-from pagesieve.llm.near_dup import near_duplicates
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; learned from the labelled ones among ``docs``."""
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc"))
+    return toxicity.score(whole, model, carried=("doc",)).where("predicted = 0").select("doc.*")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the rules go; boilerplate lines go from the rest."""
+    return quality.cleaned(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,15 +31,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without an id can't be told apart and stay; repeated rows of one id become one.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target asks for."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their sequences and offsets."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("toxicity", toxic_out),
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
+# Learned scores and token ids have no SQL form; tests compare with a plain version.
 ORACLE_SQL = None
 
 

@@ -1,0 +1,330 @@
+"""Operators against brute force, exact round trips or held-out labels on whole small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+from compare import connect, differences
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from pagesieve.llm import fingerprints, lm_scores, near_dup, packing, superminhash
+from pagesieve.llm.answers import ANSWERS
+from pagesieve.llm.common import numbered
+from pagesieve.llm.components import components
+from pagesieve.llm.queries import QUERIES
+from pagesieve.llm.token_ids import TokenIds
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_sql_answers(spark, sf):
+    con = connect(sf)
+    for name, sql in ANSWERS.items():
+        assert differences(QUERIES[name](spark, sf), con, sql) is None, name
+
+
+# --- near duplicates ---------------------------------------------------------------
+def _brute_components(rows, percent=85, width=5):
+    sets = {i: set(superminhash.shingle_set(t, width).tolist()) for i, t in rows}
+    found = {i: i for i in sets}
+
+    def root(x):
+        while found[x] != x:
+            x = found[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and 100 * len(x & y) >= percent * len(x | y):
+                p, q = root(a), root(b)
+                found[max(p, q)] = min(p, q)
+    return {i: root(i) for i in ids}
+
+
+def test_near_duplicates(spark, sf, docs):
+    got = {r.doc_id: r for r in QUERIES["op10_superminhash_near_dup"](spark, sf).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = _brute_components(rows)
+    assert {i: r.component_id for i, r in got.items()} == want
+    for i, text in rows:
+        assert got[i].n_shingles == len(superminhash.shingle_set(text, 5)) and got[i].kept == (want[i] == i)
+
+
+def test_shingles_on_plain_words():
+    words = "A b\tC d\x0be f G h".lower().split()
+    assert len(superminhash.shingle_set("A b\tC d\x0be f G h", 5)) == len({tuple(words[i : i + 5]) for i in range(4)})
+    assert np.array_equal(superminhash.shingle_set("É a b", 5), superminhash.shingle_set(" É A\nB ", 5))
+    assert not np.array_equal(superminhash.shingle_set("É a b", 5), superminhash.shingle_set("é a b", 5))
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """A group of several blocks whose members are linked in chains only."""
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 16)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for n in range(90):
+        words = base.copy()
+        for k in range(n // 3):  # further and further away from the first
+            words[k * 6 + 2] = f"v{k}"
+        words[395 + n % 3] = f"u{n % 3}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    assert got == _brute_components(rows)
+
+
+def test_signature_estimates_similarity():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    errors = []
+    for n in (8, 40, 300, 1500):
+        for share in (0.2, 0.5, 0.9):
+            a, b = pool[:n], pool[int(n * (1 - share)) : int(n * (1 - share)) + n]
+            sig = superminhash.signatures([np.unique(a), np.unique(b)], 256)
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            errors.append(float((sig[0] == sig[1]).mean()) - true)
+    assert np.isfinite(sig).all() and max(map(abs, errors)) < 0.13 and abs(np.mean(errors)) < 0.03
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=40, unique=True), min_size=1, max_size=30))
+def test_intersections(sets):
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    got = superminhash.intersections(arrays)
+    assert all(got[i, j] == len(set(a) & set(b)) for i, a in enumerate(sets) for j, b in enumerate(sets))
+
+
+def test_components_of_a_long_path(spark):
+    links = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(1, 400)] + [(5000, 5000)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(301)) and all(got[1000 + i] == 1000 for i in range(400)) and 5000 not in got
+
+
+def test_numbered(spark):
+    rows = spark.range(0, 1000, 1, 5).selectExpr("id * 7 % 1000 as id")
+    assert all(r.id == r.n for r in numbered(rows, [rows["id"]], "n").collect())
+
+
+# --- fingerprints --------------------------------------------------------------------
+def test_fingerprints(spark, sf, docs):
+    rows = sorted(((r.doc_id, r.text) for r in docs.collect()), reverse=True)
+    got = {r.doc_id: r for r in QUERIES["op3_weighted_sampling_fingerprints"](spark, sf).collect()}
+    jaccard = lambda a, b: sum((a & b).values()) / max(1, sum((a | b).values()))
+    off_edited, off_next = [], []
+    for n, (i, text) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        assert got[i].n_chars == len(text) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        bags = [Counter(t.encode().split()) for t in (text, edited, after)]
+        off_edited.append(got[i].near_edited - jaccard(bags[0], bags[1]))
+        off_next.append(got[i].near_next - jaccard(bags[0], bags[2]))
+        a, b = got[i].fingerprint, got[i].edited_fingerprint
+        same = sum(a[k : k + 8] == b[k : k + 8] for k in range(0, 256, 8))
+        assert math.isclose(got[i].near_edited, same / 32)
+    # Unbiased, and no wider than 32 independent draws.
+    assert abs(np.mean(off_edited)) < 0.02 and np.std(off_edited) < 0.11 and abs(np.mean(off_next)) < 0.02
+
+
+def test_weights_count(spark):
+    """Words that occur three times weigh thrice."""
+    rows = [(n, " ".join(f"w{n}_{i}" for i in range(60) for _ in range(1 + 2 * side)), side) for n in range(40) for side in (0, 1)]
+    table = spark.createDataFrame(rows, "n long, text string, side int")
+    made = {(r.n, r.side): r.signature for r in fingerprints.signatures(table, "text", ["n", "side"], 64).collect()}
+    shares = [np.mean([a == b for a, b in zip(made[n, 0], made[n, 1], strict=True)]) for n in range(40)]
+    assert abs(np.mean(shares) - 1 / 3) < 0.04
+
+
+# --- tokens, packing, language model ---------------------------------------------------
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB'é.,!?|<>́ … \n\t1-IİſK", max_size=40), max_size=6))
+def test_ids_are_the_tokenizers(texts):
+    plain = Tokenizer.from_file(PATH)
+    got = TokenIds(PATH, limit=20).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing(spark, sf, docs):
+    rows = QUERIES["op5_best_fit_packing"](spark, sf).collect()
+    plain = Tokenizer.from_file(PATH)
+    pieces = {(r.doc_id, r.piece): r for r in rows}
+    import zlib
+
+    for d in docs.collect():
+        ids = [*plain.encode(d.text, add_special_tokens=False).ids, 1]
+        for n, at in enumerate(range(0, len(ids), 4096)):
+            own, r = ids[at : at + 4096], pieces.pop((d.doc_id, n))
+            assert (r.start, r.length, r.ids_crc32) == (at, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+    assert not pieces
+    _gapless(rows)
+    lengths = np.array([r.length for r in rows])
+    assert len({r.sequence_id for r in rows}) <= packing.lower_bound(lengths, 4096) + 1
+
+
+def _gapless(rows):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for own in by.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 4096
+
+
+def test_exchange_saves_sequences(spark, docs):
+    """Many small parts end near the bound of the whole, as their loose sequences are exchanged."""
+    rows = packing.pack(docs, PATH, part_pieces=15).collect()
+    _gapless(rows)
+    assert len({r.sequence_id for r in rows}) <= packing.lower_bound(np.array([r.length for r in rows]), 4096) + 3
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+def test_bounds_hold(lengths):
+    def least(rest, rooms):
+        if not rest:
+            return len(rooms)
+        options = [least(rest[1:], [*rooms, 20 - rest[0]])]
+        for i, r in enumerate(rooms):
+            if r >= rest[0] and r not in rooms[:i]:
+                options.append(least(rest[1:], [*rooms[:i], r - rest[0], *rooms[i + 1 :]]))
+        return min(options)
+
+    ordered = sorted(lengths, reverse=True)
+    sequence, offset = packing.best_fit_decreasing(np.array(ordered), 20)
+    assert packing.lower_bound(np.array(lengths), 20) <= least(ordered, []) <= sequence.max() + 1
+
+
+def test_scores(spark, docs):
+    got = {r.doc_id: r for r in lm_scores.scores(docs, PATH, part_grams=30_000).collect()}
+    plain = Tokenizer.from_file(PATH)
+    seqs = {d.doc_id: [49406, *plain.encode(d.text, add_special_tokens=False).ids, 49407] for d in docs.collect()}
+    n = Counter(g for s in seqs.values() for g in zip(s, s[1:], strict=False))
+    before, after = Counter(), Counter()
+    for (a, b), c in n.items():
+        before[a] += c
+        after[b] += c
+    total = sum(n.values())
+    for i, s in seqs.items():
+        want = sum(
+            math.log10(n[g] / before[g[0]]) if n[g] >= 2 else math.log10(0.4 * after[g[1]] / total)
+            for g in zip(s, s[1:], strict=False)
+        )
+        assert abs(got[i].log10_score - want) < 1e-5 and got[i].n_tokens == len(s) - 1
+
+
+# --- learned operators, rules, shards ---------------------------------------------------
+def _auc(score, label):
+    rank = np.argsort(np.argsort(score)) + 1
+    pos = label.sum()
+    return (rank[label == 1].sum() - pos * (pos + 1) / 2) / (pos * (len(label) - pos))
+
+
+def test_toxicity_on_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    out = QUERIES["op1_toxicity"](spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
+    held = out[out.held_out]
+    assert len(held) > 50 and out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()
+    assert _auc(held.score.to_numpy(), held.toxic.to_numpy()) > 0.9 and (held.predicted == held.toxic).mean() > 0.93
+
+
+def test_language_on_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    langs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").toPandas()
+    out = QUERIES["op4_nearest_centroid_language"](spark, sf).toPandas().merge(langs, on="doc_id")
+    held = out[out.held_out]
+    assert (held.lang_pred == held.lang).mean() > 0.98 and out.score.between(0, 1).all()
+
+
+def test_quality_against_plain_python(spark, sf, docs):
+    got = {r.doc_id: r for r in QUERIES["op6_line_frequency_rules"](spark, sf).collect()}
+    for d in docs.collect():
+        words = d.text.split()
+        windows = Counter(zip(words, words[1:], words[2:], strict=False))
+        inside = {i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if windows[w] > 1 for k in range(3)}
+        lines = [x for x in d.text.split("\n") if x.split()]
+        r = got[d.doc_id]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(words), sum(map(len, words)), len(inside))
+        assert r.n_dup_lines == len(lines) - len(set(lines)) and r.n_symbols == sum(c in "#*$%&|<>" for c in d.text)
+        assert r.base_failed == (len(words) < 50 or 100 * len(inside) > 50 * len(words))
+
+
+def test_boilerplate_lines(spark):
+    from pagesieve.llm import quality
+
+    body = lambda n: "\n".join(f"line {chr(97 + k)} of {n * 31 % 977} says thing {hashlib.md5(f'{n}{k}'.encode()).hexdigest()}" for k in range(9))
+    menu = "\n".join(f"Menu entry number {k} and some more words to click on" for k in range(12))
+    rows = [(n, "h", body(n) + "\nAccept COOKIES 12 now") for n in range(60)]
+    rows += [(100 + n, "h", menu + f"\nonly {n}") for n in range(40)]
+    rows += [(200 + n, "copies", body(500)) for n in range(50)]  # one text: copies are no boilerplate
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    kept = {r.doc_id: r for r in quality.judge(docs, quality.Limits(host_texts=20, host_share=0.1)).verdicts.collect()}
+    assert all(kept[n].kept and kept[n].n_left == kept[n].n_words - 4 for n in range(60))
+    assert not any(kept[100 + n].kept for n in range(40)) and all(kept[200 + n].kept for n in range(50))
+    out = {r.doc_id: r.text for r in quality.cleaned(docs, quality.Limits(host_texts=20, host_share=0.1)).collect()}
+    assert set(out) == {*range(60), *range(200, 250)} and "COOKIES" not in out[3] and out[3] == body(3)
+
+
+def test_shards(spark, sf, docs):
+    rows = QUERIES["op7_kd_tree_sharding"](spark, sf).collect()
+    import zlib
+
+    text = {d.doc_id: d.text.encode() for d in docs.collect()}
+    by, place = defaultdict(list), {}
+    for r in rows:
+        assert (r.size, r.text_crc32) == (len(text[r.doc_id]) + 1, zlib.crc32(text[r.doc_id]))
+        by[r.shard].append(r)
+        assert place.setdefault(text[r.doc_id], r.shard) == r.shard
+    assert sorted(by) == list(range(8)) and len(rows) == len(text)
+    total, largest = sum(r.size for r in rows), max(Counter(text.values()).values()) * max(r.size for r in rows)
+    for own in by.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        assert abs(sum(r.size for r in own) - total / 8) <= largest
+
+
+# --- the pipeline against a plain version --------------------------------------------------
+def test_pipeline(spark, sf):
+    from pagesieve.llm.common import documents, stored
+
+    before = docs = documents(spark, sf)
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, sf), name)
+        out[name] = docs.collect()
+    text = {r.doc_id: r.text for r in before.collect()}
+    tox = {r.doc_id for r in out["toxicity"]}
+    predicted = {r.doc_id: r.predicted for r in QUERIES["op1_toxicity"](spark, sf).collect()}
+    assert tox == {i for i in text if predicted[i] == 0}
+    good = {r.doc_id: r.text for r in out["quality_rules"]}
+    failed = lambda t: len(t.split()) < 50 or 100 * _repeated(t) > 50 * len(t.split())
+    assert set(good) == {i for i in tox if not failed(text[i])}
+    want = _brute_components(list(good.items()))
+    assert {r.doc_id for r in out["near_dedup"]} == {i for i, c in want.items() if i == c}
+    size = Counter()
+    for r in out["near_dedup"]:
+        size[r.source] += len(r.text.split())
+    mixed = Counter()
+    for r in out["mixing"]:
+        mixed[r.source] += len(r.text.split())
+        assert good[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+    assert abs(sum(mixed.values()) - 1.5 * sum(size.values())) <= len(size)
+    assert all(mixed[s] <= 2 * size[s] for s in size)
+    _gapless(out["packing"])
+    assert Counter(r.doc_id for r in out["packing"] if r.piece == 0) == Counter(r.doc_id for r in out["mixing"])
+
+
+def _repeated(t):
+    words = t.split()
+    n = Counter(zip(words, words[1:], words[2:], strict=False))
+    return len({i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if n[w] > 1 for k in range(3)})

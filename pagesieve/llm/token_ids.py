@@ -16,11 +16,15 @@ _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class TokenIds:
-    """Encoder of texts to little-endian unsigned 32-bit ids; memory bounded by ``limit`` runs."""
+    """Encoder of texts to little-endian unsigned 32-bit ids.
+
+    At most ``limit`` words and half as many runs are remembered, some 300 bytes each.
+    What is full starts anew.
+    """
 
     long_run = 64  # longer runs are not remembered
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.runs: dict[bytes, bytes] = {}

@@ -32,7 +32,8 @@ def sample(word: Column, log_weight: Column, n: int) -> Column:
     r = -F.ln(u1 * u2)
     t = F.floor(log_weight / r + b)
     key = F.ln(-F.ln(u3 * u4)) - r * (t - b + 1)
-    upper = ((F.greatest(key, F.lit(-511.0)) + 512) * float(1 << 21)).cast("long")
+    # No word (a text without words): the key, and so the draw, is null.
+    upper = ((F.when(key < -511, -511.0).otherwise(key) + 512) * float(1 << 21)).cast("long")
     return F.shiftleft(upper, 32).bitwiseOR(F.xxhash64(word, t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 

@@ -12,6 +12,7 @@ import public_tokenizers
 from compare import connect, differences
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagesieve.llm import fingerprints, lm_scores, near_dup, packing, superminhash
@@ -111,7 +112,7 @@ def test_components_of_a_long_path(spark):
 
 def test_numbered(spark):
     rows = spark.range(0, 1000, 1, 5).selectExpr("id * 7 % 1000 as id")
-    assert all(r.id == r.n for r in numbered(rows, [rows["id"]], "n").collect())
+    assert all(r.id == r.n for r in numbered(rows, [F.col("id")], "n").collect())
 
 
 # --- fingerprints --------------------------------------------------------------------
@@ -263,7 +264,8 @@ def test_quality_against_plain_python(spark, sf, docs):
 def test_boilerplate_lines(spark):
     from pagesieve.llm import quality
 
-    body = lambda n: "\n".join(f"line {chr(97 + k)} of {n * 31 % 977} says thing {hashlib.md5(f'{n}{k}'.encode()).hexdigest()}" for k in range(9))
+    word = lambda n, k: hashlib.md5(f'{n}.{k}'.encode()).hexdigest()[:9]
+    body = lambda n: "\n".join(" ".join(word(n, 9 * k + i) for i in range(7)) for k in range(9))
     menu = "\n".join(f"Menu entry number {k} and some more words to click on" for k in range(12))
     rows = [(n, "h", body(n) + "\nAccept COOKIES 12 now") for n in range(60)]
     rows += [(100 + n, "h", menu + f"\nonly {n}") for n in range(40)]

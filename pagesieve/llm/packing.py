@@ -35,8 +35,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(tokenizer)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
+            for a in range(0, batch.num_rows, 1000):
+                part = batch.slice(a, 1000)
                 rows = []
                 for i, ids in enumerate(ids_of.encode(part.column("text").to_pylist())):
                     ids += end

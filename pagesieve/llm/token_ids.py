@@ -1,8 +1,9 @@
 """Token ids of whole texts, with the ids of words remembered (inside tasks).
 
-The tokenizer drops white space and never lets a token cross it, so a text's ids
-are the ids of its white-space-free runs, one after another. A run that is an
-ASCII word with sentence marks behind it is looked up as word and marks.
+The tokenizer lower-cases, drops white space and never lets a token cross it, so a
+text's ids are the ids of its white-space-free runs, one after another, whatever
+the case of their ASCII letters. A run that is an ASCII word with sentence marks
+behind it has the ids of the word, then those of the marks.
 """
 
 from __future__ import annotations
@@ -18,17 +19,16 @@ _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 class TokenIds:
     """Encoder of texts to little-endian unsigned 32-bit ids.
 
-    At most ``limit`` words and half as many runs are remembered, some 300 bytes each.
-    What is full starts anew.
+    At most ``limit`` runs are remembered, some 200 bytes each; what is full starts anew.
     """
 
     long_run = 64  # longer runs are not remembered
+    at_once = 4_000_000  # bytes of text held as runs
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.runs: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.ids_of: dict[bytes, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -36,57 +36,61 @@ class TokenIds:
     def _encode_many(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word: a thousand at once as one text, parted by the offsets."""
         out = []
-        slices = [words[i : i + 1000] for i in range(0, len(words), 1000)]
-        texts = [[w.decode("utf-8") for w in s] for s in slices]
-        encoded = self.tokenizer.encode_batch([" ".join(t) for t in texts], add_special_tokens=False)
-        for s, e in zip(texts, encoded, strict=True):
+        slices = [[w.decode("utf-8") for w in words[i : i + 1000]] for i in range(0, len(words), 1000)]
+        encoded = self.tokenizer.encode_batch([" ".join(s) for s in slices], add_special_tokens=False)
+        for s, e in zip(slices, encoded, strict=True):
             ids = np.array(e.ids, "<u4").tobytes()
-            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+            at = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
             starts = np.cumsum([0, *(len(w) + 1 for w in s[:-1])])
             cut = (np.searchsorted(at, starts) * 4).tolist() + [len(ids)]
             out += [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
         return out
 
-    def _learn(self, new: set[bytes]) -> None:
-        if len(self.runs) + len(new) > self.limit // 2:
-            self.runs.clear()
-        if len(self.cores) + len(new) > self.limit:
-            self.cores.clear()
-        parted, missing = [], set()
-        for run in new:
-            low = run.lower()
-            core = low.rstrip(_MARKS)
-            if not core or core[-1] not in _ALNUM:
-                core = low
-            parted.append((run, core, low[len(core) :]))
-            missing.update(x for x in (core, low[len(core) :]) if x and x not in self.cores)
-        missing = list(missing)
-        self.cores.update(zip(missing, self._encode_many(missing), strict=True))
-        for run, core, marks in parted:
-            self.runs[run] = self.cores[core] + (self.cores[marks] if marks else b"")
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text as bytes; null and empty texts have none."""
-        plain = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
-        parts = [b.split() if _SPECIAL not in b else None for b in plain]
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.ids_of
+        bare = [r.rstrip(_MARKS) for r in new]
+        marked = [(r, b) for r, b in zip(new, bare, strict=True) if len(r) != len(b) and b and b[-1] in _ALNUM]
+        wanted = set(new)
+        wanted.difference_update([r for r, _ in marked])
+        wanted.update([b for _, b in marked], [r[len(b) :] for r, b in marked])
+        missing = list(wanted.difference(known))
+        known.update(zip(missing, self._encode_many(missing), strict=True))
+        known.update([(r, known[b] + known[r[len(b) :]]) for r, b in marked])
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        parts = [t.lower().split() if _SPECIAL not in t else None for t in texts]
         seen = set().union(*(p for p in parts if p))
-        new = {r for r in seen.difference(self.runs) if len(r) <= self.long_run}
+        new = [r for r in seen.difference(self.ids_of) if len(r) <= self.long_run]
         if new:
+            if len(self.ids_of) + 2 * len(new) > self.limit:
+                self.ids_of.clear()
+                new = [r for r in seen if len(r) <= self.long_run]
             self._learn(new)
-            if len(self.runs) < len(seen):  # forgotten meanwhile
-                self._learn({r for r in seen.difference(self.runs) if len(r) <= self.long_run})
-        get = self.runs.get
+        own = {r: i for r in seen if (i := self.ids_of.get(r)) is not None}
+        get = own.get
         out = []
         for text, p in zip(texts, parts, strict=True):
             if p is None:
-                out.append(self.direct(text))
+                out.append(self.direct(text.decode("utf-8")))
                 continue
-            ids = [get(r) for r in p]
-            if None in ids:
-                ids = [self.direct(r.decode("utf-8")) if i is None else i for r, i in zip(p, ids, strict=True)]
-            out.append(b"".join(ids))
+            try:
+                out.append(b"".join([own[r] for r in p]))
+            except KeyError:  # it has long runs
+                out.append(b"".join([i if (i := get(r)) is not None else self.direct(r.decode("utf-8")) for r in p]))
         return out
 
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text as bytes; null and empty texts have none."""
+        out, held, size = [], [], 0
+        for text in texts:
+            raw = text.encode("utf-8") if text else b""
+            held.append(raw)
+            size += len(raw)
+            if size > self.at_once:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held)
+
 
 _KEPT: dict[str, TokenIds] = {}
 

@@ -165,3 +165,7 @@ ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
     "nbsp": "\xa0", "copy": "©", "middot": "·",
 }
+
+# Numeric references to the C1 range mean the Windows-1252 character there, if it has one.
+C1 = "".join(map(chr, range(0x80, 0xA0)))
+C1_SHOWN = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0))

@@ -46,8 +46,20 @@ def _attribute_pattern(name: str) -> str:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Attribute value, null when the attribute is missing."""
-    raw = F.regexp_extract(tag, _attribute_pattern(name), 1)
+    """Attribute value, null when the attribute is missing.
+
+    Only where another attribute's quoted value holds the name is the tag read
+    attribute by attribute, stepping over quoted values.
+    """
+    inside = rf"""(?is)=\s*(?:"[^"]*(?:^|\s){name}\s*=|'[^']*(?:^|\s){name}\s*=|"{name}\s*=|'{name}\s*=)"""
+    each = r"""(?s)([^\s"'=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+
+    def stepped(t: Column) -> Column:
+        names, values = (F.regexp_extract_all(t, F.lit(each), F.lit(n)) for n in (1, 2))
+        own = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")), lambda x: (F.lower(x["n"]) == name) & (x["v"] != ""))
+        return F.coalesce(F.get(own, F.lit(0))["v"], F.lit(""))
+
+    raw = F.when(tag.rlike(inside), stepped(tag)).otherwise(F.regexp_extract(tag, _attribute_pattern(name), 1))
     return let(
         raw,
         lambda v: F.when(v != "", decode_entities(F.regexp_replace(v, r"""^["']|["']$""", ""))),

@@ -56,24 +56,43 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) == ""
 
 
+def _code_point(name: Column) -> Column:
+    """Code point of a numeric reference ('#65', '#x41'); U+FFFD where there is no such character."""
+    hexadecimal = F.lower(F.left(name, F.lit(2))) == "#x"
+    digits = F.regexp_replace(name, r"^#[xX]?0*(?=.)", "")
+    short = F.length(digits) <= F.when(hexadecimal, 6).otherwise(7)
+    number = F.when(short, F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
+    known = ((number > 0) & (number < 0xD800)) | number.between(0xE000, 0x10FFFF)
+    return F.when(known, number).otherwise(0xFFFD)
+
+
+def _numeric(name: Column) -> Column:
+    """Character of a numeric reference; '' for controls and non-characters."""
+    def char(point: Column) -> Column:
+        shown = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        nothing = (
+            point.between(0x1, 0x8) | point.between(0xE, 0x1F) | (point == 0xB) | (point == 0x7F)
+            | point.between(0xFDD0, 0xFDEF) | ((point % 0x10000) >= 0xFFFE)
+        )
+        return F.when(nothing, "").otherwise(F.translate(shown, fixed.C1, fixed.C1_SHOWN))
+
+    return let(_code_point(name), char)
+
+
 def decode_entities(c: Column) -> Column:
     """Named (``fixed.ENTITIES``) and numeric character references, one pass.
 
     Splitting at '&' decodes each reference once, so '&amp;lt;' gives '&lt;'.
     """
     def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);", 1)
+        name = F.regexp_extract(p, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z]+);", 1)
         return F.when(i == 0, p).otherwise(let(name, lambda n: one(p, n)))
 
     def one(p: Column, name: Column) -> Column:
-        number = F.when(
-            F.lower(F.left(name, F.lit(2))) == "#x", F.conv(F.substr(name, F.lit(3)), 16, 10)
-        ).otherwise(F.substr(name, F.lit(2)))
-        point = F.lpad(F.hex(number.cast("long")), 8, "0")
         char = F.lit(None).cast("string")
         for key, value in fixed.ENTITIES.items():
             char = F.when(name == key, F.lit(value)).otherwise(char)
-        char = F.when(F.startswith(name, F.lit("#")), F.decode(F.unhex(point), "UTF-32")).otherwise(char)
+        char = F.when(F.startswith(name, F.lit("#")), _numeric(name)).otherwise(char)
         return F.coalesce(
             F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)
         )

@@ -65,8 +65,16 @@ def fetch_outcome(files: DataFrame) -> DataFrame:
     )
 
 
+def one_per_origin(files: DataFrame) -> DataFrame:
+    """The latest captured robots file of each origin (by fetched_at, if there is one; then by content)."""
+    content = ["status", "error", "body"]
+    order = [c for c in ("fetched_at",) if c in files.columns] + content
+    last = F.max_by(F.struct(*content), F.struct(*order))
+    return files.groupBy("origin").agg(last.alias("f")).select("origin", "f.*")
+
+
 def robots_groups(files: DataFrame) -> DataFrame:
-    """(origin, group_no, agents, rules[allow, path]) of every parsed file.
+    """(origin, group_no, agents, rules[allow, path]) of every parsed file, one file per origin.
 
     The windows run over the lines of one robots body, which arrived as one row.
     """
@@ -125,13 +133,14 @@ def robots_groups(files: DataFrame) -> DataFrame:
 
 def robots_rule_table(files: DataFrame) -> DataFrame:
     """One row per rule; a group without path rules keeps one row of nulls."""
-    return robots_groups(files).select(
+    return robots_groups(one_per_origin(files)).select(
         "origin", "group_no", "agents", F.posexplode_outer("rules").alias("rule_no", "rule")
     ).select("origin", "group_no", "agents", "rule_no", "rule.allow", "rule.path")
 
 
 def site_policy(files: DataFrame, user_agent: str = fixed.USER_AGENT) -> DataFrame:
     """One row per origin: fetch outcome and the rules that apply to our agent."""
+    files = one_per_origin(files)
     token = user_agent.split("/")[0].lower()
     star = F.array_contains("agents", "*")
     named = F.exists("agents", lambda a: F.contains(F.lit(token), F.lower(a)))

@@ -1,29 +1,14 @@
-"""The given tables, spread over the cores when their files are too few."""
+"""The given tables, read as they are: no shuffle carries a body."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def few_splits(table: DataFrame) -> int | None:
-    """The parallelism to spread to, or None when the scan has enough splits.
-
-    A table in one small file would be taken apart by one task. Large tables
-    have splits for all cores and are read as they are, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return cores if table.rdd.getNumPartitions() < cores else None
-
-
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = few_splits(table)
-    return table.repartition(cores) if cores else table
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The same as SQL text."""
-    path = f"{sf_dir}/{name}.parquet"
-    cores = few_splits(spark.read.parquet(path))
-    hint = f"/*+ REPARTITION({cores}) */ " if cores else ""
-    return f"(select {hint}* from parquet.`{path}`)"
+    return f"parquet.`{sf_dir}/{name}.parquet`"

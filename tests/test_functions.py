@@ -74,6 +74,27 @@ def test_entities_are_decoded_once(spark):
     assert column(spark, values, decode_entities) == [html.unescape(v) for v in values]
 
 
+def test_numeric_references_match_the_standard_library(spark):
+    points = [0, 1, 9, 10, 11, 13, 38, 65, 0x7F, *range(0x80, 0xA0), 0xA0, 0xD7FF, 0xD800, 0xDE00, 0xDFFF, 0xE000, 0xFDD0,
+              0xFFFD, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 9999999, 10**9, 10**30]
+    texts = [f for n in points for f in (f"a&#{n};b", f"a&#x{n:x};b", f"&#X{n:X};", f"&#{n:040d};", f"&#x{n:040x};")]
+    texts += ["&#xD83D;&#xDE00;", "&#;", "&#x;", "&#xg;", "&amp;#65;"]
+    assert column(spark, texts, decode_entities) == [html.unescape(t) for t in texts]
+
+
+def test_attributes_step_over_quoted_values(spark):
+    tags = {
+        'title="see href=fake now" href="/real"': "/real",
+        "title='href=\"x\"' href='/r'": "/r",
+        'data-x="a href=1"': None,
+        'title="href=/fake" HREF = /bare class=x': "/bare",
+        'class="a" href="/b?x=1&amp;y"': "/b?x=1&y",
+        'href="" title="href=no"': "",
+        "disabled href=/c": "/c",
+    }
+    assert column(spark, list(tags), lambda c: markup.attribute(c, "href")) == list(tags.values())
+
+
 def test_price_patterns(spark):
     texts = ["$29.99", "Price: 25.00 JOD", "12 sarongs", "€5", "EUR 5", "no price", "£1,299.00 and 3 usd", "â\x82¬ 5"]
     counts = column(spark, texts, lambda c: F.regexp_count(c, F.lit(fixed.PROFILE_PRICE)))

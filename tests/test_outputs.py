@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spec
 from pagesieve.operators import cleaning
+from pagesieve.plans.oracle import answers
+from pagesieve.plans.queries import QUERIES
 from pagesieve.sources import sinks
 from pagesieve.sources.workspace import new_folder
 
@@ -49,15 +51,18 @@ def test_store_ignores_known_urls_and_survives_replay(spark):
 
 def test_entry_and_names(spark):
     assert spec.entry(spark).count() == 50
-    assert set(spec.queries()) == set(spec.oracle_sql())
+    assert set(QUERIES) == set(answers()) <= set(spec.queries())
+    assert set(spec.oracle_sql()) <= set(spec.queries())
 
 
 def test_bodies_are_not_shuffled(spark):
     """The flagship reads two columns and moves neither the page nor its text."""
     plan = spec.queries()["items_per_page"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<page_id:bigint,url:string,html:string>" in plan
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert exchanges and not any("body" in e or "html" in e for e in exchanges)
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("body" in e or "html" in e or "RoundRobin" in e for e in exchanges)
+    scan = spec.queries()["capture_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in scan
 
 
 @pytest.mark.parametrize(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, markup, trees, urls
 from ..functions.text import settled, split_key, strip
 from ..sources.workspace import ensure_checkpoint_dir
+from . import policy
 from .extraction import ITEM, page_records, shaped
 from .profile import blocked_status
 
@@ -44,11 +45,14 @@ def next_page_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_facts(captures: DataFrame) -> DataFrame:
+def page_facts(
+    captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
+) -> DataFrame:
     """What a walk needs of each captured page: url, next_urls, records.
 
-    Blocked responses give nothing and are left out; of several captures of a
-    URL the lowest job_id counts. The bodies stay in the scan; the thin result is
+    Blocked responses and pages that robots rules forbid give nothing and are left
+    out, as a page that was not fetched; of several captures of a URL the lowest
+    job_id counts. The bodies stay in the scan; the thin result is
     checkpointed, so that no round of the walk reads or parses a page again.
     """
     ensure_checkpoint_dir(captures.sparkSession)
@@ -56,13 +60,14 @@ def page_facts(captures: DataFrame) -> DataFrame:
     view = markup.with_page_columns(readable.select("job_id", "url", "body"), "body")
     facts = page_records(next_page_links(settled(view.drop("text", "body"))))
     one = Window.partitionBy("url").orderBy("job_id")
-    return (
+    thin = (
         settled(facts.select("job_id", "url", "next_urls", "records"))
         .withColumn("_n", F.row_number().over(one))
         .where(F.col("_n") == 1)
         .drop("_n", "job_id")
-        .checkpoint()
     )
+    decided = policy.robots_decision(thin, robots_files, user_agent)
+    return decided.where("robots_decision <> 'blocked'").select("url", "next_urls", "records").checkpoint()
 
 
 def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_PAGES) -> DataFrame:

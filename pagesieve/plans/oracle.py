@@ -525,6 +525,7 @@ STEPS["xml_items"] = """
 STEPS["walk_pages"] = f"""
   select job_id, url, regexp_replace(body, {rx(fixed.TRIVIA)}, '<!>', 'g') as dom
   from captures where contains(lower(content_type), 'text/html') and coalesce(status not in {BLOCKED}, true) and body is not null"""
+STEPS["fetched_pages"] = "select * from walk_pages where job_id in (select job_id from robots where robots_decision <> 'blocked')"
 STEPS["walk_anchors"] = anchors_of("walk_pages", "dom")
 CARD = r"""(?s)<div class=["'](?:product-card|Item|card-empty)["']>(.*?)</div>"""
 STEPS["cards"] = f"""
@@ -571,7 +572,7 @@ STEPS["edges"] = f"""
   group by job_id, url, next_url"""
 STEPS["edge_lists"] = """
   select w.url, coalesce(e.next_urls, []) as next_urls
-  from (select url, min(job_id) as job_id from walk_pages group by url) w
+  from (select url, min(job_id) as job_id from fetched_pages group by url) w
   left join (select job_id, list(next_url order by no) as next_urls from edges group by job_id) e using (job_id)"""
 
 
@@ -596,7 +597,7 @@ STEPS |= walk_steps("html_seeds", "all_walk_")
 STEPS["crawl_jobs"] = "select job_id, url, fields from decided where extractor = 'scrapy'"
 STEPS |= walk_steps("crawl_jobs", "job_walk_")
 STEPS["record_of_url"] = """
-  select r.*, w.url as at_url from records r join (select url, min(job_id) as job_id from walk_pages group by url) w using (job_id)"""
+  select r.*, w.url as at_url from records r join (select url, min(job_id) as job_id from fetched_pages group by url) w using (job_id)"""
 
 
 def shaped(fields: str) -> str:
@@ -906,7 +907,7 @@ _FINAL = {
     "item_limit": f"""select job_id, page_seq, pos, title, url, price from (select d.job_id, p.page_seq, r.pos, {shaped('d.fields')},
         row_number() over (partition by d.job_id order by p.page_seq, r.pos) as nth
       from doms d join all_walk_pages p on p.seed = d.url join record_of_url r on r.at_url = p.url) where nth <= 8""",
-    "crawl_status_skip": """select w.url, len(e.next_urls) as links, coalesce(r.n, 0) as items from (select url, min(job_id) as job_id from walk_pages group by url) w
+    "crawl_status_skip": """select w.url, len(e.next_urls) as links, coalesce(r.n, 0) as items from (select url, min(job_id) as job_id from fetched_pages group by url) w
       join edge_lists e using (url) left join (select job_id, count(*) as n from records group by job_id) r using (job_id)""",
     "squeeze_whitespace": f"select doc_id, {squeeze('text')} as text from documents",
     "url_resolve": f"select job_id, no, href, {resolve('url', squeeze('href'))} as url from anchors",

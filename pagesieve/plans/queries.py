@@ -89,7 +89,7 @@ def _walkable(spark: SparkSession, sf: str) -> DataFrame:
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
     html = profile.content_flags(F.col("content_type"))["is_html"]
-    return crawl.page_facts(_captures(spark, sf).where(html))
+    return crawl.page_facts(_captures(spark, sf).where(html), _robots(spark, sf))
 
 
 def _joined(c: str) -> Column:
@@ -517,7 +517,7 @@ def effective_extractor(spark, sf):
 def dispatch_union(spark, sf):
     assessed = _assessed(spark, sf).checkpoint()
     decided = plan.decide(assessed, _robots(spark, sf)).checkpoint()
-    items = plan.dispatch_items(assessed, decided, _captures(spark, sf))
+    items = plan.dispatch_items(assessed, decided, _captures(spark, sf), _robots(spark, sf))
     return items.select("job_id", *_long("page_seq", "pos"), "title", "url", "price", "source")
 
 

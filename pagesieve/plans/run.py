@@ -92,19 +92,20 @@ def decide(assessed: DataFrame, robots_files: DataFrame, user_agent: str = fixed
     )
 
 
-def dispatch_items(assessed: DataFrame, decided: DataFrame, captures: DataFrame) -> DataFrame:
+def dispatch_items(
+    assessed: DataFrame, decided: DataFrame, captures: DataFrame, robots_files: DataFrame,
+    user_agent: str = fixed.USER_AGENT,
+) -> DataFrame:
     """Items of all extractors together, for allowed jobs only, with base_url.
 
     One-page items are in the assessed rows already; jobs that robots rules
-    block drop out by anti join (usually few, so usually broadcast after
-    measuring). Crawl jobs add the items of their walk.
+    block leave before their items are exploded, one row per job. Crawl jobs add
+    the items of their walk.
     """
     stopped = decided.where(~F.col("allowed")).select("job_id")
-    one_page = extraction.exploded(assessed).join(
-        stopped, "job_id", "left_anti"
-    )
+    one_page = extraction.exploded(assessed.where("size(items) > 0").join(stopped, "job_id", "left_anti"))
     is_html = profile.content_flags(F.col("content_type"))["is_html"]
-    facts = crawl.page_facts(captures.where(is_html))
+    facts = crawl.page_facts(captures.where(is_html), robots_files, user_agent)
     crawl_jobs = decided.where("extractor = 'scrapy'").select("job_id", "url", "fields")
     return one_page.unionByName(crawl.crawl_items(crawl_jobs, facts))
 
@@ -116,7 +117,7 @@ def run_jobs(
     ensure_checkpoint_dir(captures.sparkSession)
     assessed = assess(captures).checkpoint()
     decided = decide(assessed, robots_files, user_agent).checkpoint()
-    items = dispatch_items(assessed, decided, captures)
+    items = dispatch_items(assessed, decided, captures, robots_files, user_agent)
     checked = cleaning.validate(cleaning.clean_items(items)).checkpoint()
     unique = cleaning.first_by_url(cleaning.valid(checked))
     jobs = reporting.with_counts(decided, cleaning.job_item_counts(checked))

@@ -131,7 +131,7 @@ select origin,
     case length(origin) % 13 when 4 then 404 when 5 then 403 when 6 then 503 else 200 end end as int) as status,
   case when length(origin) % 11 = 7 then 'connection refused' end as error,
   case length(origin) % 5
-    when 0 then 'User-agent: *' || chr(10) || 'Disallow: /de/' || chr(10) || 'Allow: /' || chr(13) || chr(10) || 'Disallow: /list'
+    when 0 then 'User-agent: *' || chr(10) || 'Disallow: /de/' || chr(10) || 'Disallow: /list%3Fpage%3D9' || chr(10) || 'Allow: /' || chr(13) || chr(10) || 'Disallow: /list'
     when 1 then '# none' || chr(10) || 'USER-AGENT: pagesieve # us' || chr(10) || 'user-agent: other' || chr(10) || 'Allow: /en/1' || chr(10)
       || 'Disallow: /en/' || chr(10) || 'Disallow: /list%3Fpage%3D7' || chr(10) || chr(10) || 'Disallow: /lost' || chr(10) || 'User-agent: *' || chr(10) || 'Disallow: /'
     when 2 then 'Disallow: /early' || chr(10) || 'User-agent: gone' || chr(10) || chr(10) || 'User-agent: *' || chr(10) || 'Crawl-delay: 3' || chr(10)

@@ -35,6 +35,10 @@ def captures(spark, rows):
     )
 
 
+def no_robots(spark):
+    return spark.createDataFrame([], "origin string, status int, error string, body string")
+
+
 def profiles(spark, bodies, fields, status=200, kind="text/html"):
     df = captures(spark, [("https://example.com", b, kind, status, fields) for b in bodies])
     return profile.source_profile(policy.field_gate(df)).orderBy("job_id")
@@ -251,7 +255,7 @@ def crawl_site(spark):
 
 def test_bounded_walk_and_limits(spark):
     pages = crawl_site(spark)
-    facts = crawl.page_facts(pages)
+    facts = crawl.page_facts(pages, no_robots(spark))
     walk = crawl.bounded_walk(pages.where("job_id = 0"), facts).orderBy("page_seq").collect()
     assert [w.url[-1] for w in walk] == ["0", "1", "2", "4", "5"]
     jobs = pages.where("job_id in (0, 9, 3)").select("job_id", "url", "fields")
@@ -260,9 +264,21 @@ def test_bounded_walk_and_limits(spark):
     assert items[0].keys == ["title", "url", "source"]
 
 
+def test_the_walk_obeys_robots_rules(spark):
+    pages = crawl_site(spark)
+    robots = spark.createDataFrame(
+        [("https://s.example", 200, None, "User-agent: *\nDisallow: /l?page=2\n"), ("https://s.example", None, "timeout", None)],
+        "origin string, status int, error string, body string",
+    )
+    facts = crawl.page_facts(pages, robots)
+    walk = [w.url[-1] for w in crawl.bounded_walk(pages.where("job_id = 0"), facts).orderBy("page_seq").collect()]
+    assert "2" not in walk and walk[0] == "0"
+    assert policy.robots_decision(pages.select("job_id", "url"), robots).count() == pages.count()
+
+
 def test_one_seed_shared_by_many_jobs_is_walked_once(spark):
     pages = crawl_site(spark)
-    facts = crawl.page_facts(pages)
+    facts = crawl.page_facts(pages, no_robots(spark))
     one = pages.where("job_id = 0").select("url", "fields")
     jobs = spark.range(500).withColumnRenamed("id", "job_id").join(one)
     assert crawl.bounded_walk(jobs, facts).count() == 5

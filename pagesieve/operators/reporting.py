@@ -207,7 +207,9 @@ def run_summary(jobs: DataFrame) -> DataFrame:
 def run_reports(jobs: DataFrame, output_paths: dict[str, str] | None = None) -> DataFrame:
     """(job_id, report): one JSON document per job, blocked jobs too.
 
-    A projection of the job row; the stamp is the only value that varies.
+    A projection of the job row; the stamp is the only value that varies. With a
+    column ``inserted`` the report tells how many rows were really stored. A path
+    is given for outputs that were asked for and had items to write.
     """
     profile = F.struct(
         *[F.col(c) for c in PROFILE_COLUMNS], F.col("profile_error").alias("error")
@@ -219,6 +221,17 @@ def run_reports(jobs: DataFrame, output_paths: dict[str, str] | None = None) ->
         ),
     )
     paths = output_paths or {}
+    written = F.array_compact(
+        F.array(
+            *(
+                F.when(
+                    F.array_contains("outputs", output) & (F.col("valid_items_count") > 0),
+                    F.struct(F.lit(output).alias("key"), F.lit(path).alias("value")),
+                )
+                for output, path in paths.items()
+            )
+        )
+    ).cast("array<struct<key:string,value:string>>")
     report = F.struct(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").alias("generated_at"),
         "url", "fields", "outputs", "risk_level", "allowed", "authorization_status",
@@ -231,11 +244,13 @@ def run_reports(jobs: DataFrame, output_paths: dict[str, str] | None = None) ->
         warnings().alias("warnings"),
         errors().alias("errors"),
         F.transform(
-            job_decisions(paths.get("csv", "csv"), paths.get("sqlite", "store")),
+            job_decisions(
+                paths.get("csv", "csv"), paths.get("sqlite", "store"),
+                F.col("inserted") if "inserted" in jobs.columns else None,
+            ),
             lambda d: F.struct(d["layer"], d["decision"], d["reason"]),
         ).alias("decisions"),
-        F.struct(*[F.lit(p).alias(k) for k, p in paths.items()]).alias("output_paths")
-        if paths else F.create_map().cast("map<string,string>").alias("output_paths"),
+        F.map_from_entries(written).alias("output_paths"),
     )
     return jobs.select("job_id", F.to_json(report).alias("report"))
 

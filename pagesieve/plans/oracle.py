@@ -816,9 +816,11 @@ _FINAL = {
     "store_insert_count": "select batch as batch_id, job_id, count(*) as inserted from page_store group by batch, job_id",
     "run_report_json": """select url, risk_level, allowed, authorization_status, strategy as selected_strategy, route, confidence, link_count, profile_error,
         raw_n as raw_items_count, raw_n as clean_items_count, unique_n as valid_items_count, bad_n as invalid_items_count, good_n - unique_n as duplicates_removed,
-        coalesce(m.warnings, 0) as warnings, coalesce(m.errors, 0) as errors, l.layers
+        coalesce(m.warnings, 0) as warnings, coalesce(m.errors, 0) as errors, l.decisions,
+        case when list_contains(outputs, 'csv') and unique_n > 0 then 'csv' end as csv_path,
+        case when list_contains(outputs, 'sqlite') and unique_n > 0 then 'store' end as store_path
       from jobs left join (select job_id, count(*) filter (where severity = 'warning') as warnings, count(*) filter (where severity = 'error') as errors from messages group by job_id) m using (job_id)
-      join (select job_id, string_agg(layer, '|' order by seq) as layers from decisions group by job_id) l using (job_id)""",
+      join (select job_id, string_agg(concat_ws(': ', layer, decision, reason), '|' order by seq) as decisions from decisions group by job_id) l using (job_id)""",
     "decision_log": "select job_id, seq, layer, decision, reason from decisions",
     "quarantine_sink": "select job_id, page_seq, pos, title, url, price, validation_error as _validation_error from checked where validation_error is not null",
     "warning_error_log": "select job_id, severity, message from messages",

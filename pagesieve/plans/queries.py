@@ -160,29 +160,37 @@ def store_insert_count(spark, sf):
 @query
 def run_report_json(spark, sf):
     path = new_folder(spark, "reports")
-    sinks.write_reports(reporting.run_reports(_run(spark, sf).jobs), path)
+    jobs = _with_inserted(_run(spark, sf))
+    sinks.write_reports(reporting.run_reports(jobs, {"csv": "csv", "sqlite": "store"}), path)
     counts = ", ".join(f"{c} long" for c in reporting.COUNTS)
     schema = (
         "url string, risk_level string, allowed boolean, authorization_status string, "
         "selected_strategy string, scrape_route struct<route:string,confidence:string>, "
         "source_profile struct<link_count:long,error:string>, "
-        f"{counts}, warnings array<string>, errors array<string>, decisions array<struct<layer:string>>"
+        f"{counts}, warnings array<string>, errors array<string>, decisions array<struct<layer:string,decision:string,reason:string>>, "
+        "output_paths struct<csv:string,sqlite:string>"
     )
     return spark.read.schema(schema).json(path).select(
         "url", "risk_level", "allowed", "authorization_status", "selected_strategy",
         "scrape_route.route", "scrape_route.confidence", "source_profile.link_count",
         F.col("source_profile.error").alias("profile_error"), *reporting.COUNTS,
         F.size("warnings").cast("long").alias("warnings"), F.size("errors").cast("long").alias("errors"),
-        F.array_join("decisions.layer", "|").alias("layers"),
+        F.array_join(
+            F.transform("decisions", lambda d: F.concat_ws(": ", d["layer"], d["decision"], d["reason"])), "|"
+        ).alias("decisions"),
+        F.col("output_paths.csv").alias("csv_path"), F.col("output_paths.sqlite").alias("store_path"),
     )
 
 
+def _with_inserted(run: plan.Run) -> DataFrame:
+    """Job rows with the number of items an empty store takes from each."""
+    stored = run.jobs.sparkSession.createDataFrame([], sinks.STORE_SCHEMA)
+    fresh = sinks.unseen(_for_output(run, "sqlite"), stored)
+    return run.jobs.join(sinks.inserted_counts(fresh), "job_id", "left").fillna(0, ["inserted"])
+
+
 def _log(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, sf)
-    fresh = sinks.unseen(
-        _for_output(run, "sqlite"), spark.createDataFrame([], sinks.STORE_SCHEMA)
-    )
-    jobs = run.jobs.join(sinks.inserted_counts(fresh), "job_id", "left").fillna(0, ["inserted"])
+    jobs = _with_inserted(_run(spark, sf))
     return reporting.decision_log(jobs, reporting.job_decisions(stored=F.col("inserted")))
 
 

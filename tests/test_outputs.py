@@ -42,9 +42,9 @@ def test_store_ignores_known_urls_and_survives_replay(spark):
     keys = ["title"]
     first = items(spark, [(1, "a", "u1", None, None, keys), (1, "b", "u2", None, None, keys), (2, "late", "u1", None, None, keys)])
     second = items(spark, [(3, "c", "u3", None, None, keys), (3, "again", "u1", None, None, keys)])
-    assert sinks.store_batch(first, path, 1).count() == 2
+    assert sinks.store_batch(first, path, 1, "a").count() == 2
     for _ in range(2):
-        written = sinks.store_batch(second, path, 2)
+        written = sinks.store_batch(second, path, 1, "b")  # the number of another writer's batch
         assert {(r.job_id, r.inserted) for r in sinks.inserted_counts(written).collect()} == {(3, 1)}
     assert {(r.title, r.url) for r in sinks.read_store(spark, path).collect()} == {("a", "u1"), ("b", "u2"), ("c", "u3")}
 

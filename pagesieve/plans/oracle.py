@@ -935,9 +935,9 @@ _FINAL = {
         count(*) filter (where not regexp_matches(url, '^https?://')) as invalid_items_count,
         count(*) filter (where regexp_matches(url, '^https?://')) - count(distinct case when regexp_matches(url, '^https?://') then url end) as duplicates_removed
       from page_items group by job_id""",
-    "stream_ingest": f"select job_id, pos, title, url, price, source, coalesce({', '.join(RULES)}) as validation_error from one_page",
-    "stream_dedup_url": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null",
-    "stream_store": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null",
+    "stream_ingest": f"select job_id, pos, title, url, price, source, coalesce({', '.join(RULES)}) as validation_error from one_page where job_id in (select job_id from robots where robots_decision <> 'blocked')",
+    "stream_dedup_url": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null and job_id in (select job_id from robots where robots_decision <> 'blocked')",
+    "stream_store": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null and job_id in (select job_id from robots where robots_decision <> 'blocked')",
 }
 
 

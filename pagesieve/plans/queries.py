@@ -869,7 +869,7 @@ def _arrivals(spark: SparkSession, sf: str, sql: str, files: int = 4) -> str:
 def stream_ingest(spark, sf):
     arrivals = _arrivals(spark, sf, derived.CAPTURES)
     out = new_folder(spark, "stream-items")
-    items = ingest.checked_items(ingest.capture_stream(spark, arrivals)).drop("extra")
+    items = ingest.checked_items(ingest.capture_stream(spark, arrivals), _robots(spark, sf)).drop("extra")
     ingest.to_parquet(items, out, new_folder(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(out).select(
         "job_id", *_long("pos"), "title", "url", "price", "source", "validation_error"
@@ -878,7 +878,7 @@ def stream_ingest(spark, sf):
 
 def _stream_valid(spark: SparkSession, sf: str) -> DataFrame:
     arrivals = _arrivals(spark, sf, derived.CAPTURES)
-    return cleaning.valid(ingest.checked_items(ingest.capture_stream(spark, arrivals))).drop("extra")
+    return cleaning.valid(ingest.checked_items(ingest.capture_stream(spark, arrivals), _robots(spark, sf))).drop("extra")
 
 
 @query

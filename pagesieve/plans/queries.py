@@ -126,9 +126,8 @@ def _for_output(run: plan.Run, output: str) -> DataFrame:
 
 @query
 def export_csv(spark, sf):
-    path = new_folder(spark, "csv")
-    sinks.export_csv(_for_output(_run(spark, sf), "csv"), path)
-    return sinks.read_csv(spark, path)
+    folder = sinks.export_csv(_for_output(_run(spark, sf), "csv"), new_folder(spark, "csv"))
+    return sinks.read_csv(spark, folder).withColumn("job_id", F.col("job_id").cast("long"))
 
 
 def _page_items(spark: SparkSession, sf: str, batch: str = "true") -> DataFrame:

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import re
 
-from ..functions import fixed
-from ..sources import derived
+from pagesieve.functions import fixed
+from pagesieve.sources import derived
 
 
 def text(s: str) -> str:
@@ -810,7 +810,7 @@ def failures(kind: str, source: str) -> str:
 _FINAL = {
     "capture_scan": "select page_id as job_id, url, cast(200 as bigint) as status, 'text/html' as content_type, strlen(html) as body_bytes from pages",
     "job_request_scan": f"select job_id, url, {joined('fields')} as fields, len(fields) as n_fields, {joined('outputs')} as outputs from requests",
-    "export_csv": "select u.title, u.url, u.source, u.price, case when list_contains(d.fields, 'stock') then u.stock end as stock, "
+    "export_csv": "select u.job_id, u.title, u.url, u.source, u.price, case when list_contains(d.fields, 'stock') then u.stock end as stock, "
                   "u.note from unique_items u join decided d using (job_id) where list_contains(d.outputs, 'csv')",
     "store_insert_or_ignore": "select title, url, 'static_html' as source from page_store",
     "store_insert_count": "select batch as batch_id, job_id, count(*) as inserted from page_store group by batch, job_id",

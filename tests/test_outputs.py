@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
+from sql_answers import answers
 
 import __spark_entry__ as spec
 from pagesieve.operators import cleaning
-from pagesieve.plans.oracle import answers
 from pagesieve.plans.queries import QUERIES
 from pagesieve.sources import sinks
 from pagesieve.sources.workspace import new_folder
@@ -30,10 +30,12 @@ def test_csv_columns_are_the_union_in_first_seen_order(spark):
         (2, "line\nbreak", "u2", "5", None, ["title", "url", "price", "source"]),
     ]
     path = new_folder(spark, "t-csv")
-    assert sinks.export_csv(items(spark, rows), path)
-    back = sinks.read_csv(spark, path)
-    assert back.columns == ["title", "url", "source", "stock", "price"]
+    back = sinks.read_csv(spark, sinks.export_csv(items(spark, rows), path))
+    assert back.columns == ["job_id", "title", "url", "source", "stock", "price"]
     assert {r.title: (r.stock, r.price) for r in back.collect()} == {'a "q", b': ("3", None), "line\nbreak": (None, "5")}
+    few = sinks.read_csv(spark, sinks.export_csv(items(spark, rows), path, most=3))
+    assert few.columns == ["job_id", "title", "url", "source", "more"]
+    assert {r.job_id: r.more for r in few.collect()} == {"1": '{"stock":"3"}', "2": None}
     assert not sinks.export_csv(items(spark, rows).where("false"), new_folder(spark, "t-none"))
 
 

@@ -45,29 +45,39 @@ def next_page_links(pages: DataFrame) -> DataFrame:
     )
 
 
+def with_walk_columns(pages: DataFrame) -> DataFrame:
+    """Add ``next_urls`` and ``walk_records`` to rows with url, dom and anchors."""
+    return page_records(next_page_links(pages)).withColumnRenamed("records", "walk_records")
+
+
+def fetchable(
+    facts: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
+) -> DataFrame:
+    """What a walk may use of page facts (job_id, url, next_urls, records).
+
+    Pages that robots rules forbid are left out, as a page that was not fetched; of
+    several captures of a URL the lowest job_id counts. The rows are thin; the
+    result is checkpointed, so that no round of the walk computes it again.
+    """
+    ensure_checkpoint_dir(facts.sparkSession)
+    one = Window.partitionBy("url").orderBy("job_id")
+    first = facts.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1)
+    decided = policy.robots_decision(first.drop("_n", "job_id"), robots_files, user_agent)
+    return decided.where("robots_decision <> 'blocked'").select("url", "next_urls", "records").checkpoint()
+
+
 def page_facts(
     captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
 ) -> DataFrame:
     """What a walk needs of each captured page: url, next_urls, records.
 
-    Blocked responses and pages that robots rules forbid give nothing and are left
-    out, as a page that was not fetched; of several captures of a URL the lowest
-    job_id counts. The bodies stay in the scan; the thin result is
-    checkpointed, so that no round of the walk reads or parses a page again.
+    Blocked responses give nothing and are left out. The bodies stay in the scan.
     """
-    ensure_checkpoint_dir(captures.sparkSession)
     readable = captures.where(~blocked_status(F.col("status")) & F.col("body").isNotNull())
     view = markup.with_page_columns(readable.select("job_id", "url", "body"), "body")
-    facts = page_records(next_page_links(settled(view.drop("text", "body"))))
-    one = Window.partitionBy("url").orderBy("job_id")
-    thin = (
-        settled(facts.select("job_id", "url", "next_urls", "records"))
-        .withColumn("_n", F.row_number().over(one))
-        .where(F.col("_n") == 1)
-        .drop("_n", "job_id")
-    )
-    decided = policy.robots_decision(thin, robots_files, user_agent)
-    return decided.where("robots_decision <> 'blocked'").select("url", "next_urls", "records").checkpoint()
+    facts = with_walk_columns(settled(view.drop("text", "body")))
+    thin = settled(facts.select("job_id", "url", "next_urls", F.col("walk_records").alias("records")))
+    return fetchable(thin, robots_files, user_agent)
 
 
 def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_PAGES) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import cleaning, crawl, extraction, policy, profile, reporting,
 from ..sources import captures as source
 from ..sources import derived, sinks
 from ..sources.tables import given
-from ..sources.workspace import new_folder
+from ..sources.workspace import new_folder, stored
 from ..streaming import ingest
 from . import run as plan
 
@@ -522,9 +522,9 @@ def effective_extractor(spark, sf):
 
 @query
 def dispatch_union(spark, sf):
-    assessed = _assessed(spark, sf).checkpoint()
-    decided = plan.decide(assessed, _robots(spark, sf)).checkpoint()
-    items = plan.dispatch_items(assessed, decided, _captures(spark, sf), _robots(spark, sf))
+    assessed = stored(plan.assess(_captures(spark, sf), for_walks=True), "assessed")
+    decided = stored(plan.decide(assessed, _robots(spark, sf)), "decided")
+    items = plan.dispatch_items(assessed, decided, _robots(spark, sf))
     return items.select("job_id", *_long("page_seq", "pos"), "title", "url", "price", "source")
 
 

@@ -3,9 +3,10 @@
 Order of work, chosen so that response bodies are read once per scan and never
 shuffled:
 
-1. one narrow pass over the captures: gate, profile, strategy, one-page items;
-2. its thin result is checkpointed, then robots rules join by origin;
-3. crawl jobs walk the page facts (a second narrow pass, HTML only);
+1. one narrow pass over the captures: gate, profile, strategy, one-page items and
+   what walks need of each page; its result is stored as Parquet, without bodies;
+2. robots rules join the thin columns of it by origin;
+3. crawl jobs walk the page facts, which are other columns of it;
 4. items are cleaned, checked and checkpointed; counts and dedup shuffle them by
    (job, url), which spreads a job that holds most rows.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import settled
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
-from ..sources.workspace import ensure_checkpoint_dir
+from ..sources.workspace import ensure_checkpoint_dir, stored
 
 JOB_COLUMNS = ["job_id", "url", "fields", "outputs"]
 
@@ -32,13 +33,17 @@ class Run:
     unique: DataFrame    # valid items, first per (job, url)
 
 
-def assess(captures: DataFrame) -> DataFrame:
+def assess(captures: DataFrame, for_walks: bool = False) -> DataFrame:
     """Narrow pass over responses: gate, profile, tentative strategy, one-page items.
 
     ``items`` holds what the extractor would give if the job is allowed; crawl
     jobs get theirs later. ``json_read`` and ``xml_read`` tell parse failures.
+    ``for_walks`` adds ``next_urls`` and ``walk_records`` of HTML pages, from the
+    same dom and anchors.
     """
     df = settled(profile.source_profile(policy.field_gate(captures), keep_page_columns=True))
+    if for_walks:
+        df = crawl.with_walk_columns(df)
     reached = (
         (F.col("risk_level") == "low")
         & F.col("error").isNull()
@@ -77,7 +82,7 @@ def assess(captures: DataFrame) -> DataFrame:
 
 def decide(assessed: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT) -> DataFrame:
     """One thin row per job: robots verdict, authorization, strategy, route, extractor."""
-    thin = assessed.drop("items")
+    thin = assessed.drop("items", "next_urls", "walk_records")
     df = policy.robots_decision(thin, robots_files, user_agent).drop("origin", "asked", "outcome")
     # The gate looks at the raw status; a skipped profiler leaves no profile.
     df = policy.authorization_gate(df.withColumn("status", F.col("status_code"))).drop("status")
@@ -93,21 +98,26 @@ def decide(assessed: DataFrame, robots_files: DataFrame, user_agent: str = fixed
 
 
 def dispatch_items(
-    assessed: DataFrame, decided: DataFrame, captures: DataFrame, robots_files: DataFrame,
+    assessed: DataFrame, decided: DataFrame, robots_files: DataFrame,
     user_agent: str = fixed.USER_AGENT,
 ) -> DataFrame:
     """Items of all extractors together, for allowed jobs only, with base_url.
 
     One-page items are in the assessed rows already; jobs that robots rules
     block leave before their items are exploded, one row per job. Crawl jobs add
-    the items of their walk.
+    the items of their walk; ``assessed`` was made for walks.
     """
     stopped = decided.where(~F.col("allowed")).select("job_id")
-    one_page = extraction.exploded(assessed.where("size(items) > 0").join(stopped, "job_id", "left_anti"))
-    is_html = profile.content_flags(F.col("content_type"))["is_html"]
-    facts = crawl.page_facts(captures.where(is_html), robots_files, user_agent)
+    one_page = extraction.exploded(
+        assessed.select("job_id", "url", "items").where("size(items) > 0").join(stopped, "job_id", "left_anti")
+    )
+    facts = assessed.where("next_urls is not null").select(
+        "job_id", "url", "next_urls", F.col("walk_records").alias("records")
+    )
     crawl_jobs = decided.where("extractor = 'scrapy'").select("job_id", "url", "fields")
-    return one_page.unionByName(crawl.crawl_items(crawl_jobs, facts))
+    return one_page.unionByName(
+        crawl.crawl_items(crawl_jobs, crawl.fetchable(facts, robots_files, user_agent))
+    )
 
 
 def run_jobs(
@@ -115,10 +125,10 @@ def run_jobs(
 ) -> Run:
     """Run every job of ``captures`` (with fields and outputs) to checked items."""
     ensure_checkpoint_dir(captures.sparkSession)
-    assessed = assess(captures).checkpoint()
-    decided = decide(assessed, robots_files, user_agent).checkpoint()
-    items = dispatch_items(assessed, decided, captures, robots_files, user_agent)
-    checked = cleaning.validate(cleaning.clean_items(items)).checkpoint()
+    assessed = stored(assess(captures, for_walks=True), "assessed")
+    decided = stored(decide(assessed, robots_files, user_agent), "decided")
+    items = dispatch_items(assessed, decided, robots_files, user_agent)
+    checked = stored(cleaning.validate(cleaning.clean_items(items)), "checked")
     unique = cleaning.first_by_url(cleaning.valid(checked))
     jobs = reporting.with_counts(decided, cleaning.job_item_counts(checked))
     return Run(jobs=jobs, checked=checked, unique=unique)

@@ -94,8 +94,14 @@ def router_js_heavy(scripts: Column, text_length: Column) -> Column:
 
 
 def html_signals(df: DataFrame, html: str = "html") -> DataFrame:
-    """Add the 11 content signals of the router."""
+    """Add the 11 content signals of the router.
+
+    Where ``df`` carries ``dom`` and ``anchors`` of its pages (see
+    ``with_page_columns``), they are used and only other content is taken apart here.
+    """
     source = F.col(html)
+    dom = F.col("dom") if "dom" in df.columns else F.lit(None).cast("string")
+    known = F.col("anchors") if "anchors" in df.columns else None
     df = df.withColumns(
         {
             "html_provided": source.isNotNull(),
@@ -111,11 +117,15 @@ def html_signals(df: DataFrame, html: str = "html") -> DataFrame:
             "blocked_pattern": blocked_pattern(F.col("_low")),
             "xml_like_content": ~F.col("json_like_content") & F.col("_xml_like"),
             "_html": F.when(markup_only, source),
-            "_dom": markup.dom(F.when(markup_only, source)),
+            "_dom": F.when(markup_only, F.coalesce(dom, markup.dom(F.when(dom.isNull(), source)))),
         }
     )
+    own = markup.anchors(F.col("_dom") if known is None else F.when(known.isNull(), F.col("_dom")))
     df = df.withColumns(
-        {"_anchors": markup.anchors(F.col("_dom")), "_bare": markup.without_noscript(F.col("_dom"))}
+        {
+            "_anchors": own if known is None else F.coalesce(F.when(F.col("_dom").isNotNull(), known), own),
+            "_bare": markup.without_noscript(F.col("_dom")),
+        }
     )
     anchors, bare = F.col("_anchors"), F.col("_bare")
     bare_anchors = F.when(

@@ -461,7 +461,8 @@ def blocked_pattern(spark, sf):
 
 
 def _signals(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.html_signals(settled(_profile(spark, sf)).withColumnRenamed("body", "content"), "content")
+    """The router's content signals need the captures alone."""
+    return routing.html_signals(_captures(spark, sf).select("job_id", F.col("body").alias("content")), "content")
 
 
 @query
@@ -490,7 +491,8 @@ def metadata_signals(spark, sf):
 
 
 def _routed(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.scrape_route(settled(_signals(spark, sf)), with_html=True)
+    pages = settled(_profile(spark, sf, keep=True)).withColumnRenamed("body", "content")
+    return routing.scrape_route(settled(routing.html_signals(pages, "content")), with_html=True)
 
 
 @query

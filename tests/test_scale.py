@@ -6,7 +6,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from pagesieve.functions import fixed
 from pagesieve.operators import cleaning, crawl, policy
+from pagesieve.plans import run as plan_of_run
+from pagesieve.plans.queries import QUERIES
+from pagesieve.sources import captures as source
+from pagesieve.sources import derived
 
 
 @contextmanager
@@ -73,3 +78,22 @@ def test_dedup_combines_before_the_shuffle(spark):
     plan = unique._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "hashpartitioning(job_id" in plan
     assert {(r.pos, r.copies) for r in unique.collect()} == {(i, 4286 if i < 5 else 4285) for i in range(7)}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signal_queries_compute_no_profile(spark):
+    spark.conf.set("spark.sql.maxPlanStringLength", str(2**30))
+    for name in ("target_structure_count", "html_signals"):
+        plan = _plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert fixed.AVAILABILITY[:40] not in plan and fixed.PROFILE_PRICE[:40] not in plan
+
+
+def test_the_run_scans_each_input_once(spark):
+    """One scan per relation of the captures, walk facts included."""
+    spark.conf.set("spark.sql.maxPlanStringLength", str(2**30))
+    captures = source.with_request(derived.derive(spark, derived.CAPTURES, "/root/testdata/sf0.001"))
+    plan = plan_of_run.assess(captures, for_walks=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 4 and "Exchange" not in plan

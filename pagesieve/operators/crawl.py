@@ -124,19 +124,40 @@ def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_
     return state.select("seed", F.posexplode("visited").alias("page_seq", "url"))
 
 
+def with_limits(jobs: DataFrame, max_pages: int, max_items: int) -> DataFrame:
+    """Crawl jobs with their own ``max_pages`` and ``max_items``, or the defaults where they have none."""
+    def own(name: str, default: int) -> Column:
+        value = F.coalesce(F.col(name).cast("int"), F.lit(default)) if name in jobs.columns else F.lit(default)
+        return value.alias(name)
+
+    return jobs.select("job_id", "url", "fields", own("max_pages", max_pages), own("max_items", max_items))
+
+
 def crawl_items(
     jobs: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_PAGES, max_items: int = fixed.MAX_ITEMS
 ) -> DataFrame:
-    """Items of each crawl job (job_id, url, fields), at most ``max_items`` of each."""
-    walk = bounded_walk(jobs, facts, max_pages)
+    """Items of each crawl job (job_id, url, fields and, where wanted, max_pages and max_items).
+
+    A seed is walked once, as far as its most generous job allows; the first pages
+    and items of a longer walk are those of a shorter one, so each job's limits cut
+    the common walk.
+    """
+    limited = with_limits(jobs, max_pages, max_items)
+    if {"max_pages", "max_items"} & set(jobs.columns):
+        most = limited.agg(F.max("max_pages"), F.max("max_items")).first()
+        max_pages, max_items = (m or 0 for m in most)
+    walk = bounded_walk(limited, facts, max_pages)
     found = facts.select(split_key(F.col("url")).alias("_key"), "records")
     records = walk.join(found, split_key(F.col("url")) == F.col("_key")).select(
         "seed", "page_seq", F.explode("records").alias("r")
     )
-    kept = item_limit(records.select("seed", "page_seq", "r.pos", "r"), "seed", max_items)
+    kept = item_limit(records.select("seed", "page_seq", "r.pos", "r"), "seed", max_items, rank="_n")
     items = (
-        jobs.select("job_id", "url", "fields")
-        .join(kept, split_key(F.col("url")) == split_key(F.col("seed")))
+        limited.join(
+            kept,
+            (split_key(F.col("url")) == split_key(F.col("seed")))
+            & (F.col("page_seq") < F.col("max_pages")) & (F.col("_n") <= F.col("max_items")),
+        )
         .select(
             "job_id", F.col("url").alias("base_url"), "page_seq",
             shaped(F.col("r"), F.col("fields")).cast(ITEM).alias("i"),
@@ -145,11 +166,22 @@ def crawl_items(
     return items.select("job_id", "base_url", "page_seq", "i.*")
 
 
-def item_limit(items: DataFrame, key: str, limit: int = fixed.MAX_ITEMS) -> DataFrame:
-    """First ``limit`` rows per key in walk order.
+def cut_jobs(
+    jobs: DataFrame, items: DataFrame, max_pages: int = fixed.MAX_PAGES, max_items: int = fixed.MAX_ITEMS
+) -> DataFrame:
+    """(job_id, cut): crawl jobs whose items reach a limit of theirs: ``max_items``, else ``max_pages``."""
+    seen = items.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"), (F.max("page_seq") + 1).alias("pages"))
+    cut = F.when(F.col("n") >= F.col("max_items"), "max_items").when(F.col("pages") >= F.col("max_pages"), "max_pages")
+    joined = with_limits(jobs, max_pages, max_items).join(seen, "job_id")
+    return joined.select("job_id", cut.alias("cut")).where("cut is not null")
+
+
+def item_limit(items: DataFrame, key: str, limit: int = fixed.MAX_ITEMS, rank: str | None = None) -> DataFrame:
+    """First ``limit`` rows per key in walk order, with their ``rank`` if it is named.
 
     The rank filter is applied within each partition before rows are shuffled,
     so even a key with a third of all rows sends only ``limit`` per partition.
     """
     order = Window.partitionBy(key).orderBy("page_seq", "pos")
-    return items.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit).drop("_n")
+    first = items.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit)
+    return first.withColumnRenamed("_rank", rank) if rank else first.drop("_rank")

@@ -114,7 +114,8 @@ def dispatch_items(
     facts = assessed.where("next_urls is not null").select(
         "job_id", "url", "next_urls", F.col("walk_records").alias("records")
     )
-    crawl_jobs = decided.where("extractor = 'scrapy'").select("job_id", "url", "fields")
+    wanted = ["job_id", "url", "fields", *(c for c in ("max_pages", "max_items") if c in decided.columns)]
+    crawl_jobs = decided.where("extractor = 'scrapy'").select(*wanted)
     return one_page.unionByName(
         crawl.crawl_items(crawl_jobs, crawl.fetchable(facts, robots_files, user_agent))
     )
@@ -123,7 +124,10 @@ def dispatch_items(
 def run_jobs(
     captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
 ) -> Run:
-    """Run every job of ``captures`` (with fields and outputs) to checked items."""
+    """Run every job of ``captures`` (with fields and outputs) to checked items.
+
+    Columns ``max_pages`` and ``max_items`` of the captures limit their own walks.
+    """
     ensure_checkpoint_dir(captures.sparkSession)
     assessed = stored(assess(captures, for_walks=True), "assessed")
     decided = stored(decide(assessed, robots_files, user_agent), "decided")

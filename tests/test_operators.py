@@ -264,6 +264,18 @@ def test_bounded_walk_and_limits(spark):
     assert items[0].keys == ["title", "url", "source"]
 
 
+def test_jobs_have_limits_of_their_own(spark):
+    pages = crawl_site(spark)
+    facts = crawl.page_facts(pages, no_robots(spark))
+    one = pages.where("job_id = 0").select("url", "fields")
+    limits = spark.createDataFrame([(1, 2, None), (2, None, 1), (3, 1, 1), (4, None, None)], "job_id long, max_pages int, max_items int")
+    jobs = limits.join(one)
+    items = crawl.crawl_items(jobs, facts)
+    counts = {r.job_id: (r["count"], r.pages) for r in items.groupBy("job_id").agg(F.count("*").alias("count"), F.countDistinct("page_seq").alias("pages")).collect()}
+    assert counts == {1: (2, 2), 2: (1, 1), 3: (1, 1), 4: (5, 5)}
+    assert {r.job_id: r.cut for r in crawl.cut_jobs(jobs, items).collect()} == {1: "max_pages", 2: "max_items", 3: "max_items", 4: "max_pages"}
+
+
 def test_the_walk_obeys_robots_rules(spark):
     pages = crawl_site(spark)
     robots = spark.createDataFrame(

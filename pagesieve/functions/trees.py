@@ -12,6 +12,7 @@ import json
 import re
 import sys
 import xml.etree.ElementTree as ElementTree
+from collections import Counter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -40,7 +41,6 @@ _RANGES = T.ArrayType(
     T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
 )
 _CONTAINERS = list(fixed.JSON_CONTAINERS)
-_RECORD_TAGS = set(fixed.XML_RECORD_TAGS)
 _XML_ARROW = pa.list_(
     pa.struct(
         [
@@ -86,9 +86,11 @@ def json_first_objects(body: pa.Array) -> pa.Array:
 
 # --- XML: elements with children ----------------------------------------------
 def xml_elements(text: str) -> list[dict] | None:
-    """Elements that have child elements; null when the text is not well formed.
+    """Record candidates: elements with child elements; null when the text is not well formed.
 
-    ``twins`` counts the root's children of the same name (for depth 1 only).
+    Those of the first record tag that occurs; without one, the root's children
+    that have twins (``twins``: children of the root with that name). Text is taken
+    of candidates only, so nesting around them is not copied level by level.
     """
     def name(tag: str) -> str:
         return tag.rpartition("}")[2].lower()
@@ -100,28 +102,32 @@ def xml_elements(text: str) -> list[dict] | None:
         root = ElementTree.fromstring(text)
     except (ElementTree.ParseError, ValueError):
         return None
-    twins: dict[str, int] = {}
-    for child in root:
-        twins[name(child.tag)] = twins.get(name(child.tag), 0) + 1
-    out = []
+    twins = Counter(name(child.tag) for child in root)
+    parents = []
     todo = [(root, 0)]
     while todo:
         node, depth = todo.pop()
         kids = list(node)
+        if kids:
+            parents.append((node, depth, name(node.tag)))
         todo.extend((kid, depth + 1) for kid in reversed(kids))
-        tag = name(node.tag)
-        if kids and (depth > 0 or tag in _RECORD_TAGS):
-            parts = [{"tag": name(k.tag), "text": inner(k)} for k in kids]
-            blank = not any(p["text"] for p in parts)
-            out.append(
-                {
-                    "depth": depth,
-                    "tag": tag,
-                    "twins": twins[tag] if depth == 1 else 0,
-                    "text": inner(node) if blank else "",
-                    "children": parts,
-                }
-            )
+    there = {tag for _, _, tag in parents}
+    record = next((t for t in fixed.XML_RECORD_TAGS if t in there), None)
+    out = []
+    for node, depth, tag in parents:
+        if tag != record if record else depth != 1 or twins[tag] < 2:
+            continue
+        parts = [{"tag": name(k.tag), "text": inner(k)} for k in node]
+        blank = not any(p["text"] for p in parts)
+        out.append(
+            {
+                "depth": depth,
+                "tag": tag,
+                "twins": twins[tag] if depth == 1 else 0,
+                "text": inner(node) if blank else "",
+                "children": parts,
+            }
+        )
     return out
 
 

@@ -30,9 +30,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagesieve/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagesieve/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables: results that still read them are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

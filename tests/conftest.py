@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pagesieve.sources.workspace import clean  # noqa: E402
+
 
 def make_session() -> SparkSession:
     spark = (
@@ -26,4 +28,6 @@ def make_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    return make_session()
+    session = make_session()
+    yield session
+    clean(session)

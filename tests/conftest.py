@@ -8,19 +8,15 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pagesieve.sources.session import session  # noqa: E402
 from pagesieve.sources.workspace import clean  # noqa: E402
 
 
 def make_session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .appName("pagesieve-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+    """The product's own settings, on eight local threads."""
+    spark = session(
+        "pagesieve-tests", "local[8]", spark_sql_shuffle_partitions="8", spark_driver_memory="8g",
+        spark_ui_enabled="false", spark_ui_showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -28,6 +24,6 @@ def make_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    session = make_session()
-    yield session
-    clean(session)
+    own = make_session()
+    yield own
+    clean(own)

@@ -90,3 +90,61 @@ select conv_id, count(*) as n_turns,
   cast(sum(chars) + coalesce((select sum(chars) from repeated r where r.conv_id = s.conv_id), 0) as bigint) as formatted_chars
 from summed s group by conv_id
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+
+ANSWERS["op6_line_frequency_rules"] = f"""
+with d as (
+  select doc_id, coalesce('=' || source, '') as host, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), {_WORDS}) as words
+  from documents),
+lines as (
+  select doc_id, host, text, line, len(regexp_extract_all(line, {_WORDS})) as words,
+    array_to_string(regexp_extract_all(translate(translate(line, '{_UPPER}', '{_LOWER}'), '123456789', '000000000'), {_WORDS}), ' ') as norm
+  from (select doc_id, host, text, unnest(string_split(text, chr(10))) as line from d)
+  where regexp_matches(line, {_WORDS})),
+doubles as (select doc_id, count(*) - count(distinct line) as n from lines group by doc_id),
+windows as (
+  select doc_id, i, count(*) over (partition by doc_id, words[i], words[i + 1], words[i + 2]) as n
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from d where len(words) > 2)),
+repeated as (
+  select doc_id, count(distinct i + k) as n from windows, (select unnest([0, 1, 2]) as k) where n > 1 group by doc_id),
+shared as (select host, norm, count(distinct text) as texts from lines group by host, norm having count(distinct text) > 20),
+hosts as (select host, count(distinct text) as host_texts from d group by host),
+frequent as (select host, norm from shared join hosts using (host) where texts > 0.1 * host_texts),
+gone as (select doc_id, sum(words) as n from lines join frequent using (host, norm) group by doc_id),
+counts as (
+  select d.doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(b.n, 0) as n_dup_lines,
+    coalesce(r.n, 0) as n_repeat_words, len(words) - coalesce(g.n, 0) as n_left
+  from d left join doubles b using (doc_id) left join repeated r using (doc_id) left join gone g using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, cast(n_left as bigint) as n_left,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 100 * n_left >= 30 * n_words as kept
+from counts
+"""
+
+ANSWERS["op10_superminhash_near_dup"] = f"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_WORDS}) as w from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from d),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+  select a, b from (
+    select x.doc_id as a, y.doc_id as b, count(*) as both_have from shingles x join shingles y using (s)
+    where x.doc_id < y.doc_id group by 1, 2) p
+  join sizes m on m.doc_id = p.a join sizes n on n.doc_id = p.b
+  where 100 * both_have >= 85 * (m.n + n.n - both_have)),
+edges as (select a, b from links union all select b, a from links),
+reach as (
+  select a, b from edges
+  union
+  select r.a, e.b from reach r join edges e on e.a = r.b)
+select d.doc_id, coalesce(z.n, 0) as n_shingles, least(d.doc_id, coalesce(r.least_one, d.doc_id)) as component_id,
+  d.doc_id = least(d.doc_id, coalesce(r.least_one, d.doc_id)) as kept
+from d left join sizes z using (doc_id) left join (select a as doc_id, min(b) as least_one from reach group by a) r using (doc_id)
+"""

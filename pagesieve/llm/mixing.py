@@ -124,13 +124,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = TOTA
     place. An empty table gives an empty result.
     """
     thin = stored(sized(docs, seed), "sizes")
-    return taken(plan(thin, targets(thin, weights, share, epochs)), thin).drop("place")
+    return taken(stored(plan(thin, targets(thin, weights, share, epochs)), "mix-plan"), thin).drop("place")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = TOTAL_SHARE, epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself: every document as often as it is taken, the last in part; columns of ``docs``."""
     thin = stored(sized(docs, seed), "sizes")
-    plans = plan(thin, targets(thin, weights, share, epochs))
+    # Stored, the plan's size is known: few sources are broadcast by the planner, many are joined by sort-merge.
+    plans = stored(plan(thin, targets(thin, weights, share, epochs)), "mix-plan")
     # The document travels as one column, so no column of it can clash.
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), "source", word_count(F.col("text")).alias("size"), _place(seed).alias("place")

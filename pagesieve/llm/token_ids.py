@@ -25,7 +25,7 @@ class TokenIds:
     long_run = 64  # longer runs are not remembered
     at_once = 4_000_000  # bytes of text held as runs
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.ids_of: dict[bytes, bytes] = {}

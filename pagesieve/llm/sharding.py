@@ -4,7 +4,7 @@ Points are groups of equal texts, so copies share a shard; a point weighs the
 bytes of its group. A node is split along its relatively widest dimension at the
 weighted median, until a leaf is one target's worth of bytes. Medians are found
 by histograms over the whole table of points, all nodes of a level at once; only
-bin totals (nodes x BINS rows) reach the driver.
+bin totals reach the driver, a bounded number a turn.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-BINS = 256
+BIN_ROWS = 32_768  # bin totals that reach the driver at once; 16 bins a node at least
 SLOT_ROWS = 20_000  # rows numbered together
 
 
@@ -59,7 +59,8 @@ class Node:
 
 
 def _table(points: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return points.sparkSession.createDataFrame(rows, schema)
+    """One row per node of a level: as many as shards at most, so points meet them without a shuffle."""
+    return F.broadcast(points.sparkSession.createDataFrame(rows, schema))
 
 
 def _search(points: DataFrame, nodes: list[Node], key: Column, low: dict, high: dict, before: dict) -> tuple[dict, dict]:
@@ -70,10 +71,11 @@ def _search(points: DataFrame, nodes: list[Node], key: Column, low: dict, high:
     open_nodes = {n.name: n for n in nodes}
     found = {}
     while open_nodes:
+        count = max(16, BIN_ROWS // len(open_nodes))
         bounds = _table(points, [(n, float(low[n]), float(high[n])) for n in open_nodes], "node long, low double, high double")
         rows = points.join(bounds, "node").withColumn("key", key).where("key >= low and key <= high")
         width = F.greatest(F.col("high") - F.col("low"), F.lit(1e-300))
-        at = F.least(F.floor((F.col("key") - F.col("low")) / width * BINS), F.lit(BINS - 1))
+        at = F.least(F.floor((F.col("key") - F.col("low")) / width * count), F.lit(count - 1))
         bins = rows.groupBy("node", at.alias("bin")).agg(F.sum("weight").alias("w"), F.min("key").alias("a"), F.max("key").alias("b"))
         by_node: dict[int, list] = {}
         for r in bins.collect():
@@ -128,11 +130,10 @@ def _go_down(points: DataFrame, nodes: list[Node], dims: int) -> DataFrame:
 def tree(points: DataFrame, dims: int, leaves: int) -> tuple[DataFrame, dict[int, int]]:
     """Points with their leaf's node name, and the shard number of each leaf.
 
-    ``points``: digest, tie (0 to 2^53), weight, d0.. A node of k leaves is split in
+    ``points``: digest, tie (0 to 2^53), weight, node (1), d0.. A node of k leaves is split in
     the proportion of floor(k / 2) to the rest; the dimension is the one whose
     extent is the greatest share of the whole table's extent.
     """
-    points = points.withColumn("node", F.lit(1).cast("long"))
     open_nodes, done, root = [Node(1, leaves)], [], None
     while True:
         wide = [n for n in open_nodes if n.leaves > 1]
@@ -191,7 +192,8 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     leaves = shards or max(1, -(-(total or 0) // (target_bytes or 1)))
     tie = F.shiftrightunsigned(F.xxhash64("digest"), 11)
     points = stored(
-        thin.groupBy("digest").agg(F.sum("size").cast("double").alias("weight"), *[F.min(f"d{i}").alias(f"d{i}") for i in range(dims)]).withColumn("tie", tie),
+        thin.groupBy("digest").agg(F.sum("size").cast("double").alias("weight"), *[F.min(f"d{i}").alias(f"d{i}") for i in range(dims)])
+        .withColumns({"tie": tie, "node": F.lit(1).cast("long")}),
         "points",
     )
     placed, numbers = tree(points, dims, leaves)

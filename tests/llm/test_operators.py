@@ -225,6 +225,48 @@ def test_scores(spark, docs):
         assert abs(got[i].log10_score - want) < 1e-5 and got[i].n_tokens == len(s) - 1
 
 
+def _backoff_scores(seqs, corpus, order, least=1):
+    """(score, tokens whose longest n-gram is in the table) of every sequence, from counts of all n-grams of ``corpus``."""
+    n, context, total = Counter(), Counter(), 0
+    for s in corpus.values():
+        s = [49406] * (order - 2) + s
+        for i in range(order - 1, len(s)):
+            total += 1
+            for k in range(1, order + 1):
+                n[tuple(s[i - k + 1 : i + 1])] += 1
+                context[tuple(s[i - k + 1 : i])] += 1
+    out = {}
+    for key, s in seqs.items():
+        s, score, seen = [49406] * (order - 2) + s, 0.0, 0
+        for i in range(order - 1, len(s)):
+            for k in range(order, 0, -1):
+                gram = tuple(s[i - k + 1 : i + 1])
+                if k == 1:
+                    score += math.log10(0.4 ** (order - 1) * max(1, n[gram]) / total)
+                elif n[gram] >= least:
+                    score += math.log10(0.4 ** (order - k) * n[gram] / context[gram[:-1]])
+                    seen += k == order
+                    break
+        out[key] = (score, seen)
+    return out
+
+
+def _sequences(docs):
+    plain = Tokenizer.from_file(PATH)
+    return {d.doc_id: [49406, *plain.encode(d.text, add_special_tokens=False).ids, 49407] for d in docs.collect()}
+
+
+def test_score_query_keeps_every_count(spark, sf, docs):
+    """Counts are of the documents themselves, so none of their n-grams is unseen, however rare."""
+    seqs = _sequences(docs)
+    want = _backoff_scores(seqs, seqs, order=2)
+    got = QUERIES["op2_stupid_backoff"](spark, sf).collect()
+    assert len(got) == len(seqs)
+    for r in got:
+        score, seen = want[r.doc_id]
+        assert r.n_seen == seen == r.n_tokens and abs(r.log10_score - score) < 1e-5
+
+
 # --- learned operators, rules, shards ---------------------------------------------------
 def _auc(score, label):
     rank = np.argsort(np.argsort(score)) + 1

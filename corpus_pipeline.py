@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pagesieve.llm import mixing, near_dup, packing, quality, toxicity
 from pagesieve.llm.common import documents, stored
 
+# A line of more than 20 distinct texts of a host is boilerplate, however many texts the host has.
+LINES = quality.Limits(host_share=0.0)
+
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; learned from the labelled ones among ``docs``."""
@@ -23,7 +26,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules go; boilerplate lines go from the rest."""
-    return quality.cleaned(docs)
+    return quality.cleaned(docs, LINES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -320,6 +320,20 @@ def test_boilerplate_lines(spark):
     assert set(out) == {*range(60), *range(200, 250)} and "COOKIES" not in out[3] and out[3] == body(3)
 
 
+def test_boilerplate_of_a_large_host(spark):
+    """Lines in 1.05 to 10 % of a host's texts go in the pipeline, as they would on a small host."""
+    word = lambda n, k: hashlib.md5(f"{n}.{k}".encode()).hexdigest()[:9]
+    shares = {"Home About Contact and Imprint": 200, "Licensed under some common terms": 100, "All rights are reserved here": 21, "A line of few": 20}
+    body = {n: "\n".join(" ".join(word(n, 9 * k + i) for i in range(7)) for k in range(9)) for n in range(2060)}
+    rows = []
+    for n in range(2060):
+        host, at = ("large", n) if n < 2000 else ("small", n - 2000)
+        rows.append((n, host, "\n".join([body[n], *(x for x, most in shares.items() if at < most)])))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert out == {n: t + ("\nA line of few" if n < 20 or 2000 <= n < 2020 else "") for n, t in body.items()}
+
+
 def test_shards(spark, sf, docs):
     rows = QUERIES["op7_kd_tree_sharding"](spark, sf).collect()
     import zlib

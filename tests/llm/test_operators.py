@@ -259,7 +259,7 @@ def _sequences(docs):
 def test_score_query_keeps_every_count(spark, sf, docs):
     """Counts are of the documents themselves, so none of their n-grams is unseen, however rare."""
     seqs = _sequences(docs)
-    want = _backoff_scores(seqs, seqs, order=2)
+    want = _backoff_scores(seqs, seqs, order=3)
     got = QUERIES["op2_stupid_backoff"](spark, sf).collect()
     assert len(got) == len(seqs)
     for r in got:
@@ -267,6 +267,20 @@ def test_score_query_keeps_every_count(spark, sf, docs):
         assert r.n_seen == seen == r.n_tokens and abs(r.log10_score - score) < 1e-5
 
 
+def test_longer_ngrams_back_off(spark, docs):
+    """Counts of another corpus and a threshold: every step of the backoff is taken."""
+    halves = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
+    seqs, corpus = map(_sequences, halves)
+    for order, least in ((3, 1), (3, 3), (4, 1)):
+        want = _backoff_scores(seqs, corpus, order, least)
+        got = lm_scores.scores(halves[0], PATH, halves[1], least=least, part_grams=30_000, order=order).collect()
+        assert sorted(r.doc_id for r in got) == sorted(seqs)
+        for r in got:
+            score, seen = want[r.doc_id]
+            assert abs(r.log10_score - score) < 1e-4 and r.n_seen == seen and r.n_tokens == len(seqs[r.doc_id]) - 1
+        assert 0 < sum(r.n_seen for r in got) < sum(r.n_tokens for r in got)
+
+
 # --- learned operators, rules, shards ---------------------------------------------------
 def _auc(score, label):
     rank = np.argsort(np.argsort(score)) + 1

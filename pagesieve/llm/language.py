@@ -2,7 +2,7 @@
 
 Each language is several clusters (spherical k-means over a bounded sample of its
 labelled documents). A text gets the language of the centroid with the greatest
-cosine; a text farther from it than the centroid's own members are is rejected.
+cosine; a text farther from it than 99 % of the centroid's own members is rejected.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, clusters: in
         centres = spherical_clusters(rows, clusters)
         cosines = rows @ centres.T
         own = cosines.argmax(axis=1)
-        least = [float(np.quantile(cosines[own == k, k], 0.01)) / 2 if (own == k).any() else 0.0 for k in range(len(centres))]
+        least = [float(np.quantile(cosines[own == k, k], 0.01)) if (own == k).any() else 0.0 for k in range(len(centres))]
         return pa.table(
             {"lang": [group.column("lang")[0].as_py()] * len(centres), "centre": [c.astype(float) for c in centres], "least": least}
         )

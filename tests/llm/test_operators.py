@@ -304,6 +304,27 @@ def test_language_on_held_out(spark):
     assert (held.lang_pred == held.lang).mean() > 0.98 and out.score.between(0, 1).all()
 
 
+def test_unlearned_languages_are_rejected(spark):
+    """Texts in scripts and languages that were not learned are rejected, few of the learned ones are."""
+    from pagesieve.llm import language
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = [
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. ",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. ",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. ",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. ",
+    ]
+    model = language.learn(docs)
+    rows = spark.createDataFrame([(n, t * 5) for n, t in enumerate(strange)], "doc_id long, text string")
+    assert all(r.rejected for r in language.classify(rows, model).collect())
+    known = [r.text[:500] for r in docs.where("doc_id % 3 = 0 and length(text) > 500").orderBy("doc_id").limit(40).collect()]
+    mixed = spark.createDataFrame([(n, f"{t} {strange[2 + n % 2] * 6}") for n, t in enumerate(known)], "doc_id long, text string")
+    assert language.classify(mixed, model).where("rejected").count() >= 30
+    held = language.classify(docs, model).where("held_out and lang_pred <> 'und'").toPandas()
+    assert held.rejected.mean() < 0.1
+
+
 def test_quality_against_plain_python(spark, sf, docs):
     got = {r.doc_id: r for r in QUERIES["op6_line_frequency_rules"](spark, sf).collect()}
     for d in docs.collect():

@@ -19,7 +19,8 @@ _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 class TokenIds:
     """Encoder of texts to little-endian unsigned 32-bit ids.
 
-    At most ``limit`` runs are remembered, some 200 bytes each; what is full starts anew.
+    Some ``limit`` runs are remembered, about 200 bytes each, in two generations: when the
+    young one is full it becomes the old one, and what is still used moves on to the new.
     """
 
     long_run = 64  # longer runs are not remembered
@@ -28,7 +29,8 @@ class TokenIds:
     def __init__(self, path: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.ids_of: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -46,28 +48,34 @@ class TokenIds:
             out += [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
         return out
 
-    def _learn(self, new: list[bytes]) -> None:
-        known = self.ids_of
-        bare = [r.rstrip(_MARKS) for r in new]
-        marked = [(r, b) for r, b in zip(new, bare, strict=True) if len(r) != len(b) and b and b[-1] in _ALNUM]
-        wanted = set(new)
-        wanted.difference_update([r for r, _ in marked])
+    def _recall(self, missing: set[bytes]) -> set[bytes]:
+        """Move what the old generation knows to the young one; the rest is returned."""
+        back = missing.intersection(self.old)
+        self.young.update([(r, self.old[r]) for r in back])
+        return missing.difference(back)
+
+    def _learn(self, new: set[bytes]) -> None:
+        known = self.young
+        stripped = [(r, r.rstrip(_MARKS)) for r in new]
+        marked = [(r, b) for r, b in stripped if len(r) != len(b) and b and b[-1] in _ALNUM]
+        wanted = new.difference([r for r, _ in marked])
         wanted.update([b for _, b in marked], [r[len(b) :] for r, b in marked])
-        missing = list(wanted.difference(known))
+        missing = list(self._recall(wanted.difference(known)))
         known.update(zip(missing, self._encode_many(missing), strict=True))
         known.update([(r, known[b] + known[r[len(b) :]]) for r, b in marked])
 
+    def _remember(self, seen: set[bytes]) -> None:
+        """Afterwards the young generation knows all of ``seen``."""
+        missing = seen.difference(self.young)
+        if len(self.young) + 2 * len(missing) > self.limit // 2:
+            self.young, self.old, missing = {}, self.young, seen
+        if new := self._recall(missing):
+            self._learn(new)
+
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [t.lower().split() if _SPECIAL not in t else None for t in texts]
-        seen = set().union(*(p for p in parts if p))
-        new = [r for r in seen.difference(self.ids_of) if len(r) <= self.long_run]
-        if new:
-            if len(self.ids_of) + 2 * len(new) > self.limit:
-                self.ids_of.clear()
-                new = [r for r in seen if len(r) <= self.long_run]
-            self._learn(new)
-        own = {r: i for r in seen if (i := self.ids_of.get(r)) is not None}
-        get = own.get
+        self._remember({r for r in set().union(*(p for p in parts if p)) if len(r) <= self.long_run})
+        own = self.young
         out = []
         for text, p in zip(texts, parts, strict=True):
             if p is None:
@@ -76,7 +84,7 @@ class TokenIds:
             try:
                 out.append(b"".join([own[r] for r in p]))
             except KeyError:  # it has long runs
-                out.append(b"".join([i if (i := get(r)) is not None else self.direct(r.decode("utf-8")) for r in p]))
+                out.append(b"".join([i if (i := own.get(r)) is not None else self.direct(r.decode("utf-8")) for r in p]))
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

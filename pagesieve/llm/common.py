@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,3 +93,20 @@ def per_text(docs: DataFrame, carried: list[str], schema: str, work, rows_at_onc
     names = [*carried, *(f.name for f in fields)]
     columns = list(dict.fromkeys([*carried, "text"]))
     return docs.select(*columns).mapInArrow(run, T.StructType([*kept.schema.fields, *more.fields]))
+
+
+def of_text(kind: str, work, rows_at_once: int = 256):
+    """A column function of texts: ``work(texts)`` gives a list of values of type ``kind``.
+
+    Only its argument goes to Python; the other columns of a row stay in the JVM.
+    """
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            made = []
+            for a in range(0, len(batch), rows_at_once):
+                made += work(batch.slice(a, rows_at_once).to_pylist())
+            yield pa.array(made, _ARROW[kind])
+
+    return run

@@ -27,7 +27,7 @@ SYMBOLS = "#*$%&|<>"
 
 _COUNTS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "text_key binary, line_keys array<binary>, line_words array<bigint>"
+    "line_keys array<binary>, line_words array<bigint>"
 )
 
 
@@ -82,7 +82,7 @@ def counts(text: str | None) -> tuple:
     blanks = sum(text.count(c) for c in _BLANK.decode())
     return (
         len(words), len(text) - blanks, sum(text.count(c) for c in SYMBOLS), repeats, repeated_words(words),
-        xxhash.xxh3_128_digest(raw), list(lines), list(lines.values()),
+        list(lines), list(lines.values()),
     )
 
 
@@ -96,6 +96,11 @@ def _host(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
 
+def _text_key(text: Column) -> Column:
+    """Digest of a whole text, taken in the JVM; a null text has that of an empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 @dataclass
 class Judged:
     verdicts: DataFrame  # a row per document
@@ -109,7 +114,8 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> Judged:
     fail. Null ids stay null, a null source is a host of its own, repeated rows are
     judged each and count as one text. An empty table gives an empty result.
     """
-    table = per_text(docs, ["doc_id", "source"], _COUNTS, _work)
+    keyed = docs.select("doc_id", "source", "text", _text_key(F.col("text")).alias("text_key"))
+    table = per_text(keyed, ["doc_id", "source", "text_key"], _COUNTS, _work)
     table = stored(
         table.withColumn("row", F.monotonically_increasing_id()).withColumn("host", _host(F.col("source"))), "quality"
     )
@@ -159,29 +165,23 @@ def cleaned(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     keep = keep.select("doc_id", "source", "text_key", "keys").dropDuplicates(["doc_id", "source", "text_key"])
     keep = keep.toDF("k_id", "k_source", "k_text", "k_keys")
 
-    def digest(texts: list[str | None]) -> dict[str, list]:
-        return {"own": [xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass")) for t in texts]}
+    def remove(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), keys.to_pylist(), strict=True)
+        return pa.array([t if k is None else without_lines(t or "", set(k)) for t, k in pairs], pa.string())
 
     # The document travels as one column, so no column of it can clash.
-    whole = docs.select(F.struct(*docs.columns).alias("doc"), "text")
-    named = per_text(whole, ["doc"], "own binary", digest)
-    both = named.join(
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), _text_key(F.col("text")).alias("own"))
+    both = whole.join(
         keep,
         F.col("doc.doc_id").eqNullSafe(F.col("k_id"))
         & F.col("doc.source").eqNullSafe(F.col("k_source"))
         & (F.col("own") == F.col("k_text")),
     )
-    plain = both.where("k_keys is null").select("doc.*")
-    changed = both.where("k_keys is not null").select("doc", F.col("doc.text").alias("text"), F.col("k_keys").alias("keys"))
-
-    def remove(batches):
-        for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("keys").to_pylist(), strict=True)
-            text = pa.array([without_lines(t or "", set(k)) for t, k in pairs], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), text], names=["doc", "text"])
-
-    shorter = changed.mapInArrow(remove, changed.select("doc", "text").schema)
-    doc = F.col("doc").withField("text", F.col("text"))
+    # Texts without a line to remove reach the helper as null.
+    changed = F.col("k_keys").isNotNull()
+    shorter = F.arrow_udf(remove, "string")(F.when(changed, F.col("doc.text")), "k_keys")
+    named = both.select("doc", changed.alias("changed"), shorter.alias("shorter"))
+    doc = F.col("doc").withField("text", F.col("shorter"))
     if "n_chars" in docs.columns:
-        doc = doc.withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return plain.unionByName(shorter.select(doc.alias("doc")).select("doc.*"))
+        doc = doc.withField("n_chars", F.length("shorter").cast(docs.schema["n_chars"].dataType))
+    return named.select(F.when(F.col("changed"), doc).otherwise(F.col("doc")).alias("doc")).select("doc.*")

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, per_text, stored
+from .common import fold, of_text, stored
 
 SAMPLE_ROWS = 16_000
 LEXICON_TERMS = 4_000
@@ -166,14 +166,15 @@ def features(text: str | None, lexicon: Lexicon, memory: dict[str, int]) -> list
 
 
 def with_features(docs: DataFrame, carried: list[str], lexicon: Lexicon) -> DataFrame:
+    """The carried columns and ``features``; of a row only its text goes to Python."""
     memory: dict[str, int] = {}
 
-    def work(texts: list[str | None]) -> dict[str, list]:
+    def work(texts: list[str | None]) -> list[list[float]]:
         if len(memory) > 300_000:
             memory.clear()
-        return {"features": [features(t, lexicon, memory) for t in texts]}
+        return [features(t, lexicon, memory) for t in texts]
 
-    return per_text(docs, carried, "features array<double>", work)
+    return docs.select(*carried, of_text("array<double>", work)("text").alias("features"))
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:

@@ -3,16 +3,21 @@
 The tokenizer lower-cases, drops white space and never lets a token cross it, so a
 text's ids are the ids of its white-space-free runs, one after another, whatever
 the case of their ASCII letters. A run that is an ASCII word with sentence marks
-behind it has the ids of the word, then those of the marks.
+behind it has the ids of the word, then those of the marks. A word of Latin letters
+alone is one piece to the tokenizer, so its model is asked directly, without offsets.
 """
 
 from __future__ import annotations
 
+import re
+import struct
+
 import numpy as np
 from tokenizers import Tokenizer
 
 _MARKS = b".,!?;:"
 _SPECIAL = b"<|"
+_LATIN = "a-zÀ-ÖØ-öø-ÿ"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
@@ -28,13 +33,23 @@ class TokenIds:
 
     def __init__(self, path: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.limit = limit
+        # How the model sees each letter, asked of the tokenizer's own steps.
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        letters = re.findall(f"[{_LATIN}]", "".join(map(chr, range(256))))
+        self.shown = {ord(c): pieces(self.tokenizer.normalizer.normalize_str(c))[0][0] for c in letters}
+        self.latin = re.compile(f"[{_LATIN}]+").fullmatch
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _encode_latin(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.translate(self.shown))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _encode_many(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word: a thousand at once as one text, parted by the offsets."""
         out = []
@@ -60,8 +75,14 @@ class TokenIds:
         marked = [(r, b) for r, b in stripped if len(r) != len(b) and b and b[-1] in _ALNUM]
         wanted = new.difference([r for r, _ in marked])
         wanted.update([b for _, b in marked], [r[len(b) :] for r, b in marked])
-        missing = list(self._recall(wanted.difference(known)))
-        known.update(zip(missing, self._encode_many(missing), strict=True))
+        other = []
+        for word in self._recall(wanted.difference(known)):
+            text = word.decode("utf-8")
+            if self.latin(text):
+                known[word] = self._encode_latin(text)
+            else:
+                other.append(word)
+        known.update(zip(other, self._encode_many(other), strict=True))
         known.update([(r, known[b] + known[r[len(b) :]]) for r, b in marked])
 
     def _remember(self, seen: set[bytes]) -> None:

@@ -148,3 +148,20 @@ select d.doc_id, coalesce(z.n, 0) as n_shingles, least(d.doc_id, coalesce(r.leas
   d.doc_id = least(d.doc_id, coalesce(r.least_one, d.doc_id)) as kept
 from d left join sizes z using (doc_id) left join (select a as doc_id, min(b) as least_one from reach group by a) r using (doc_id)
 """
+
+# Fixed value: the alphabet of base 32.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_FIVE_BITS = " + ".join(f"{2 ** (4 - k)} * cast(substr(bits, cast(5 * i + {k + 1} as bigint), 1) as int)" for k in range(5))
+
+ANSWERS["op12_zip_warc"] = f"""
+with p as (
+  select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, cast(cast(unhex(sha1(coalesce(html, ''))) as bit) as varchar) as bits
+  from pages),
+named as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', 1 + {_FIVE_BITS}, 1)), '') as payload_digest
+  from p)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = max(page_id) over w then 'response' else 'revisit' end as record_type,
+  case when page_id <> max(page_id) over w then max(page_id) over w end as refers_to
+from named window w as (partition by payload_digest)
+"""

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, fingerprints, language, lm_scores, mixing, near_dup, packing, quality, sharding, toxicity
+from ..sources.workspace import new_folder
+from . import (
+    chat, fingerprints, language, lm_scores, mixing, near_dup, packing, quality, sharding, spelling, toxicity, turn_repair, warc,
+)
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +76,22 @@ def op9_capped_water_filling(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf))
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(spark.read.parquet(f"{sf}/conversations.parquet")))
+
+
+@query
+def op12_zip_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    warc.write(warc.captures(spark.read.parquet(f"{sf}/pages.parquet"), "page_id", "url", "html"), path)
+    found = warc.resolved(warc.read_back(spark, path, with_payload=False))
+    page = [F.col(c).cast("long").alias(name) for c, name in (("own", "page_id"), ("refers_to", "refers_to"))]
+    return found.select(page[0], "payload_bytes", "payload_digest", "record_type", page[1])
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf))

@@ -1,0 +1,129 @@
+"""ZIP-packaged WARC records: exact round trips, packages of other writers, broken ones."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import os
+import random
+import zipfile
+import zlib
+from base64 import b32encode
+
+import pytest
+from compare import connect, differences
+from pyspark.sql import functions as F
+
+from pagesieve.llm import warc, zip_files
+from pagesieve.llm.answers import ANSWERS
+from pagesieve.llm.queries import QUERIES
+from pagesieve.sources.workspace import new_folder
+
+
+def test_sql(spark, sf):
+    assert differences(QUERIES["op12_zip_warc"](spark, sf), connect(sf), ANSWERS["op12_zip_warc"]) is None
+
+
+def plain(rows, least):
+    """(id, bytes, digest, kind, refers to) of rows (id, url, text)."""
+    best = {}
+    for i, url, text in rows:
+        key = (i is not None, i or 0, url is not None, url or "")
+        best[text or ""] = max(best.get(text or "", key), key)
+    out, used = [], set()
+    for i, url, text in rows:
+        raw = (text or "").encode()
+        key, digest = (i is not None, i or 0, url is not None, url or ""), b32encode(hashlib.sha1(raw).digest()).decode()
+        first = key == best[text or ""] and digest not in used
+        if len(raw) < least or first:
+            if key == best[text or ""]:
+                used.add(digest)
+            out.append((i, len(raw), digest, "response", None))
+        else:
+            top = best[text or ""]
+            out.append((i, len(raw), digest, "revisit", top[1] if top[0] else None))
+    return out
+
+
+ODD = [
+    (1, "http://a/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (3, None, None), (4, "u\r\nEvil: 1", ""),
+    (None, "http://n/", "<p>x</p>"), (None, None, "alone"), (2**62, "http://é/ü?q=中", "ü" * 100_000), (6, "http://r/", "\r\n\r\nWARC/1.1\r\n"),
+    (7, "http://z/", "\x00\n\x1f\x8b PK\x05\x06"), (7, "http://z/", "\x00\n\x1f\x8b PK\x05\x06"), (8, "", "Größe \U0001f600"),
+]
+
+
+@pytest.mark.parametrize("least", [0, 5])
+@pytest.mark.parametrize("zip64_from", [zip_files.MOST32, 100])
+def test_odd_rows(spark, least, zip64_from):
+    pages = spark.createDataFrame([(*r, "k", "d", "n") for r in ODD], "page_id long, url string, html string, key string, digest string, n string")
+    path = new_folder(spark, "archives")
+    warc.write(warc.captures(pages.repartition(3), "page_id", "url", "html", least), path, member_bytes=300, zip64_from=zip64_from)
+    found = warc.read_back(spark, path)
+    rows = found.collect()
+    assert all(r.problem is None for r in rows) and len(rows) == len(ODD) == len({r.record_id for r in rows})
+    texts = {r[2] or "" for r in ODD}
+    assert {r.payload.decode() for r in rows if r.record_type == "response"} == texts
+    got = warc.resolved(found).select(F.col("own").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long"))
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(plain(ODD, least), key=key)
+    # Other readers agree: every package is a sound ZIP file, its index names its records.
+    for folder, _, names in os.walk(path.removeprefix("file://")):
+        for name in names:
+            if name.startswith("part-") and os.path.getsize(os.path.join(folder, name)):
+                package = zipfile.ZipFile(os.path.join(folder, name))
+                assert package.testzip() is None and package.comment == b"\n"
+                assert all(m.compress_type == zipfile.ZIP_STORED for m in package.infolist())
+
+
+def test_empty(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    path = new_folder(spark, "archives")
+    warc.write(warc.captures(pages, "page_id", "url", "html"), path)
+    assert warc.read_back(spark, path).collect() == []
+
+
+def _package(path, files, method=zipfile.ZIP_STORED, before=b"", comment=b"", wide=False):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as z:
+        z.comment = comment
+        for name, data in files.items():
+            with z.open(name, "w", force_zip64=wide) as f:
+                f.write(data)
+    with open(path, "wb") as f:
+        f.write(before + out.getvalue())
+
+
+def test_other_packages(spark, tmp_path):
+    """Members without an index, plain records, ZIP64, bytes before the package, long comments, compressed members, damage."""
+    raws = [warc.record("response", f"id-{i}", str(i), f"http://h/{i}", "X", b"body %d " % i * (i * 40), None, warc.DATE) for i in range(1, 30)]
+    raws = [r.replace(b"sha1:X", b"sha1:" + b32encode(hashlib.sha1(b"body %d " % i * (i * 40)).digest())) for i, r in enumerate(raws, 1)]
+    zipped = b"".join(zlib.compress(r, wbits=31) for r in raws)
+    _package(tmp_path / "a.wacz", {"archive/plain.warc": b"".join(raws), "datapackage.json": b"{}"}, comment=b"PK\x05\x06 comment" * 100)
+    _package(tmp_path / "b.wacz", {"archive/zipped.warc.gz": zipped}, before=b"#!/bin/sh\n" * 50, wide=True)
+    _package(tmp_path / "c.wacz", {"archive/packed.warc": b"".join(raws)}, method=zipfile.ZIP_DEFLATED)
+    _package(tmp_path / "d.wacz", {"archive/cut.warc.gz": zipped[:-20]})
+    (tmp_path / "e.wacz").write_bytes(b"no package at all")
+    (tmp_path / "f.wacz").write_bytes(b"")
+    rows = warc.read_back(spark, str(tmp_path)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.path[-6:-5], []).append(r)
+    for name in "ab":
+        assert [r.problem for r in by[name]] == [None] * 29
+        assert {int(r.own): r.payload for r in by[name]} == {i: b"body %d " % i * (i * 40) for i in range(1, 30)}
+    assert len(by["c"]) == 1 and "not stored" in by["c"][0].problem
+    assert sum(r.problem is None for r in by["d"]) == 28 and sum("cut" in (r.problem or "") for r in by["d"]) == 1
+    assert len(by["e"]) == 1 and by["e"][0].problem and "f" not in by
+
+
+def test_directories_of_any_size():
+    """Directories of more than 65,535 entries need ZIP64 end records; names and places come back."""
+    writer = zip_files.Writer()
+    data = {f"m/{i}": random.Random(i).randbytes(i % 7) for i in range(66_000)}
+    out = b"".join([writer.member(n, d) for n, d in data.items()] + [writer.end()])
+    f = io.BytesIO(out)
+    got = {m.name: zip_files.read_at(f, zip_files.data_at(f, m), m.length) for m in zip_files.members(f, len(out))}
+    assert got == data
+    for cut in (0, 3, 21, len(out) - 1, len(out) // 2):
+        with pytest.raises(zip_files.BadPackage):
+            list(zip_files.members(io.BytesIO(out[:cut]), cut))

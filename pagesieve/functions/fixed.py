@@ -160,11 +160,14 @@ TRIVIA = (
     r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 )
 NOSCRIPT = r"(?is)<noscript\b.*?(?:</noscript\s*>|\z)"
-TAG = r"</?[a-zA-Z!?][^>]*>"
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "nbsp": "\xa0", "copy": "©", "middot": "·",
-}
+# A tag's inside up to its '>': quoted values are stepped over, a quote nobody closes is a character.
+INSIDE = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
+TAG = r"</?[a-zA-Z!?]" + INSIDE + ">"
+# Elements without content, so without an end.
+VOID = [
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+    "source", "track", "wbr",
+]
 
 # Numeric references to the C1 range mean the Windows-1252 character there, if it has one.
 C1 = "".join(map(chr, range(0x80, 0xA0)))

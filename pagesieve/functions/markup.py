@@ -1,21 +1,21 @@
-"""HTML as columns.
+"""Markup as columns: tags, texts, attributes, elements.
 
-Contract: attribute values hold no '>', references are those of
-``fixed.ENTITIES`` and numeric ones. Comments, scripts and styles are cut first.
-An anchor ends at its closing tag or at the next anchor, whichever comes first.
-Everything here is an expression over one row: no shuffle, no Python.
+A document is taken apart once, into its tags and the texts between them. The tag
+pattern steps over quoted values, so a '>' inside one ends nothing. Comments, scripts
+and styles are cut first. An anchor ends at its closing tag or at the next anchor.
+Extents of nested elements come from a walk over the tags with a stack. Everything
+here is an expression over one row: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import decode_entities, let, squeeze, strip
-
-_ALL = 2**30  # length for slice(): "to the end"
-
+from .text import decode_entities, let, settled, squeeze, strip
 
 def dom(html: Column) -> Column:
     """Markup without comments, scripts and styles; '<!>' marks the cuts."""
@@ -31,76 +31,128 @@ def script_elements(html: Column) -> Column:
     return F.size(F.filter(cuts, lambda x: F.lower(F.left(x, F.lit(7))) == "<script"))
 
 
+# --- tags and texts ---------------------------------------------------------------
+def tags(d: Column) -> Column:
+    """All tags in document order, as written."""
+    return F.regexp_extract_all(d, F.lit(fixed.TAG), F.lit(0))
+
+
+def pieces(d: Column) -> Column:
+    """The texts between tags as written: one more than tags, text ``i + 1`` follows tag ``i``."""
+    return F.split(d, fixed.TAG)
+
+
+def _shown(texts: Column) -> Column:
+    """Non-empty trimmed texts, references decoded, in order."""
+    some = F.filter(texts, lambda t: t != "")
+    return F.filter(F.transform(some, lambda t: strip(decode_entities(t))), lambda t: t != "")
+
+
 def text_nodes(d: Column) -> Column:
     """Non-empty trimmed texts between tags, in order."""
-    pieces = F.filter(F.split(d, fixed.TAG), lambda t: t != "")
-    return F.filter(F.transform(pieces, lambda t: strip(decode_entities(t))), lambda t: t != "")
+    return _shown(pieces(d))
 
 
 def joined_text(d: Column, sep: str = " ") -> Column:
     return F.array_join(text_nodes(d), sep)
 
 
-def _attribute_pattern(name: str) -> str:
-    return rf"""(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# --- attributes -------------------------------------------------------------------
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']*+)"""
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Attribute value, null when the attribute is missing.
+def attributes_until(target: str, stop: str | None = None) -> str:
+    """Pattern of a tag's attributes up to one that ``target`` matches; values are stepped over.
 
-    Only where another attribute's quoted value holds the name is the tag read
-    attribute by attribute, stepping over quoted values.
+    ``stop`` matches where ``target`` does, without groups (default: ``target``).
     """
-    inside = rf"""(?is)=\s*(?:"[^"]*(?:^|\s){name}\s*=|'[^']*(?:^|\s){name}\s*=|"{name}\s*=|'{name}\s*=)"""
-    each = r"""(?s)([^\s"'=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+    stop = stop or target
+    gap = r"""(?:[\s/"']++|(?<=["'])|^)"""
+    return rf"""(?:{gap}(?!{stop})[^\s>"'/][^\s=>"'/]*+(?:\s*+=\s*+{_VALUE})?+)*+[\s/"']*+{target}"""
 
-    def stepped(t: Column) -> Column:
-        names, values = (F.regexp_extract_all(t, F.lit(each), F.lit(n)) for n in (1, 2))
-        own = F.filter(F.arrays_zip(names.alias("n"), values.alias("v")), lambda x: (F.lower(x["n"]) == name) & (x["v"] != ""))
-        return F.coalesce(F.get(own, F.lit(0))["v"], F.lit(""))
 
-    raw = F.when(tag.rlike(inside), stepped(tag)).otherwise(F.regexp_extract(tag, _attribute_pattern(name), 1))
+def attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute, null when the attribute is missing.
+
+    The tag is read attribute by attribute, stepping over quoted values; the first of
+    that name counts. ``tag`` may lack its '<name'.
+    """
+    target = rf"""{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)"""
+    own = attributes_until(target, rf"{name}\s*+=")
+    raw = F.regexp_extract(tag, rf"(?is)^(?:</?[a-z!?][^\s>/]*+)?{own}", 1)
     return let(
         raw,
         lambda v: F.when(v != "", decode_entities(F.regexp_replace(v, r"""^["']|["']$""", ""))),
     )
 
 
-def anchors(d: Column) -> Column:
-    """Array of anchors that have an href, in document order.
+def tag_having(names: str, value: str, tag: str = "[a-zA-Z]") -> str:
+    """Pattern of an opening tag up to an attribute (``names``) whose value matches ``value`` somewhere.
 
-    ``no`` counts all anchor tags (also those without href) from 0.
+    A quote that is left open reaches to the next '>'.
     """
-    def cut(piece: Column, i: Column) -> Column:
-        inner = F.split(F.regexp_extract(piece, r"(?s)^[^>]*>(.*)$", 1), r"(?i)</a\s*>", 2)
-        return let(
-            F.regexp_extract(piece, r"^([^>]*)>", 1),
-            lambda tag: F.struct(
-                i.alias("no"),
-                tag.alias("tag"),
-                attribute(tag, "href").alias("href"),
-                F.element_at(inner, 1).alias("inner"),
+    target = rf"""(?i:{names})\s*+=\s*+(?:"[^">]*?(?:{value})|'[^'>]*?(?:{value})|"[^"]*?(?:{value})|'[^']*?(?:{value})|[^\s"'>]*?(?:{value}))"""
+    return rf"<{tag}[^\s>/]*+{attributes_until(target)}"
+
+
+_PAGING_WORD = "(?i:pagination|pager|next-page)"
+_RECORD_WORD = "item|product|card|result"
+
+
+# --- anchors ----------------------------------------------------------------------
+def anchors_of(tag: Column, text: Column) -> Column:
+    """Array of anchors that have an href, in document order, from tags and pieces.
+
+    ``no`` counts all anchor tags (also those without href) from 0, ``at`` is the
+    anchor's place among all tags.
+    """
+    def marked(t: Column, i: Column) -> Column:
+        return F.struct(i.cast("int").alias("at"), t.alias("tag"))
+
+    def cut(marks: Column) -> Column:
+        return F.transform(
+            marks,
+            lambda m, k: F.struct(
+                m["at"].alias("at"), m["tag"].alias("tag"),
+                F.coalesce(F.get(marks, k + 1)["at"], F.size(tag)).alias("until"),
             ),
         )
 
     def parse(a: Column) -> Column:
         return F.struct(
             a["no"].alias("no"),
+            a["at"].alias("at"),
             a["href"].alias("href"),
             F.coalesce(attribute(a["tag"], "rel"), F.lit("")).alias("rel"),
             F.coalesce(attribute(a["tag"], "class"), F.lit("")).alias("cls"),
             F.coalesce(attribute(a["tag"], "id"), F.lit("")).alias("id"),
-            text_nodes(a["inner"]).alias("texts"),
+            _shown(F.slice(text, a["at"] + 2, a["until"] - a["at"])).alias("texts"),
         )
 
-    pieces = F.slice(F.split(d, r"(?i)<a\s"), 2, _ALL)
-    linked = F.filter(F.transform(pieces, cut), lambda a: a["href"].isNotNull())
-    return F.transform(linked, parse)
+    # Anchor tags and their ends: where the next of them stands, an anchor is over.
+    marks = F.filter(F.transform(tag, marked), lambda m: m["tag"].rlike(r"^<(?:[aA]\s|/[aA][\s>])"))
+    opened = F.filter(let(marks, cut), lambda m: F.substr(m["tag"], F.lit(2), F.lit(1)) != "/")
+    found = F.transform(
+        opened,
+        lambda m, no: F.struct(
+            no.cast("int").alias("no"), m["at"].alias("at"), m["tag"].alias("tag"), m["until"].alias("until"),
+            attribute(m["tag"], "href").alias("href"),
+        ),
+    )
+    return F.transform(F.filter(found, lambda a: a["href"].isNotNull()), parse)
+
+
+def anchors(d: Column) -> Column:
+    """``anchors_of`` a document that is not taken apart yet."""
+    return let(
+        F.struct(tags(d).alias("tags"), pieces(d).alias("pieces")),
+        lambda p: F.when(d.isNotNull(), anchors_of(p["tags"], p["pieces"])),
+    )
 
 
 def page_title(d: Column) -> Column:
     """Text of the title element as written ('' when empty or missing)."""
-    return decode_entities(F.regexp_extract(d, r"(?is)<title\b[^>]*>([^<]*)</title", 1))
+    return decode_entities(F.regexp_extract(d, rf"(?is)<title(?:\s{fixed.INSIDE})?>([^<]*)</title", 1))
 
 
 def heading_count(d: Column) -> Column:
@@ -133,28 +185,144 @@ def paging_labels(a: Column, squeezed: bool = False) -> Column:
 
 
 def has_paging_element(d: Column) -> Column:
-    word = "(?:pagination|pager|next-page)"
-    return d.rlike(
-        r"(?is)<[a-z][^>]*\s(?:class|id)\s*=\s*"
-        rf"""(?:"[^">]*{word}|'[^'>]*{word}|[^\s"'>]*{word})"""
-    )
+    return d.rlike(tag_having("class|id", _PAGING_WORD))
 
 
 def structure_count(d: Column, anchor_count: Column) -> Column:
     """Blocks and headings, plus anchors, plus elements with a record-like class."""
-    word = "(?:item|product|card|result)"
-    classed = (
-        r"(?s)<[a-zA-Z][^>]*\s(?i:class)\s*=\s*"
-        rf"""(?:"[^">]*{word}|'[^'>]*{word}|[^\s"'>]*{word})"""
-    )
     blocks = F.regexp_count(d, F.lit(r"(?i)<(?:article|table|ul|ol|h[1-3])\b"))
-    return blocks + anchor_count + F.regexp_count(d, F.lit(classed))
+    return blocks + anchor_count + F.regexp_count(d, F.lit(tag_having("class", _RECORD_WORD)))
+
+
+# --- extents of elements ----------------------------------------------------------
+_CHUNK = 128  # tags walked before what they ended is put with the rest
+_ENTRY, _SLOT = "\x02", "\x01"
+
+
+def _walked(steps: Column) -> Column:
+    """Ends of wanted elements, from ``steps``: at, name, closing, stays (waits for an end), wanted.
+
+    The open elements are a text, the innermost first: their names, for wanted ones a
+    slot (number among the opening tags, depth, place). A closing tag ends the innermost
+    open element of its name and all inside it; one that nothing waits for is passed over.
+    The state of an aggregate is copied for every element, so it stays small: tags are
+    walked in chunks and only a chunk's own ends are in it.
+    """
+    event = "struct<ended:string,at:int,next:int>"
+    none = F.array().cast(f"array<{event}>")
+
+    def step(acc: Column, s: Column) -> Column:
+        key = F.concat(F.lit(_ENTRY), s["name"], F.lit(_SLOT))
+        slot = F.when(s["wanted"], F.concat_ws(":", acc["no"].cast("string"), acc["depth"].cast("string"), s["at"].cast("string")))
+        entry = F.concat(key, F.coalesce(slot, F.lit("")))
+        innermost = F.instr(acc["open"], key)
+        ends = s["closing"] & (innermost > 0)
+        # Where the open elements that stay open begin.
+        left = F.call_function("locate", F.lit(_ENTRY), acc["open"], innermost + 1)
+        ended = F.when(ends, F.substr(acc["open"], F.lit(1), left - 1))
+        gone = F.length(ended) - F.length(F.translate(ended, _ENTRY, ""))
+        alone = ~s["closing"] & ~s["stays"] & s["wanted"]
+        what = F.when(alone, entry).when(ended.rlike(f"{_SLOT}[0-9]"), ended)
+        opened = acc["no"] + F.when(s["closing"], 0).otherwise(1)
+        one = F.array(F.struct(what.alias("ended"), s["at"].alias("at"), opened.alias("next")).cast(event))
+        return F.struct(
+            F.when(ends, F.substr(acc["open"], left)).when(s["stays"], F.concat(entry, acc["open"])).otherwise(acc["open"]).alias("open"),
+            F.when(ends, acc["depth"] - gone).when(s["stays"], acc["depth"] + 1).otherwise(acc["depth"]).alias("depth"),
+            opened.alias("no"),
+            F.when(what.isNull(), acc["events"]).otherwise(F.concat(acc["events"], one)).alias("events"),
+        )
+
+    def state(acc: Column, events: Column) -> Column:
+        return F.struct(*(acc[c].alias(c) for c in ("open", "depth", "no")), events.alias("events"))
+
+    def chunk(acc: Column, part: Column) -> Column:
+        return F.aggregate(part, state(acc, none), step, lambda end: state(end, F.concat(acc["events"], end["events"])))
+
+    def chunks(all_steps: Column) -> Column:
+        last = F.greatest(F.floor((F.size(all_steps) - 1) / _CHUNK), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last.cast("int")), lambda k: F.slice(all_steps, k * _CHUNK + 1, F.lit(_CHUNK)))
+
+    start = F.struct(F.lit(_ENTRY).alias("open"), F.lit(0).alias("depth"), F.lit(0).alias("no"), none.alias("events"))
+    return F.aggregate(let(steps, chunks), start, chunk)
+
+
+def extents(tag: Column, wanted: Callable[[Column], Column], void: list[str] = fixed.VOID, name: str = "[a-zA-Z]") -> Column:
+    """Wanted elements in document order: no, first, last, next, depth.
+
+    ``tag``: all tags; ``wanted`` tells of an opening one whether its element is asked
+    for. no: its number among the opening tags; first, last: places of the tag that
+    opens it and of the one that ends it (itself without content; the number of tags
+    if it stays open); next: the number the first opening tag behind it has.
+    """
+    def seen(t: Column, i: Column) -> Column:
+        return F.struct(
+            i.cast("int").alias("at"),
+            F.lower(F.regexp_extract(t, rf"^</?({name}[^\s/>{_SLOT}{_ENTRY}]*)", 1)).alias("name"),
+            F.startswith(t, F.lit("</")).alias("closing"),
+            t.alias("tag"),
+        )
+
+    def judged(s: Column) -> Column:
+        single = F.endswith(s["tag"], F.lit("/>"))
+        return F.struct(
+            s["at"].alias("at"), s["name"].alias("name"), s["closing"].alias("closing"),
+            (~s["closing"] & ~single & (~s["name"].isin(void) if void else F.lit(True))).alias("stays"),
+            (~s["closing"] & wanted(s["tag"])).alias("wanted"),
+        )
+
+    steps = F.transform(F.filter(F.transform(tag, seen), lambda s: s["name"] != ""), judged)
+
+    def of(event: Column) -> Column:
+        slots = F.filter(F.split(event["ended"], _ENTRY), lambda e: e.rlike(f"{_SLOT}[0-9]"))
+
+        def extent(e: Column) -> Column:
+            number = F.split(F.substring_index(e, _SLOT, -1), ":")
+            return F.struct(
+                number[0].cast("int").alias("no"), number[2].cast("int").alias("first"), event["at"].alias("last"),
+                event["next"].alias("next"), number[1].cast("int").alias("depth"),
+            )
+
+        return F.transform(slots, extent)
+
+    def all_of(walk: Column) -> Column:
+        rest = F.struct(walk["open"].alias("ended"), F.size(tag).alias("at"), walk["no"].alias("next"))
+        return F.array_sort(F.flatten(F.transform(F.concat(walk["events"], F.array(rest)), of)))
+
+    return let(_walked(steps), all_of)
+
+
+def inner_markup(tag: Column, text: Column, extent: Column) -> Column:
+    """Markup inside each of the elements (see ``extents``), from tags and pieces."""
+    def cut(p: Column) -> Column:
+        return F.transform(
+            extent,
+            lambda e: F.when(
+                e["last"] > e["first"],
+                F.concat(
+                    F.get(p["text"], e["first"] + 1),
+                    F.array_join(F.slice(p["whole"], e["first"] + 2, e["last"] - e["first"] - 1), ""),
+                ),
+            ).otherwise(""),
+        )
+
+    def joined(p: Column) -> Column:
+        whole = F.transform(p["tag"], lambda t, i: F.concat(t, F.get(p["text"], i.cast("int") + 1)))
+        return let(F.struct(p["text"].alias("text"), whole.alias("whole")), cut)
+
+    return let(F.struct(tag.alias("tag"), text.alias("text")), joined)
 
 
 def with_page_columns(df: DataFrame, html: str) -> DataFrame:
     """Add the columns other operators share, each computed once per row."""
-    return (
-        df.withColumn("dom", dom(F.col(html)))
-        .withColumn("anchors", anchors(F.col("dom")))
-        .withColumn("text", joined_text(F.col("dom")))
+    taken = df.withColumn("dom", dom(F.col(html))).withColumns({"tags": tags(F.col("dom")), "pieces": pieces(F.col("dom"))})
+    # Lambdas look into these arrays for each element: they must not be copied into them.
+    taken = settled(taken)
+    return taken.withColumns(
+        {
+            "anchors": anchors_of(F.col("tags"), F.col("pieces")),
+            "text": F.array_join(_shown(F.col("pieces")), " "),
+        }
     )
+
+
+PAGE_COLUMNS = ("dom", "tags", "pieces", "anchors", "text")

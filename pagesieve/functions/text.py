@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import fixed, references
 
 
 def let(value: Column, body) -> Column:
@@ -57,9 +57,9 @@ def is_blank(c: Column) -> Column:
 
 
 def _code_point(name: Column) -> Column:
-    """Code point of a numeric reference ('#65', '#x41'); U+FFFD where there is no such character."""
+    """Code point of a numeric reference ('#65', '#x41;'); U+FFFD where there is no such character."""
     hexadecimal = F.lower(F.left(name, F.lit(2))) == "#x"
-    digits = F.regexp_replace(name, r"^#[xX]?0*(?=.)", "")
+    digits = F.regexp_replace(name, r"^#[xX]?0*(?=[^;])|;", "")
     short = F.length(digits) <= F.when(hexadecimal, 6).otherwise(7)
     number = F.when(short, F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
     known = ((number > 0) & (number < 0xD800)) | number.between(0xE000, 0x10FFFF)
@@ -80,22 +80,25 @@ def _numeric(name: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Named (``fixed.ENTITIES``) and numeric character references, one pass.
+    """Named and numeric character references, as the standard library reads them, in one pass.
 
-    Splitting at '&' decodes each reference once, so '&amp;lt;' gives '&lt;'.
+    Splitting at '&' decodes each reference once, so '&amp;lt;' gives '&lt;'. A name
+    without its semicolon counts as far as it begins with one that may lack it.
     """
     def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z]+);", 1)
+        name = F.regexp_extract(p, references.REFERENCE, 1)
         return F.when(i == 0, p).otherwise(let(name, lambda n: one(p, n)))
 
+    def behind(p: Column, name: Column) -> Column:
+        return F.substr(p, F.length(name) + 1)
+
+    def opened(p: Column, name: Column) -> Column:
+        return F.when(name != "", F.concat(references.named(name), behind(p, name))).otherwise(F.concat(F.lit("&"), p))
+
     def one(p: Column, name: Column) -> Column:
-        char = F.lit(None).cast("string")
-        for key, value in fixed.ENTITIES.items():
-            char = F.when(name == key, F.lit(value)).otherwise(char)
-        char = F.when(F.startswith(name, F.lit("#")), _numeric(name)).otherwise(char)
-        return F.coalesce(
-            F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)
-        )
+        char = F.when(F.startswith(name, F.lit("#")), _numeric(name)).otherwise(references.named(name))
+        rest = let(F.regexp_extract(name, references.OPEN_NAME, 1), lambda n: opened(p, n))
+        return let(char, lambda v: F.when(v.isNotNull(), F.concat(v, behind(p, name))).otherwise(rest))
 
     def decoded(text: Column) -> Column:
         return F.array_join(F.transform(F.split(text, "&"), piece), "")

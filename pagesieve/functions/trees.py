@@ -1,18 +1,14 @@
-"""Arrow helpers for nested markup.
+"""Arrow helper for JSON searched in document order.
 
-Nesting of any depth is outside regular expressions and Spark's built-in
-functions, so three small per-value helpers walk it. They get Arrow batches,
-see null for rows that do not need them, and return fragments; all decisions on
-the fragments are made by column expressions.
+VARIANT values sort their keys, so the first list of objects in document order is
+outside Spark's built-in functions when it is not in one of the usual places. The
+helper gets Arrow batches and sees null for rows that do not need it.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import sys
-import xml.etree.ElementTree as ElementTree
-from collections import Counter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -21,45 +17,13 @@ from pyspark.sql import types as T
 
 from . import fixed
 
-# Ship the helpers with the job: executors need not have this package installed.
+# Ship the helper with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TEXTS = T.ArrayType(T.StringType())
-_CHILD = T.StructType([T.StructField("tag", T.StringType()), T.StructField("text", T.StringType())])
-_XML_NODES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("depth", T.IntegerType()),
-            T.StructField("tag", T.StringType()),
-            T.StructField("twins", T.IntegerType()),
-            T.StructField("text", T.StringType()),
-            T.StructField("children", T.ArrayType(_CHILD)),
-        ]
-    )
-)
-_RANGES = T.ArrayType(
-    T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
-)
 _CONTAINERS = list(fixed.JSON_CONTAINERS)
-_XML_ARROW = pa.list_(
-    pa.struct(
-        [
-            ("depth", pa.int32()),
-            ("tag", pa.string()),
-            ("twins", pa.int32()),
-            ("text", pa.string()),
-            ("children", pa.list_(pa.struct([("tag", pa.string()), ("text", pa.string())]))),
-        ]
-    )
-)
-_RANGE_ARROW = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
-def _mapped(values: pa.Array, one, kind: pa.DataType) -> pa.Array:
-    return pa.array((None if v is None else one(v) for v in values.to_pylist()), type=kind)
-
-
-# --- JSON: the first list of objects -----------------------------------------
 def first_objects(text: str) -> list[str] | None:
     """Records of a payload as JSON texts; null when the text is no JSON."""
     try:
@@ -81,126 +45,4 @@ def first_objects(text: str) -> list[str] | None:
 
 @F.arrow_udf(_TEXTS)
 def json_first_objects(body: pa.Array) -> pa.Array:
-    return _mapped(body, first_objects, pa.list_(pa.string()))
-
-
-# --- XML: elements with children ----------------------------------------------
-def xml_elements(text: str) -> list[dict] | None:
-    """Record candidates: elements with child elements; null when the text is not well formed.
-
-    Those of the first record tag that occurs; without one, the root's children
-    that have twins (``twins``: children of the root with that name). Text is taken
-    of candidates only, so nesting around them is not copied level by level.
-    """
-    def name(tag: str) -> str:
-        return tag.rpartition("}")[2].lower()
-
-    def inner(node) -> str:
-        return "".join(node.itertext()).strip()
-
-    try:
-        root = ElementTree.fromstring(text)
-    except (ElementTree.ParseError, ValueError):
-        return None
-    twins = Counter(name(child.tag) for child in root)
-    parents = []
-    todo = [(root, 0)]
-    while todo:
-        node, depth = todo.pop()
-        kids = list(node)
-        if kids:
-            parents.append((node, depth, name(node.tag)))
-        todo.extend((kid, depth + 1) for kid in reversed(kids))
-    there = {tag for _, _, tag in parents}
-    record = next((t for t in fixed.XML_RECORD_TAGS if t in there), None)
-    out = []
-    for node, depth, tag in parents:
-        if tag != record if record else depth != 1 or twins[tag] < 2:
-            continue
-        parts = [{"tag": name(k.tag), "text": inner(k)} for k in node]
-        blank = not any(p["text"] for p in parts)
-        out.append(
-            {
-                "depth": depth,
-                "tag": tag,
-                "twins": twins[tag] if depth == 1 else 0,
-                "text": inner(node) if blank else "",
-                "children": parts,
-            }
-        )
-    return out
-
-
-@F.arrow_udf(_XML_NODES)
-def xml_nodes(body: pa.Array) -> pa.Array:
-    return _mapped(body, xml_elements, _XML_ARROW)
-
-
-# --- HTML: extents of nested elements -------------------------------------------
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_CLASS = re.compile(r"""\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_CLASS_OR_ID = re.compile(r"""\s(?:class|id)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_CARD = re.compile(fixed.CARD_CLASS.replace("(?iu)", "(?i)"))
-_PAGING = re.compile(fixed.PAGING_CLASS.replace("(?iu)", "(?i)"))
-_VOID = {
-    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
-    "source", "track", "wbr",
-}
-
-
-def element_extents(text: str, attribute: re.Pattern, wanted: re.Pattern) -> list[list[int]]:
-    """[start, end, first anchor no, last anchor no] of elements with a wanted value.
-
-    A closing tag ends the nearest open element of its name and all inside it;
-    what is still open at the end reaches to the end.
-    """
-    found: list[list[int]] = []
-    open_tags: list[tuple[str, int]] = []
-    open_names: dict[str, int] = {}
-    anchor_no = 0
-    for m in _TAG.finditer(text):
-        closing, name, rest = m.group(1), m.group(2).lower(), m.group(3)
-        if closing:
-            while open_names.get(name):
-                top, slot = open_tags.pop()
-                open_names[top] -= 1
-                if slot >= 0:
-                    found[slot][1] = m.start()
-                    found[slot][3] = anchor_no - 1
-                if top == name:
-                    break
-            continue
-        slot = -1
-        if any(wanted.search(v) for v in attribute.findall(rest)):
-            slot = len(found)
-            found.append([m.end(), m.end(), anchor_no + (name == "a"), -1])
-        if name == "a" and rest[:1].isspace():
-            anchor_no += 1
-        if name not in _VOID and not rest.endswith("/"):
-            open_tags.append((name, slot))
-            open_names[name] = open_names.get(name, 0) + 1
-    for _, slot in open_tags:
-        if slot >= 0:
-            found[slot][1] = len(text)
-            found[slot][3] = anchor_no - 1
-    return found
-
-
-@F.arrow_udf(_TEXTS)
-def card_bodies(d: pa.Array) -> pa.Array:
-    """Inner markup of every element with a card-like class, in document order."""
-    return _mapped(
-        d,
-        lambda t: [t[a:b] for a, b, _, _ in element_extents(t, _CLASS, _CARD)],
-        pa.list_(pa.string()),
-    )
-
-
-@F.arrow_udf(_RANGES)
-def paging_ranges(d: pa.Array) -> pa.Array:
-    """Ranges of anchor numbers that lie inside an element with a paging class or id."""
-    def ranges(t: str) -> list[dict]:
-        spans = element_extents(t, _CLASS_OR_ID, _PAGING)
-        return [{"first": lo, "last": hi} for _, _, lo, hi in spans if hi >= lo]
-
-    return _mapped(d, ranges, _RANGE_ARROW)
+    return pa.array((None if v is None else first_objects(v) for v in body.to_pylist()), type=pa.list_(pa.string()))

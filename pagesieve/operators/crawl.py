@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fixed, markup, trees, urls
+from ..functions import fixed, markup, urls
 from ..functions.text import settled, split_key, strip
 from ..sources.workspace import ensure_checkpoint_dir
 from . import policy
@@ -16,38 +16,34 @@ from .profile import blocked_status
 def next_page_links(pages: DataFrame) -> DataFrame:
     """Add ``next_urls``: absolute same-host next-page links, distinct, in order.
 
-    Needs url, dom, anchors. Only pages with a paging class or id somewhere go
-    to the Arrow helper, which tells the anchors inside such an element.
+    Needs url, dom, tags, anchors. Only pages with a paging class or id somewhere are
+    walked for the anchors inside such an element.
     """
-    pages = pages.withColumns(
-        {
-            "_paging_page": F.when(markup.has_paging_element(F.col("dom")), F.col("dom")),
-            "_base": urls.base_parts(F.col("url")),
-        }
+    def is_paging(t: Column) -> Column:
+        seen = [F.coalesce(markup.attribute(t, name).rlike(fixed.PAGING_CLASS), F.lit(False)) for name in ("class", "id")]
+        return seen[0] | seen[1]
+
+    tag = F.when(markup.has_paging_element(F.col("dom")), F.col("tags"))
+    pages = settled(
+        pages.withColumns({"_inside": markup.extents(tag, is_paging), "_base": urls.base_parts(F.col("url"))})
     )
-    pages = pages.withColumn("_ranges", trees.paging_ranges("_paging_page"))
     base, host = F.col("_base"), F.lower(F.col("_base")["netloc"])
 
     def is_next(a: Column) -> Column:
         own = F.size(markup.paging_labels(a, squeezed=True)) > 0
-        inside = F.exists(
-            F.coalesce("_ranges", F.array().cast("array<struct<first:int,last:int>>")),
-            lambda r: (r["first"] <= a["no"]) & (a["no"] <= r["last"]),
-        )
-        return own | inside
+        inside = F.exists("_inside", lambda e: (e["first"] < a["at"]) & (a["at"] < e["last"]))
+        return own | F.coalesce(inside, F.lit(False))
 
     targets = F.transform(
         F.filter("anchors", is_next), lambda a: urls.resolve(base, strip(a["href"]))
     )
     same_host = F.filter(targets, lambda u: F.lower(urls.netloc(u)) == host)
-    return pages.withColumn("next_urls", F.array_distinct(same_host)).drop(
-        "_paging_page", "_ranges", "_base"
-    )
+    return pages.withColumn("next_urls", F.array_distinct(same_host)).drop("_inside", "_base")
 
 
 def with_walk_columns(pages: DataFrame) -> DataFrame:
     """Add ``next_urls`` and ``walk_records`` to rows with url, dom and anchors."""
-    return page_records(next_page_links(pages)).withColumnRenamed("records", "walk_records")
+    return page_records(next_page_links(pages)).withColumnRenamed("records", "walk_records").drop("had_cards")
 
 
 def fetchable(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed, markup, trees, urls
+from ..functions import fixed, markup, trees, urls, xml
 from ..functions.text import let, settled, squeeze, strip
 from .policy import normalised
 from .profile import blocked_status
@@ -76,16 +76,14 @@ def link_items(anchors: Column, dom: Column, url: Column) -> Column:
 # --- cards ----------------------------------------------------------------------
 def _first_inner(card: Column, tag: str) -> Column:
     end = rf"(?:</{tag}\s*>|\z)" if tag != "a" else r"(?:</a\s*>|<a\s|\z)"
-    inner = F.regexp_extract(card, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?){end}", 1)
+    inner = F.regexp_extract(card, rf"(?is)<{tag}(?:\s{fixed.INSIDE})?>(.*?){end}", 1)
     return squeeze(markup.joined_text(inner))
 
 
 def _first_classed(card: Column, name: str) -> Column:
-    pattern = (
-        r"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^>]*\s(?i:class)\s*=\s*"
-        rf"""(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'|{name}(?=[\s>]))"""
-        r"[^>]*>(.*?)(?:(?i:</\1\s*>)|\z)"
-    )
+    word = rf"""(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'|{name}(?=[\s>]))"""
+    opened = rf"<([a-zA-Z][a-zA-Z0-9]*+)(?=[\s/]){markup.attributes_until(rf'(?i:class)\s*+=\s*+{word}')}"
+    pattern = rf"(?s){opened}{fixed.INSIDE}>(.*?)(?:(?i:</\1\s*>)|\z)"
     return squeeze(markup.joined_text(F.regexp_extract(card, pattern, 2)))
 
 
@@ -95,9 +93,9 @@ def card_title(card: Column) -> Column:
 
 
 def card_href(card: Column) -> Column:
-    raw = F.regexp_extract(
-        card, r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1
-    )
+    """Target of the card's first anchor that has one."""
+    href = markup.attributes_until(r"""href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)""", r"href\s*+=")
+    raw = F.regexp_extract(card, rf"(?is)<a(?=[\s/]){href}", 1)
     return strip(markup.decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", "")))
 
 
@@ -149,19 +147,20 @@ def _first_per_key(df: DataFrame, column: str) -> DataFrame:
 def card_segments(pages: DataFrame) -> DataFrame:
     """Add ``cards``: inner markup of each card-like element (nested ones too).
 
-    Pages without a card-like class never reach the Arrow helper.
+    Needs dom, tags and pieces; pages without a card-like class are not walked.
     """
-    word = fixed.CARD_CLASS.replace("(?iu)", "")
-    has_cards = F.col("dom").rlike(
-        r"(?isu)<[a-z][^>]*\sclass\s*=\s*"
-        rf"""(?:"[^">]*(?:{word})|'[^'>]*(?:{word})|[^\s"'>]*(?:{word}))"""
-    )
-    pages = pages.withColumn("_card_page", F.when(has_cards, F.col("dom")))
-    return pages.withColumn("cards", trees.card_bodies("_card_page")).drop("_card_page")
+    has_cards = F.col("dom").rlike(markup.tag_having("class", fixed.CARD_CLASS))
+    tag, text = F.when(has_cards, F.col("tags")), F.col("pieces")
+
+    def is_card(t: Column) -> Column:
+        return F.coalesce(markup.attribute(t, "class").rlike(fixed.CARD_CLASS), F.lit(False))
+
+    pages = settled(pages.withColumn("_extents", markup.extents(tag, is_card)))
+    return pages.withColumn("cards", markup.inner_markup(F.col("tags"), F.col("pieces"), F.col("_extents"))).drop("_extents")
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Add ``records``: the (pos, title, url, price) of a listing page.
+    """Add ``records``: the (pos, title, url, price) of a listing page, and ``had_cards``.
 
     Cards first; a page without usable cards falls back to its links.
     """
@@ -184,7 +183,7 @@ def page_records(pages: DataFrame) -> DataFrame:
             F.array().cast(kind),
         ),
     ).drop("cards")
-    pages = settled(pages)
+    pages = settled(pages.withColumn("had_cards", F.size("records") > 0))
     base = F.col("_base")
 
     def link(a: Column) -> Column:
@@ -198,7 +197,7 @@ def page_records(pages: DataFrame) -> DataFrame:
     usable = F.filter("anchors", lambda a: usable_href(strip(a["href"])))
     pages = pages.withColumn(
         "records",
-        F.when(F.size("records") > 0, F.col("records")).otherwise(F.transform(usable, link)),
+        F.when(F.col("had_cards"), F.col("records")).otherwise(F.transform(usable, link)),
     ).drop("_base")
     return _first_per_key(settled(pages), "records")
 
@@ -309,32 +308,40 @@ def json_items(records: Column, fields: Column) -> Column:
 
 # --- XML ------------------------------------------------------------------------
 def xml_records(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``records``: chosen record elements as (tag, children); null = not well formed."""
-    df = df.withColumn("_nodes", trees.xml_nodes(body))
+    """Add ``records``: chosen record elements as (tag, children); null = not well formed.
+
+    Elements with child elements that have the first record tag which occurs, at any
+    depth; without one, children of the root whose name occurs again there and that
+    hold some child text.
+    """
+    df = settled(xml.with_elements(df, body, "_text", "_elements"))
+    kids = lambda e: e["next"] > e["no"] + 1
 
     def of(tag: str) -> Column:
-        return F.filter("_nodes", lambda n: n["tag"] == tag)
+        return F.filter("_elements", lambda e: (e["name"] == tag) & kids(e))
+
+    def node(e: Column, alone: bool) -> Column:
+        """Tag and children with text; ``alone``: without any, the element stands for itself."""
+        inside = F.slice("_elements", e["no"] + 2, e["next"] - e["no"] - 1)
+        children = F.transform(
+            F.filter(inside, lambda c: c["depth"] == e["depth"] + 1),
+            lambda c: F.struct(c["name"].alias("tag"), xml.inner_text("_text", c).alias("text")),
+        )
+        own = F.array(F.struct(e["name"].alias("tag"), xml.inner_text("_text", e).alias("text"))) if alone else children
 
-    def has(tag: str) -> Column:
-        return F.exists("_nodes", lambda n: n["tag"] == tag)
+        def kept(some: Column) -> Column:
+            return F.when(F.size(some) > 0, some).otherwise(F.filter(own, lambda c: c["text"] != ""))
 
-    repeated = F.filter(
-        "_nodes",
-        lambda n: (n["depth"] == 1) & (n["twins"] > 1) & F.exists(n["children"], lambda c: c["text"] != ""),
-    )
-    chosen = repeated
+        return F.struct(e["name"].alias("tag"), let(F.filter(children, lambda c: c["text"] != ""), kept).alias("children"))
+
+    top = F.array_sort(F.transform(F.filter("_elements", lambda e: e["depth"] == 1), lambda e: e["name"]))
+    twins = let(top, lambda names: F.array_distinct(F.filter(names, lambda n, i: F.get(names, i - 1) == n)))
+    df = settled(df.withColumn("_twins", twins))
+    repeated = F.filter("_elements", lambda e: (e["depth"] == 1) & kids(e) & F.array_contains("_twins", e["name"]))
+    found = F.filter(F.transform(repeated, lambda e: node(e, False)), lambda r: F.size(r["children"]) > 0)
     for tag in reversed(fixed.XML_RECORD_TAGS):
-        chosen = F.when(has(tag), of(tag)).otherwise(chosen)
-    df = df.withColumn("_chosen", F.when(F.col("_nodes").isNotNull(), chosen))
-    own = lambda n: F.when(n["text"] != "", F.array(F.struct(n["tag"].alias("tag"), n["text"].alias("text"))))
-    filled = F.transform(
-        "_chosen",
-        lambda n: F.struct(
-            n["tag"].alias("tag"),
-            F.coalesce(own(n), F.filter(n["children"], lambda c: c["text"] != "")).alias("children"),
-        ),
-    )
-    return df.withColumn("records", filled).drop("_nodes", "_chosen")
+        found = F.when(F.size(of(tag)) > 0, F.transform(of(tag), lambda e: node(e, True))).otherwise(found)
+    return df.withColumn("records", found).drop("_text", "_elements", "_twins")
 
 
 def xml_value(children: Column, name: Column) -> Column:

@@ -160,7 +160,7 @@ def source_profile(captures: DataFrame, keep_page_columns: bool = False) -> Data
             "data_visible_in_html": F.when(reached, F.size("visible_field_hits") > 0),
         }
     ).drop("_labels", "_scripts", "_title_seen", "_low_text", "_headings", "_prices")
-    return df if keep_page_columns else df.drop("html", "dom", "anchors", "text")
+    return df if keep_page_columns else df.drop("html", *markup.PAGE_COLUMNS)
 
 
 def profile_reason() -> Column:

@@ -690,7 +690,7 @@ def card_price(spark, sf):
 
 def _page_records(spark: SparkSession, sf: str) -> DataFrame:
     records = extraction.page_records(_walkable(spark, sf))
-    return settled(records.select("job_id", "fields", "records"))
+    return settled(records.select("job_id", "fields", "records", "had_cards"))
 
 
 @query
@@ -702,8 +702,7 @@ def in_page_dedup(spark, sf):
 @query
 def card_link_fallback(spark, sf):
     pages = _page_records(spark, sf)
-    no_price = F.forall("records", lambda r: r["price"] == "")
-    rows = pages.where(no_price).select("job_id", F.explode("records").alias("r"))
+    rows = pages.where(~F.col("had_cards")).select("job_id", F.explode("records").alias("r"))
     return rows.select("job_id", F.col("r.pos").cast("long").alias("pos"), "r.title", "r.url")
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed
+from ..functions import fixed, markup
 from ..functions.text import settled
 from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources.workspace import ensure_checkpoint_dir, stored
@@ -73,7 +73,7 @@ def assess(captures: DataFrame, for_walks: bool = False) -> DataFrame:
                 "xml_read": F.col("_xml_records").isNotNull(),
             }
         ).drop(
-            "body", "html", "dom", "anchors", "text", "_json", "_xml", "_json_records",
+            "body", "html", *markup.PAGE_COLUMNS, "_json", "_xml", "_json_records",
             "_xml_records", "_extractor", "strategy", "route", "confidence", "route_reasons",
             "recommended_next_step",
         )
@@ -87,8 +87,8 @@ def decide(assessed: DataFrame, robots_files: DataFrame, user_agent: str = fixed
     # The gate looks at the raw status; a skipped profiler leaves no profile.
     df = policy.authorization_gate(df.withColumn("status", F.col("status_code"))).drop("status")
     skipped = F.col("blocked_by").isin("risk_engine", "robots_checker")
-    for name in [*profile.PROFILE_COLUMNS, "profile_error"]:
-        df = df.withColumn(name, F.when(F.coalesce(~skipped, F.lit(True)), F.col(name)))
+    seen = F.coalesce(~skipped, F.lit(True))
+    df = df.withColumns({c: F.when(seen, F.col(c)) for c in [*profile.PROFILE_COLUMNS, "profile_error"]})
     df = df.withColumn("strategy", routing.strategy(F.col("allowed")))
     df = df.withColumn("strategy_reason", routing.strategy_reason(F.col("strategy")))
     df = routing.scrape_route(df, with_html=False)

@@ -14,6 +14,7 @@ from .tables import relation
 
 _RETAIL = "cast(cast(p_retailprice as decimal(12,2)) as string)"
 _KEY = "cast(p_partkey as string)"
+_NAME = "p_name || case p_partkey % 3 when 1 then ' caf&eacute;' else '' end"
 
 PAGE_CAPTURES = """
 select cast(page_id * 4 as bigint) as job_id, url,
@@ -44,14 +45,15 @@ select cast(p_partkey * 4 + 1 as bigint) as job_id,
   cast(case when p_partkey % 17 = 5 then 403 else 200 end as int) as status,
   'text/html; charset=utf-8' as content_type,
   cast(null as string) as error,
-  '<!DOCTYPE html><html><head><title>' || p_brand || ' &amp; more</title><style>.card{{x:y}}</style></head><body><!-- <a href="/hidden">no</a> -->'
+  '<!DOCTYPE html><html><head><title>' || p_brand || ' &amp; more&hellip;</title><style>.card{{x:y}}</style></head><body><!-- <a href="/hidden">no</a> -->'
   || case when p_partkey % 10 = 9 then '<section class="rows">' else '<section class="listing">' end
-  || '<div class="' || case when p_partkey % 10 = 9 then 'row' else 'product-card' end || '"><h2>' || p_name || '</h2><a href="/p/' || {_KEY}
-  || '">View</a><p class="price"> ' || case p_partkey % 5 when 0 then '$' when 1 then '£' when 2 then '' when 3 then 'N/A ' else '$1,' end
+  || '<div class="' || case when p_partkey % 10 = 9 then 'row' else 'product-card' end || '" data-note="1 > 0"><h2>' || {_NAME} || '</h2><a href="/p/' || {_KEY}
+  || '">View</a><p class="price"> ' || case p_partkey % 10 when 1 then '£' when 2 then '' when 3 then 'N/A ' when 4 then '$1,'
+    when 6 then '&pound;' when 7 then '' when 8 then '&euro;' when 9 then '&pound' else '$' end
   || {_RETAIL} || case p_partkey % 5 when 2 then ' JOD' else '' end || '</p></div>'
-  || '<div class=' || chr(39) || case when p_partkey % 10 = 9 then 'row' else 'Item' end || chr(39) || '><a class="more" href="../t/./' || {_KEY}
+  || '<div class=' || chr(39) || case when p_partkey % 10 = 9 then 'row' else 'Item' end || chr(39) || '><a class="more" title="x > y" href="../t/./' || {_KEY}
   || '?a=1&amp;b=2">' || p_type || ' <b>part</b></a><span>Price: ' || {_RETAIL} || ' USD</span></div>'
-  || '<div class="' || case when p_partkey % 10 = 9 then 'row' else 'product-card' end || '"><h2>' || p_name || '</h2><a href="/p/' || {_KEY}
+  || '<div class="' || case when p_partkey % 10 = 9 then 'row' else 'product-card' end || '"><h2>' || {_NAME} || '</h2><a href="/p/' || {_KEY}
   || '">Again</a><p class="price">1</p></div><div class="' || case when p_partkey % 10 = 9 then 'row' else 'card-empty' end || '"><p>.</p></div></section>'
   || '<nav class="pager"><a href="/list?page=' || cast(p_partkey % 25 + 3 as string) || '">skip</a> <a rel="next nofollow" href="?page='
   || cast(p_partkey % 25 + 1 as string) || '">Next</a><a href="/list?all=1">all</a></nav><a href="https://other.example/list?page=2">next</a><a href="#">top</a></body></html>' as body

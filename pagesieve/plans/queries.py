@@ -184,7 +184,7 @@ def run_report_json(spark, sf):
 def _with_inserted(run: plan.Run) -> DataFrame:
     """Job rows with the number of items an empty store takes from each."""
     stored = run.jobs.sparkSession.createDataFrame([], sinks.STORE_SCHEMA)
-    fresh = sinks.unseen(_for_output(run, "sqlite"), stored)
+    fresh = sinks.unseen(sinks.first_items(_for_output(run, "sqlite")), stored)
     return run.jobs.join(sinks.inserted_counts(fresh), "job_id", "left").fillna(0, ["inserted"])
 
 

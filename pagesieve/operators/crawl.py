@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, urls
 from ..functions.text import settled, split_key, strip
-from ..sources.workspace import ensure_checkpoint_dir
+from ..sources.workspace import new_folder, stored
 from . import policy
 from .extraction import ITEM, page_records, shaped
 from .profile import blocked_status
@@ -52,15 +52,13 @@ def fetchable(
     """What a walk may use of page facts (job_id, url, next_urls, records).
 
     Pages that robots rules forbid are left out, as a page that was not fetched; of
-    several captures of a URL the lowest job_id counts. The rows are thin; the
-    result is checkpointed, so that no round of the walk computes it again.
+    several captures of a URL the lowest job_id counts. The rows are stored by column:
+    no round of a walk computes them again, and none reads the records.
     """
-    ensure_checkpoint_dir(facts.sparkSession)
     one = Window.partitionBy("url").orderBy("job_id")
     first = facts.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1)
     decided = policy.robots_decision(first.drop("_n", "job_id"), robots_files, user_agent)
-    return decided.where("robots_decision <> 'blocked'").select("url", "next_urls", "records").checkpoint()
-
+    return stored(decided.where("robots_decision <> 'blocked'").select("url", "next_urls", "records"), "facts")
 
 def page_facts(
     captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
@@ -76,49 +74,72 @@ def page_facts(
     return fetchable(thin, robots_files, user_agent)
 
 
+ROUNDS = 5  # rounds of a walk in one plan, before its state is stored
+
+
 def bounded_walk(seeds: DataFrame, facts: DataFrame, max_pages: int = fixed.MAX_PAGES) -> DataFrame:
     """(seed, page_seq, url): pages visited from each distinct seed, breadth first.
 
-    State is one row per seed (visited urls, at most ``max_pages``; frontier).
-    A round looks the frontier up in the facts, keeps the first pages found (the
-    rank filter cuts each partition before the shuffle) and builds the next
-    frontier. Seeds asked for by many jobs are walked once, and a page many seeds
-    reach is split by adaptive execution (see ``split_key``). Every round that
-    goes on visits a page, so ``max_pages`` rounds are all that can matter.
+    ``seeds`` has url and, where seeds differ, their own ``max_pages``; a seed that
+    occurs several times is walked once, as far as the largest of them. State is one
+    row per seed (visited urls, at most ``max_pages``; frontier). A round looks the
+    frontier up in the facts, keeps the first pages found (the rank filter cuts each
+    partition before the shuffle) and builds the next frontier; a page many seeds reach
+    is split by adaptive execution (see ``split_key``). After ROUNDS rounds the state is
+    stored and only seeds that can go on are read again, so a plan is as large for 500
+    pages as for 5, and the walk ends when no seed has a frontier left.
     """
-    text_list = "array<string>"
+    spark = seeds.sparkSession
+    own = F.coalesce(F.max("max_pages"), F.lit(max_pages)) if "max_pages" in seeds.columns else F.max(F.lit(max_pages))
+    starts = seeds.groupBy(F.col("url").alias("seed")).agg(own.cast("int").alias("most"))
+    if "max_pages" in seeds.columns:
+        starts = stored(starts, "seeds")
+        max_pages = starts.agg(F.max("most")).first()[0] or 0
     edges = facts.select(split_key(F.col("url")).alias("_key"), F.col("url").alias("_url"), "next_urls")
-    state = seeds.select(F.col("url").alias("seed")).distinct().select(
-        "seed",
-        F.array().cast(text_list).alias("visited"),
-        F.array("seed").alias("frontier"),
-    )
+    state = starts.select("seed", "most", F.array().cast("array<string>").alias("visited"), F.array("seed").alias("frontier"))
+    state = state.where("most > 0")
+    going = (F.size("frontier") > 0) & (F.size("visited") < F.col("most"))
+    folder, step = new_folder(spark, "walk"), 0
+    while True:
+        for _ in range(min(ROUNDS, max_pages)):
+            state = _walk_round(state, edges, max_pages)
+        state.write.parquet(f"{folder}/step={step}")
+        walked = spark.read.schema(state.schema).parquet(f"{folder}/step={step}")
+        state = walked.where(going)
+        if max_pages <= ROUNDS or state.isEmpty():
+            break
+        step += 1
+    ended = spark.read.schema(state.schema).parquet(folder)
+    if max_pages > ROUNDS:
+        ended = ended.where(~going)
+    return ended.select("seed", F.posexplode("visited").alias("page_seq", "url"))
+
+
+def _walk_round(state: DataFrame, edges: DataFrame, max_pages: int) -> DataFrame:
+    """One step of every seed: its frontier looked up, the first pages found visited."""
     host = F.lower(urls.netloc(F.col("seed")))
     first_found = Window.partitionBy("seed").orderBy(F.col("_url").isNull(), "ord")
-    for _ in range(max_pages):
-        asked = state.select("seed", "visited", F.posexplode_outer("frontier").alias("ord", "url"))
-        found = (
-            asked.join(edges, split_key(F.col("url")) == F.col("_key"), "left")
-            .withColumn("rank", F.row_number().over(first_found))
-            .where(F.col("rank") <= max_pages)
-        )
-        taken = F.when(
-            F.col("_url").isNotNull() & (F.col("rank") <= max_pages - F.size("visited")),
-            F.struct("rank", "url", "next_urls"),
-        )
-        grouped = found.groupBy("seed").agg(
-            F.first("visited").alias("visited"), F.sort_array(F.collect_list(taken)).alias("new")
-        )
-        visited = F.concat("visited", F.transform("new", lambda p: p["url"]))
-        onward = F.filter(
-            F.flatten(F.transform("new", lambda p: p["next_urls"])),
-            lambda u: F.lower(urls.netloc(u)) == host,
-        )
-        state = grouped.select("seed", visited.alias("visited"), onward.alias("_next")).select(
-            "seed", "visited", F.array_except("_next", "visited").alias("frontier")
-        )
-    return state.select("seed", F.posexplode("visited").alias("page_seq", "url"))
-
+    asked = state.select("seed", "most", "visited", F.posexplode_outer("frontier").alias("ord", "url"))
+    found = (
+        asked.join(edges, split_key(F.col("url")) == F.col("_key"), "left")
+        .withColumn("rank", F.row_number().over(first_found))
+        .where(F.col("rank") <= max_pages)
+    )
+    taken = F.when(
+        F.col("_url").isNotNull() & (F.col("rank") <= F.col("most") - F.size("visited")),
+        F.struct("rank", "url", "next_urls"),
+    )
+    grouped = found.groupBy("seed").agg(
+        F.first("most").alias("most"), F.first("visited").alias("visited"), F.sort_array(F.collect_list(taken)).alias("new")
+    )
+    visited = F.concat("visited", F.transform("new", lambda p: p["url"]))
+    onward = F.filter(
+        F.flatten(F.transform("new", lambda p: p["next_urls"])),
+        lambda u: F.lower(urls.netloc(u)) == host,
+    )
+    return grouped.select("seed", "most", visited.alias("visited"), onward.alias("_next")).select(
+        "seed", "most", "visited", F.array_except("_next", "visited").alias("frontier")
+    )
 
 def with_limits(jobs: DataFrame, max_pages: int, max_items: int) -> DataFrame:
     """Crawl jobs with their own ``max_pages`` and ``max_items``, or the defaults where they have none."""
@@ -139,10 +160,12 @@ def crawl_items(
     the common walk.
     """
     limited = with_limits(jobs, max_pages, max_items)
+    seeds = limited
     if {"max_pages", "max_items"} & set(jobs.columns):
-        most = limited.agg(F.max("max_pages"), F.max("max_items")).first()
-        max_pages, max_items = (m or 0 for m in most)
-    walk = bounded_walk(limited, facts, max_pages)
+        max_items = limited.agg(F.max("max_items")).first()[0] or 0
+    else:
+        seeds = limited.drop("max_pages")
+    walk = bounded_walk(seeds, facts, max_pages)
     found = facts.select(split_key(F.col("url")).alias("_key"), "records")
     records = walk.join(found, split_key(F.col("url")) == F.col("_key")).select(
         "seed", "page_seq", F.explode("records").alias("r")

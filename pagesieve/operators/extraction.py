@@ -406,10 +406,10 @@ def fetch_warning(kind: str, decision: Column) -> Column:
     )
 
 
-def exploded(df: DataFrame, items: str = "items") -> DataFrame:
-    """One row per item of one-page jobs: job_id, base_url, page_seq 0, ITEM fields."""
-    packed = settled(df.select("job_id", "url", items))
+def exploded(df: DataFrame, items: str = "items", carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per item of one-page jobs: job_id, base_url, page_seq 0, ITEM fields, ``carried`` columns."""
+    packed = settled(df.select("job_id", "url", items, *carried))
     return packed.select(
-        "job_id", F.col("url").alias("base_url"), F.lit(0).alias("page_seq"),
+        "job_id", F.col("url").alias("base_url"), F.lit(0).alias("page_seq"), *carried,
         F.explode(items).alias("_i"),
-    ).select("job_id", "base_url", "page_seq", "_i.*")
+    ).select("job_id", "base_url", "page_seq", *carried, "_i.*")

@@ -208,7 +208,8 @@ def run_reports(jobs: DataFrame, output_paths: dict[str, str] | None = None) ->
     """(job_id, report): one JSON document per job, blocked jobs too.
 
     A projection of the job row; the stamp is the only value that varies. With a
-    column ``inserted`` the report tells how many rows were really stored. A path
+    column ``inserted`` the report tells how many rows were really stored, with a
+    column ``cut`` which limit a walk reached. A path
     is given for outputs that were asked for and had items to write.
     """
     profile = F.struct(
@@ -251,6 +252,7 @@ def run_reports(jobs: DataFrame, output_paths: dict[str, str] | None = None) ->
             lambda d: F.struct(d["layer"], d["decision"], d["reason"]),
         ).alias("decisions"),
         F.map_from_entries(written).alias("output_paths"),
+        *([F.col("cut").alias("limit_reached")] if "cut" in jobs.columns else []),
     )
     return jobs.select("job_id", F.to_json(report).alias("report"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, markup, urls
 from ..functions.text import settled, split_key, squeeze
-from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
+from ..operators import asof, cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources import captures as source
 from ..sources import derived, sinks
 from ..sources.tables import given
@@ -109,6 +109,13 @@ def capture_scan(spark, sf):
     )
 
 
+@query
+def job_capture_asof(spark, sf):
+    """For every job the capture it may use: the last of its URL that is not later."""
+    asks, fetches = (derived.derive(spark, sql, sf) for sql in (derived.ASKS, derived.FETCHES))
+    return asof.latest_before(asks, fetches, "url", ("job_id", "asked_at"), ("capture_id", "fetched_at"))
+
+
 @query
 def job_request_scan(spark, sf):
     return _captures(spark, sf).select(
@@ -859,9 +866,13 @@ def items_per_page(spark, sf):
 
 # --- streaming --------------------------------------------------------------------------
 def _arrivals(spark: SparkSession, sf: str, sql: str, files: int = 4) -> str:
-    """Captures written as a few files, to arrive one per trigger."""
-    path = new_folder(spark, "arrivals")
-    derived.derive(spark, sql, sf).repartition(files, "job_id").write.parquet(path)
+    """Captures written as a few files in the order of their time, to arrive one per trigger."""
+    path, rows = new_folder(spark, "arrivals"), stored(derived.derive(spark, sql, sf), "captures")
+    time = F.unix_timestamp("fetched_at")
+    cuts = rows.agg(F.percentile_approx(time, [i / files for i in range(1, files)], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = rows.where(F.lit(True) if low is None else time >= low).where(F.lit(True) if high is None else time < high)
+        part.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -883,10 +894,21 @@ def _stream_valid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_dedup_url(spark, sf):
+    """State bounded by event time; repeats later than that are caught by the store."""
     out = new_folder(spark, "stream-urls")
-    urls_seen = ingest.first_seen_urls(_stream_valid(spark, sf).select("url"))
-    ingest.to_parquet(urls_seen, out, new_folder(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(out)
+    ingest.to_store(ingest.first_seen_urls(_stream_valid(spark, sf)), out, new_folder(spark, "stream-state")).awaitTermination()
+    return sinks.read_store(spark, out).select("url")
+
+
+@query
+def stream_crawl_queue(spark, sf):
+    """Walks of the jobs a stream of captures hands on: queue as it arrives, then the walk."""
+    arrivals, out = _arrivals(spark, sf, derived.CAPTURES), new_folder(spark, "crawl-queue")
+    queue = ingest.crawl_queue(ingest.capture_stream(spark, arrivals), _robots(spark, sf))
+    ingest.to_parquet(queue, out, new_folder(spark, "stream-state")).awaitTermination()
+    jobs = spark.read.schema(queue.schema).parquet(out)
+    items = crawl.crawl_items(jobs, _facts(spark, sf))
+    return items.select("job_id", *_long("page_seq", "pos"), "title", "url", "price")
 
 
 @query

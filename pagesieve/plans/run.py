@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, markup
 from ..functions.text import settled
-from ..operators import cleaning, crawl, extraction, policy, profile, reporting, routing
+from ..operators import asof, cleaning, crawl, extraction, policy, profile, reporting, routing
 from ..sources.workspace import ensure_checkpoint_dir, stored
 
 JOB_COLUMNS = ["job_id", "url", "fields", "outputs"]
@@ -121,18 +121,41 @@ def dispatch_items(
     )
 
 
+def captures_of_jobs(jobs: DataFrame, captures: DataFrame) -> DataFrame:
+    """Each job with the capture it may use: the last of its URL not later than ``asked_at``.
+
+    ``jobs``: job_id, url, asked_at (null: now) and their own columns (fields, outputs,
+    limits); ``captures``: capture_id, url, fetched_at and the response. Which capture
+    a job uses is decided on thin rows; a job without one is an unanswered fetch
+    (error), a capture no job uses gives nothing.
+    """
+    chosen = asof.latest_before(jobs, captures, "url", ("job_id", "asked_at"), ("capture_id", "fetched_at"))
+    known = [c for c in captures.columns if c not in jobs.columns or c == "capture_id"]
+    asked = jobs.drop("capture_id").join(chosen, "job_id")
+    found = asked.join(captures.select(*known), "capture_id", "left")
+    missing = F.when(F.col("capture_id").isNull(), F.lit("not captured"))
+    return found.withColumn("error", F.coalesce("error", missing)).drop("asked_at")
+
+
 def run_jobs(
-    captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT
+    captures: DataFrame, robots_files: DataFrame, user_agent: str = fixed.USER_AGENT, jobs: DataFrame | None = None
 ) -> Run:
     """Run every job of ``captures`` (with fields and outputs) to checked items.
 
-    Columns ``max_pages`` and ``max_items`` of the captures limit their own walks.
+    With ``jobs`` apart, each takes its capture as of its time (see ``captures_of_jobs``).
+    Columns ``max_pages`` and ``max_items`` limit a job's own walk; ``cut`` of the job
+    rows names the limit a walk reached.
     """
+    if jobs is not None:
+        captures = captures_of_jobs(jobs, captures)
     ensure_checkpoint_dir(captures.sparkSession)
     assessed = stored(assess(captures, for_walks=True), "assessed")
     decided = stored(decide(assessed, robots_files, user_agent), "decided")
     items = dispatch_items(assessed, decided, robots_files, user_agent)
     checked = stored(cleaning.validate(cleaning.clean_items(items)), "checked")
     unique = cleaning.first_by_url(cleaning.valid(checked))
-    jobs = reporting.with_counts(decided, cleaning.job_item_counts(checked))
-    return Run(jobs=jobs, checked=checked, unique=unique)
+    rows = reporting.with_counts(decided, cleaning.job_item_counts(checked))
+    walked = decided.where("extractor = 'scrapy'")
+    cut = crawl.cut_jobs(walked, checked.join(walked.select("job_id"), "job_id", "left_semi"))
+    rows = rows.join(cut, "job_id", "left")
+    return Run(jobs=rows, checked=checked, unique=unique)

@@ -12,9 +12,12 @@ from .tables import given
 
 # A response together with the request it answers, so that neither profiling nor
 # extraction has to join (and shuffle) the bodies. ``error`` is the network error
-# of a fetch that gave no response; status and body are null then.
+# of a fetch that gave no response; status and body are null then. ``fetched_at``
+# bounds the state of streams and says which capture a later job may use.
 CAPTURE_SCHEMA = T.StructType(
     [
+        T.StructField("capture_id", T.LongType()),
+        T.StructField("fetched_at", T.TimestampType()),
         T.StructField("job_id", T.LongType()),
         T.StructField("url", T.StringType()),
         T.StructField("fields_text", T.StringType()),

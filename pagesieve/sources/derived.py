@@ -17,7 +17,8 @@ _KEY = "cast(p_partkey as string)"
 _NAME = "p_name || case p_partkey % 3 when 1 then ' caf&eacute;' else '' end"
 
 PAGE_CAPTURES = """
-select cast(page_id * 4 as bigint) as job_id, url,
+select cast(page_id * 4 as bigint) as capture_id, cast('2024-01-01 00:00:00' as timestamp) + interval '1' second * (page_id * 4) as fetched_at,
+  cast(page_id * 4 as bigint) as job_id, url,
   case page_id % 7 when 0 then 'title,url,price' when 1 then ' Title , URL ,' when 2 then 'title,Password'
     when 3 then 'email,name' when 4 then 'private_email,url,ssn' when 5 then 'availability,heading'
     else 'href,the,the' end as fields_text,
@@ -38,7 +39,8 @@ from @pages@
 """
 
 LISTING_CAPTURES = f"""
-select cast(p_partkey * 4 + 1 as bigint) as job_id,
+select cast(p_partkey * 4 + 1 as bigint) as capture_id, cast('2024-01-01 00:00:00' as timestamp) + interval '1' second * (p_partkey * 4 + 1) as fetched_at,
+  cast(p_partkey * 4 + 1 as bigint) as job_id,
   'https://shop' || cast(cast(floor(p_partkey / 25) as bigint) as string) || '.example.com/list?page=' || cast(p_partkey % 25 as string) as url,
   case p_partkey % 4 when 0 then 'title,url,price' when 1 then 'name,link' when 2 then 'title' else 'heading,href,price' end as fields_text,
   case p_partkey % 2 when 0 then 'csv' else 'csv,sqlite' end as outputs_text,
@@ -67,7 +69,8 @@ _RECORD = (
 _ODD_RECORD = """'{"title":0,"url":null,"href":"/x","price":12.5,"stock":"  two   words "}'"""
 
 JSON_CAPTURES = f"""
-select cast(p_partkey * 4 + 2 as bigint) as job_id,
+select cast(p_partkey * 4 + 2 as bigint) as capture_id, cast('2024-01-01 00:00:00' as timestamp) + interval '1' second * (p_partkey * 4 + 2) as fetched_at,
+  cast(p_partkey * 4 + 2 as bigint) as job_id,
   'https://api' || cast(p_partkey % 7 as string) || '.example.com/v1/' || {_KEY} || case p_partkey % 4 when 3 then '.JSON?x=1' else '' end as url,
   case p_partkey % 5 when 0 then 'title,url,price' when 1 then 'title,link' when 2 then 'title,url,stock,note'
     when 3 then 'url' else 'price,title,url,title' end as fields_text,
@@ -91,7 +94,8 @@ from @part@
 _XML_URL = f"'</title><url>/p/' || {_KEY} || '</url>'"
 
 XML_CAPTURES = f"""
-select cast(p_partkey * 4 + 3 as bigint) as job_id,
+select cast(p_partkey * 4 + 3 as bigint) as capture_id, cast('2024-01-01 00:00:00' as timestamp) + interval '1' second * (p_partkey * 4 + 3) as fetched_at,
+  cast(p_partkey * 4 + 3 as bigint) as job_id,
   'https://feeds' || cast(p_partkey % 5 as string) || '.example.com/f/' || {_KEY} || case p_partkey % 7 when 1 then '.rss' else '' end as url,
   case p_partkey % 4 when 0 then 'title,url' when 1 then 'title,url,price' when 2 then 'title,link' else 'title,item,note' end as fields_text,
   'csv,sqlite' as outputs_text,
@@ -119,6 +123,18 @@ select l_orderkey, cast(l_linenumber as bigint) as l_linenumber,
 from @lineitem@
 """
 
+# Fetches of part pages and jobs that ask for them, in time: captures of a URL keep coming, a job may use the last.
+FETCHES = """
+select cast(l_orderkey * 8 + l_linenumber as bigint) as capture_id, '/p/' || cast(l_partkey as string) as url,
+  cast(l_shipdate as timestamp) + interval '1' second * (l_orderkey % 80000) as fetched_at
+from @lineitem@
+"""
+ASKS = """
+select cast(l_orderkey * 8 + l_linenumber as bigint) as job_id, '/p/' || cast(l_partkey as string) as url,
+  case when l_orderkey % 50 = 0 then null else cast(l_shipdate as timestamp) + interval '1' second * (l_suppkey * 1000 - 40000) end as asked_at
+from @lineitem@
+"""
+
 # One sentence per order that may speak of availability.
 STOCK_TEXTS = """
 select o_orderkey, 'Status: ' || case o_orderstatus when 'O' then 'In-Stock, ships today' when 'F' then 'reavailable item'

@@ -1,0 +1,93 @@
+"""Walks of any length, as-of captures, streams with bounded state."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from pagesieve.operators import asof, crawl
+from pagesieve.plans import run as plan
+from pagesieve.sources import sinks
+from pagesieve.sources.captures import CAPTURE_SCHEMA
+from pagesieve.sources.workspace import new_folder
+from pagesieve.streaming import ingest
+
+FACTS = "url string, next_urls array<string>, records array<struct<pos:int,title:string,url:string,price:string>>"
+
+
+def test_a_long_chain(spark):
+    """Seeds with limits of their own; the walk ends with its frontier, plans stay of one size."""
+    n = 60
+    rows = [(f"http://h/{i}", [f"http://h/{i + 1}", f"http://h/{max(0, i - 2)}"], []) for i in range(n)]
+    facts = spark.createDataFrame(rows, FACTS)
+    seeds = spark.createDataFrame([("http://h/0", 500), ("http://h/0", 3), ("http://h/10", 7), ("http://h/20", 5), ("http://h/gone", 9)], "url string, max_pages int")
+    got = {}
+    for r in crawl.bounded_walk(seeds, facts).collect():
+        got.setdefault(r.seed, {})[r.page_seq] = r.url
+    assert [got["http://h/0"][i] for i in range(n)] == [f"http://h/{i}" for i in range(n)] and len(got["http://h/0"]) == n
+    assert [got["http://h/10"][i] for i in range(7)] == [f"http://h/{i}" for i in (10, 11, 8, 12, 9, 6, 13)] and len(got["http://h/10"]) == 7
+    assert len(got["http://h/20"]) == 5 and "http://h/gone" not in got
+
+
+def test_asof_matches_a_plain_search(spark):
+    rnd, start = random.Random(2), datetime(2024, 1, 1)
+    events = [(i, rnd.choice(["hot", "hot", "a", "b", None]), start + timedelta(seconds=rnd.randrange(500_000) // 50 * 50)) for i in range(400)]
+    events.append((999, "a", None))
+    asks = [(i, rnd.choice(["hot", "hot", "a", "b", "none", None]), None if i % 9 == 0 else start + timedelta(seconds=rnd.randrange(-9_000, 600_000) // 50 * 50)) for i in range(300)]
+    e = spark.createDataFrame(events, "event_id long, k string, at timestamp")
+    a = spark.createDataFrame(asks, "ask_id long, k string, at timestamp")
+    got = {r.ask_id: r.event_id for r in asof.latest_before(a, e, "k", ("ask_id", "at"), ("event_id", "at"), span_seconds=20_000).collect()}
+    want = {}
+    for i, k, t in asks:
+        fits = [(at, x) for x, own, at in events if own == k and k is not None and at is not None and (t is None or at <= t)]
+        want[i] = max(fits)[1] if fits else None
+    assert got == want
+
+
+def captures(spark, rows):
+    return spark.createDataFrame(rows, CAPTURE_SCHEMA)
+
+
+def test_jobs_take_the_capture_of_their_time(spark):
+    day = datetime(2024, 1, 1)
+    page = "<title>{}</title><a href='/{}'>{} link</a>"
+    caps = captures(spark, [
+        (i, day + timedelta(days=i), None, url, None, None, 200, "text/html", None, page.format(i, i, i))
+        for i, url in enumerate(["http://h/a", "http://h/a", "http://h/b", "http://h/a"])
+    ])
+    jobs = spark.createDataFrame(
+        [(1, "http://h/a", ["title"], ["csv"], day), (2, "http://h/a", ["title"], ["csv"], day + timedelta(days=2)), (3, "http://h/a", ["title"], ["csv"], None),
+         (4, "http://h/zzz", ["title"], ["csv"], None)],
+        "job_id long, url string, fields array<string>, outputs array<string>, asked_at timestamp",
+    )
+    robots = spark.createDataFrame([("http://h", 404, None, None)], "origin string, status int, error string, body string")
+    out = plan.run_jobs(caps.drop("job_id", "fields_text", "outputs_text"), robots, jobs=jobs)
+    assert {r.job_id: r.title for r in out.unique.collect()} == {1: "0 link", 2: "1 link", 3: "3 link"}
+    rows = {r.job_id: r for r in out.jobs.collect()}
+    assert set(rows) == {1, 2, 3, 4} and not rows[4].allowed and "not captured" in rows[4].profile_error
+
+
+def test_state_falls_behind_the_watermark(spark):
+    path, start = new_folder(spark, "t-arrivals"), datetime(2024, 1, 1)
+    schema = "job_id long, page_seq int, pos int, title string, url string, source string, fetched_at timestamp"
+    for batch in range(4):
+        rows = [(batch, 0, i, "t", f"u{i if i < 5 else batch * 100 + i}", "s", start + timedelta(hours=5 * batch, seconds=i)) for i in range(30)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    store = new_folder(spark, "t-store")
+    query = ingest.to_store(ingest.first_seen_urls(stream), store, new_folder(spark, "t-state"))
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) <= 60 and held[-1] <= 30
+    urls = [r.url for r in sinks.read_store(spark, store).collect()]
+    assert len(urls) == len(set(urls)) == 5 + 4 * 25
+
+
+def test_limits_are_told(spark):
+    jobs = spark.createDataFrame([(1, "http://h/0", ["title"], 2, 100), (2, "http://h/0", ["title"], 9, 1)], "job_id long, url string, fields array<string>, max_pages int, max_items int")
+    facts = spark.createDataFrame([(f"http://h/{i}", [f"http://h/{i + 1}"], [(0, f"t{i}", f"http://h/i{i}", "")]) for i in range(4)], FACTS)
+    items = crawl.crawl_items(jobs, facts)
+    assert {r.job_id: r.cut for r in crawl.cut_jobs(jobs, items).collect()} == {1: "max_pages", 2: "max_items"}
+    assert items.where(F.col("job_id") == 1).count() == 2 and items.where(F.col("job_id") == 2).count() == 1

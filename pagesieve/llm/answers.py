@@ -111,9 +111,7 @@ windows as (
 repeated as (
   select doc_id, count(distinct i + k) as n from windows, (select unnest([0, 1, 2]) as k) where n > 1 group by doc_id),
 shared as (select host, norm, count(distinct text) as texts from lines group by host, norm having count(distinct text) > 20),
-hosts as (select host, count(distinct text) as host_texts from d group by host),
-frequent as (select host, norm from shared join hosts using (host) where texts > 0.1 * host_texts),
-gone as (select doc_id, sum(words) as n from lines join frequent using (host, norm) group by doc_id),
+gone as (select doc_id, sum(words) as n from lines join shared using (host, norm) group by doc_id),
 counts as (
   select d.doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(b.n, 0) as n_dup_lines,

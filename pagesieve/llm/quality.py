@@ -37,9 +37,10 @@ class Limits:
 
     least_words: int = 50
     most_repeated_percent: int = 50
-    # A line is boilerplate beyond this share of its host's distinct texts, and beyond this number.
-    host_share: float = 0.1
+    # A line is boilerplate beyond this number of its host's distinct texts, however many the host has,
+    # and, if a share is given, beyond this share of them.
     host_texts: int = 20
+    host_share: float = 0.0
     # Less than this percentage of words left: depleted.
     least_left_percent: int = 30
 
@@ -125,11 +126,11 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> Judged:
     shared = (
         lines.select("host", "line", "text_key").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
     )
-    hosts = table.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_texts"))
-    over = F.col("texts") > F.greatest(F.lit(float(limits.host_texts)), limits.host_share * F.col("host_texts"))
-    frequent = stored(
-        shared.where(F.col("texts") > limits.host_texts).join(hosts, "host").where(over).select("host", "line"), "frequent"
-    )
+    over = shared.where(F.col("texts") > limits.host_texts)
+    if limits.host_share > 0:
+        hosts = table.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_texts"))
+        over = over.join(hosts, "host").where(F.col("texts") > limits.host_share * F.col("host_texts"))
+    frequent = stored(over.select("host", "line"), "frequent")
     removed = stored(
         lines.join(frequent, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("gone"), F.collect_list("line").alias("keys")),
         "removed",

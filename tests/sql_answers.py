@@ -953,12 +953,11 @@ _FINAL = {
     "stream_ingest": f"select job_id, pos, title, url, price, source, coalesce({', '.join(RULES)}) as validation_error from one_page where job_id in (select job_id from robots where robots_decision <> 'blocked')",
     "stream_dedup_url": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null and job_id in (select job_id from robots where robots_decision <> 'blocked')",
     "stream_crawl_queue": f"select job_id, page_seq, pos, title, url, price from crawled where nth <= {fixed.MAX_ITEMS}",
-    "job_capture_asof": f"""select a.job_id, max(c.capture_id) filter (where c.fetched_at = c.last_at) as capture_id
-      from ({derived.for_views(derived.ASKS)}) a left join (
-        select j.job_id, f.capture_id, f.fetched_at, max(f.fetched_at) over (partition by j.job_id) as last_at
-        from ({derived.for_views(derived.ASKS)}) j join ({derived.for_views(derived.FETCHES)}) f on j.url = f.url and f.fetched_at <= coalesce(j.asked_at, timestamp '9999-01-01')) c using (job_id)
-      group by a.job_id""",
-    "stream_store": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null and job_id in (select job_id from robots where robots_decision <> 'blocked')",
+    "job_capture_asof": f"""with asks as (select *, row_number() over () as ask from ({derived.for_views(derived.ASKS)}) j),
+        met as (select a.ask, f.capture_id, f.fetched_at, max(f.fetched_at) over (partition by a.ask) as last_at
+          from asks a join ({derived.for_views(derived.FETCHES)}) f on a.url = f.url and f.fetched_at <= coalesce(a.asked_at, timestamp '9999-01-01'))
+      select any_value(a.job_id) as job_id, max(m.capture_id) filter (where m.fetched_at = m.last_at) as capture_id
+      from asks a left join met m using (ask) group by a.ask""",    "stream_store": f"select distinct url from one_page where coalesce({', '.join(RULES)}) is null and job_id in (select job_id from robots where robots_decision <> 'blocked')",
 }
 
 

@@ -21,7 +21,8 @@ def next_page_links(pages: DataFrame) -> DataFrame:
     """
     def is_paging(t: Column) -> Column:
         seen = [F.coalesce(markup.attribute(t, name).rlike(fixed.PAGING_CLASS), F.lit(False)) for name in ("class", "id")]
-        return seen[0] | seen[1]
+        # Most tags don't hold the word at all, so their attributes need not be read.
+        return F.when(t.rlike(fixed.PAGING_CLASS), seen[0] | seen[1]).otherwise(False)
 
     tag = F.when(markup.has_paging_element(F.col("dom")), F.col("tags"))
     pages = settled(

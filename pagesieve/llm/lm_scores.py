@@ -11,10 +11,13 @@ up by the texts they were packed with:
     S(c)       = n(c) / N
 
 N-grams that back off go on to the next shorter order with the shorter n-grams'
-counts, in the same way. Where the counted texts are the scored ones and ``least``
-is 1, none does. Counts cover all documents. Only sums by token, bounded by the
-vocabulary, pass through the driver. Classes grow in number with the corpus; one
-with a very frequent context is larger, and its packs stay compressed.
+counts, in the same way. Counts cover all documents. Where the counted texts are the
+scored ones, a text would vouch for itself: with ``leave_out`` its own occurrences
+are taken off every count it meets (n-gram, context, N), so that what only it says
+backs off. Packs carry a text's own counts of the shorter n-grams for that. Only sums
+by token, bounded by the vocabulary, pass through the driver. Classes grow in number
+with the corpus; one with a very frequent context is larger, and its packs stay
+compressed.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ START, END = 49_406, 49_407
 _TEXTS_AT_ONCE, _GRAMS_AT_ONCE, _TEXT_BYTES_A_GRAM = 256, 2_000_000, 3
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TOKEN = np.uint64(16)
-# Kinds of rows: n-grams to count, to score, or both; sums of texts; their ids.
-_COUNT, _SCORE, _BOTH, _SUMS, _IDS = range(5)
+# Kinds of rows: n-grams to count, to score, or both; sums of texts, those of single tokens; ids of texts.
+_COUNT, _SCORE, _BOTH, _SUMS, _SINGLE, _IDS = range(6)
 
 
 def grams(ids: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +62,29 @@ def grams(ids: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return code[whole], size
 
 
+def _mask(tokens: int) -> np.uint64:
+    return np.uint64((1 << 16 * tokens) - 1)
+
+
+def _within(code: np.ndarray, owner: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+    """How often each row's code occurs in its own text, by rows or their ``times``."""
+    if len(code) and code.max() >> np.uint64(32):
+        code = np.unique(code, return_inverse=True)[1].astype(np.uint64)
+    _, at = np.unique(owner.astype(np.uint64) << np.uint64(32) | code, return_inverse=True)
+    return np.bincount(at, times).astype(np.int64)[at]
+
+
+def own_counts(code: np.ndarray, owner: np.ndarray, order: int) -> list[np.ndarray]:
+    """What the text itself adds to the counts of its shorter n-grams.
+
+    For each order from ``order`` - 1 to 2 the n-gram and its context, then the last token.
+    """
+    out = []
+    for k in range(order - 1, 1, -1):
+        out += [_within(code & _mask(k), owner), _within(code >> _TOKEN & _mask(k - 1), owner)]
+    return [*out, _within(code & _mask(1), owner)]
+
+
 def part_of(code: np.ndarray, parts: int) -> np.ndarray:
     """The hash class of the n-grams' contexts."""
     return ((((code >> _TOKEN) + np.uint64(1)) * _SPREAD >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
@@ -72,18 +98,21 @@ def _zip(*arrays: np.ndarray) -> bytes:
 
 
 def _unzip(data: bytes, *kinds: str) -> list[np.ndarray]:
+    """The arrays, of the kinds given; those after them are of the last kind."""
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
     shape = np.frombuffer(raw, "<u4", 2 * n, 4).reshape(n, 2).tolist()
     out, at = [], 4 + 8 * n
-    for (rows, size), kind in zip(shape, kinds, strict=True):
+    for (rows, size), kind in zip(shape, [*kinds, *kinds[-1:] * (n - len(kinds))], strict=True):
         out.append(np.frombuffer(raw, np.uint8, rows * size, at).reshape(size, rows).T.copy().view(kind).reshape(-1))
         at += rows * size
     return out
 
 
-def _packs(code: np.ndarray, owner: np.ndarray, times: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
-    """(part, pack) of each class: its distinct n-grams, and who has each how often."""
+def _packs(
+    code: np.ndarray, owner: np.ndarray, times: np.ndarray, parts: int, own: list[np.ndarray] = ()
+) -> Iterator[tuple[int, bytes]]:
+    """(part, pack) of each class: its distinct n-grams, who has each how often, and ``own_counts`` if given."""
     ascending = bool((owner[1:] >= owner[:-1]).all())
     order = np.argsort(code, kind="stable") if ascending else np.lexsort((owner, code))
     code, owner, times = code[order], owner[order], times[order]
@@ -91,21 +120,22 @@ def _packs(code: np.ndarray, owner: np.ndarray, times: np.ndarray, parts: int) -
     new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     code, owner, times = code[first], owner[first], np.add.reduceat(times, first) if len(first) else times
+    own = [o[order][first].astype("<u4") for o in own]
     part = part_of(code, parts)
     order = np.argsort(part, kind="stable")
     ends = np.cumsum(np.bincount(part, minlength=parts))
     for p, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
         if a < b:
-            own = order[a:b]
-            gram, size = np.unique(code[own], return_counts=True)
+            its = order[a:b]
+            gram, size = np.unique(code[its], return_counts=True)
             step = np.diff(gram, prepend=np.uint64(0))
-            yield p, _zip(step, size.astype("<u4"), owner[own].astype("<u4"), times[own].astype("<u4"))
+            yield p, _zip(step, size.astype("<u4"), owner[its].astype("<u4"), times[its].astype("<u4"), *(o[its] for o in own))
 
 
 def _opened(pack: bytes) -> list[np.ndarray]:
-    """The pack's n-grams, the number of texts of each, and these texts and times."""
-    step, size, owner, times = _unzip(pack, "<u8", "<u4", "<u4", "<u4")
-    return [np.cumsum(step, dtype=np.uint64), size.astype(np.int64), owner.astype(np.int64), times.astype(np.int64)]
+    """The pack's n-grams, the number of texts of each, these texts and times, and own counts."""
+    step, *more = _unzip(pack, "<u8", "<u4")
+    return [np.cumsum(step, dtype=np.uint64), *(x.astype(np.int64) for x in more)]
 
 
 def _rows(made: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
@@ -117,7 +147,7 @@ def _rows(made: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
     )
 
 
-def _exploded(docs: DataFrame, tokenizer: str, order: int, parts: int, kind: int, schema: T.StructType) -> DataFrame:
+def _exploded(docs: DataFrame, tokenizer: str, order: int, parts: int, kind: int, schema: T.StructType, leave_out: bool = False) -> DataFrame:
     """The packs of all texts (null ones are empty), and a row with the ids of the texts of each batch."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +157,8 @@ def _exploded(docs: DataFrame, tokenizer: str, order: int, parts: int, kind: int
         def packed() -> pa.RecordBatch:
             code, size = grams(texts, order)
             owner = np.repeat(np.arange(len(texts)), size)
-            made = [(kind, p, number, None, data) for p, data in _packs(code, owner, np.ones(len(code), np.int64), parts)]
+            own = own_counts(code, owner, order) if leave_out else []
+            made = [(kind, p, number, None, data) for p, data in _packs(code, owner, np.ones(len(code), np.int64), parts, own)]
             if kind != _COUNT:
                 made.append((_IDS, number % parts, number, [x for n in named for x in n.to_pylist()], None))
             return _rows(made, named[0].type)
@@ -156,7 +187,7 @@ def _table(packs: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of the packs and how often each occurs."""
     held, size = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0
     for pack in packs:
-        gram, texts, _, times = _opened(pack)
+        gram, texts, _, times, *_ = _opened(pack)
         held.append((gram, np.add.reduceat(times, np.cumsum(texts) - texts)))
         size += len(gram)
         if size > max(_GRAMS_AT_ONCE, 2 * len(held[0][0])):
@@ -164,11 +195,13 @@ def _table(packs: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _merged(held)
 
 
-def _scored(packs: DataFrame, level: int, order: int, least: int, parts: int, closed: bool, schema: T.StructType) -> DataFrame:
+def _scored(
+    packs: DataFrame, level: int, order: int, least: int, parts: int, closed: bool, leave_out: bool, schema: T.StructType
+) -> DataFrame:
     """Sums of the n-grams that are in the table; if not ``closed``, what the next shorter order needs."""
     pa_ids = to_arrow_type(schema["ids"].dataType.elementType)
     cost = (order - level) * np.log10(BACKOFF)
-    mask = np.uint64((1 << 16 * (level - 1)) - 1)
+    mask = _mask(level - 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = defaultdict(list)
@@ -184,16 +217,25 @@ def _scored(packs: DataFrame, level: int, order: int, least: int, parts: int, cl
             gram, n = _table(data for kind, _, data in own if kind != _SCORE)
             context, first = np.unique(gram >> _TOKEN, return_index=True)
             all_of = np.add.reduceat(n, first) if len(first) else n
-            value = np.log10(n) - np.log10(np.repeat(all_of, np.diff(np.append(first, len(gram))))) + cost
+            of = np.repeat(all_of, np.diff(np.append(first, len(gram))))
+            value = np.log10(n) - np.log10(of) + cost
             known = n >= least
             for kind, batch, data in own:
                 if kind == _COUNT:
                     continue
-                its, texts, owner, times = _opened(data)
+                its, texts, owner, times, *own = _opened(data)
                 at = np.minimum(np.searchsorted(gram, its), max(0, len(gram) - 1))
-                hit = (gram[at] == its) & known[at] if len(gram) else np.zeros(len(its), bool)
-                worth = np.repeat(np.where(hit, value[at], 0.0) if len(gram) else np.zeros(len(its)), texts)
-                hits = np.repeat(hit, texts)
+                if leave_out:
+                    if level == order:
+                        own = [times, _within(np.repeat(its >> _TOKEN, texts), owner, times), *own]
+                    (mine, mine_of), own = own[:2], own[2:]
+                    others, others_of = np.repeat(n[at], texts) - mine, np.repeat(of[at], texts) - mine_of
+                    hits = others >= max(1, least)
+                    worth = np.where(hits, np.log10(np.maximum(others, 1)) - np.log10(np.maximum(others_of, 1)) + cost, 0.0)
+                else:
+                    hit = (gram[at] == its) & known[at] if len(gram) else np.zeros(len(its), bool)
+                    worth = np.repeat(np.where(hit, value[at], 0.0) if len(gram) else np.zeros(len(its)), texts)
+                    hits = np.repeat(hit, texts)
                 count = times * hits
                 total = np.bincount(owner, worth * times)
                 seen = np.bincount(owner, count).astype(np.int64)
@@ -202,7 +244,7 @@ def _scored(packs: DataFrame, level: int, order: int, least: int, parts: int, cl
                 made = [(_SUMS, part, batch, None, _zip(some.astype("<u4"), total[some], tokens.astype("<u4"), (tokens * (level == order)).astype("<u4")))]
                 if not closed and not hits.all():
                     rest = np.repeat(its, texts)[~hits] & mask
-                    to = _packs(rest, owner[~hits], times[~hits], parts)
+                    to = _packs(rest, owner[~hits], times[~hits], parts, [o[~hits] for o in own])
                     made += [(_SCORE, p, batch, None, d) for p, d in to]
                 yield _rows(made, pa_ids)
             if not closed and len(gram):
@@ -218,7 +260,7 @@ def _by_token(counts: DataFrame) -> np.ndarray:
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for data in rows.column("data").to_pylist():
-                token, _, _, n = _opened(data)
+                token, _, _, n, *_ = _opened(data)
                 yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(n)], names=["token", "n"])
 
     out = np.zeros(1 << 16)
@@ -227,48 +269,58 @@ def _by_token(counts: DataFrame) -> np.ndarray:
     return out
 
 
-def _by_text(sums: DataFrame, schema: T.StructType) -> DataFrame:
-    """A row per text from the sums of its batch."""
+def _by_text(sums: DataFrame, schema: T.StructType, n_all: float | None) -> DataFrame:
+    """A row per text from the sums of its batch; ``n_all``: single tokens are still to be divided by what other texts have of these."""
 
     def add(rows: pa.Table) -> pa.Table:
         named = rows.filter(pc.equal(rows.column("kind"), _IDS)).column("ids").combine_chunks().flatten()
-        total, (tokens, seen) = np.zeros(len(named)), np.zeros((2, len(named)), np.int64)
-        for data in rows.column("data").to_pylist():
+        total, (tokens, seen, single) = np.zeros(len(named)), np.zeros((3, len(named)), np.int64)
+        for kind, data in zip(rows.column("kind").to_pylist(), rows.column("data").to_pylist(), strict=True):
             if data is not None:
                 own, x, t, s = _unzip(data, "<u4", "<f8", "<u4", "<u4")
                 total[own] += x
                 tokens[own] += t
                 seen[own] += s
+                if kind == _SINGLE:
+                    single[own] += t
+        if n_all is not None:
+            total -= single * np.log10(np.maximum(1.0, n_all - tokens))
         return pa.table([named, pa.array(tokens), pa.array(seen), pa.array(total)], names=[f.name for f in schema])
 
     return sums.groupBy("batch").applyInArrow(add, schema)
 
 
 def scores(
-    docs: DataFrame, tokenizer: str, corpus: DataFrame | None = None, least: int = LEAST, part_grams: int = PART_GRAMS, order: int = 2
+    docs: DataFrame, tokenizer: str, corpus: DataFrame | None = None, least: int = LEAST, part_grams: int = PART_GRAMS, order: int = 2,
+    leave_out: bool = False,
 ) -> DataFrame:
     """doc_id, n_tokens (end sign included), n_seen, log10_score, mean_log10 for every row of ``docs``.
 
     ``order``: tokens of the longest n-grams, 2 to 4. ``n_seen`` are the tokens whose
     longest n-gram is in the table. Counts are of ``corpus`` (by default ``docs``); a
-    token it lacks counts once. ``docs``: doc_id and text, read from files; other
-    columns are ignored. A null or empty text is start and end alone. Null ids stay
-    null, repeated rows are scored each, an empty table gives an empty result. Sums
-    are rounded to 6 digits, as their order is not fixed.
+    token it lacks counts once. ``leave_out``: a row is scored by the counts of all
+    other rows, so rows of equal text count for each other; not with a ``corpus``.
+    ``docs``: doc_id and text, read from files; other columns are ignored. A null or
+    empty text is start and end alone. Null ids stay null, repeated rows are scored
+    each, an empty table gives an empty result. Sums are rounded to 6 digits, as their
+    order is not fixed.
     """
     if not 2 <= order <= 4:
         raise ValueError("order must be 2, 3 or 4")
+    if leave_out and corpus is not None:
+        raise ValueError("texts are left out of their own counts only")
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType.fromDDL("kind int, part int, batch long").add("ids", T.ArrayType(id_type)).add("data", "binary")
     size = sum(d.agg(F.sum(F.octet_length("text"))).first()[0] or 0 for d in (docs, corpus) if d is not None)
     parts = max(1, -(-size // (_TEXT_BYTES_A_GRAM * part_grams)))
-    closed = corpus is None and least <= 1
-    packs = _exploded(docs, tokenizer, order, parts, _BOTH if corpus is None else _SCORE, schema)
+    closed = corpus is None and least <= 1 and not leave_out
+    n_all = None
+    packs = _exploded(docs, tokenizer, order, parts, _BOTH if corpus is None else _SCORE, schema, leave_out)
     if corpus is not None:
         packs = packs.unionByName(_exploded(corpus.withColumn("doc_id", F.lit(None).cast(id_type)), tokenizer, order, parts, _COUNT, schema))
     sums = []
     for level in range(order, 1, -1):
-        out = _scored(packs, level, order, least, parts, closed, schema)
+        out = _scored(packs, level, order, least, parts, closed, leave_out, schema)
         if closed:
             sums.append(out)
             break
@@ -277,23 +329,28 @@ def scores(
         packs = out.where(F.col("kind").isin(_SCORE, _COUNT))
     else:
         after = _by_token(packs.where(F.col("kind") == _COUNT))
-        lost = (order - 1) * np.log10(BACKOFF) + np.log10(np.maximum(after, 1.0) / max(1.0, float(after.sum())))
+        cost = (order - 1) * np.log10(BACKOFF)
+        lost = cost + np.log10(np.maximum(after, 1.0) / max(1.0, float(after.sum())))
+        n_all = float(after.sum()) if leave_out else None
 
         def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in batches:
                 for batch, data in zip(rows.column("batch").to_pylist(), rows.column("data").to_pylist(), strict=True):
-                    token, texts, owner, times = _opened(data)
+                    token, texts, owner, times, *own = _opened(data)
                     tokens = np.bincount(owner, times).astype(np.int64)
                     some = np.flatnonzero(tokens)
-                    total = np.bincount(owner, np.repeat(lost[token.astype(np.int64)], texts) * times)
-                    yield _rows([(_SUMS, 0, batch, None, _zip(some.astype("<u4"), total[some], tokens[some].astype("<u4"), np.zeros(len(some), "<u4")))], pa_ids)
+                    token = np.repeat(token.astype(np.int64), texts)
+                    worth = cost + np.log10(np.maximum(1.0, after[token] - own[0])) if leave_out else lost[token]
+                    total = np.bincount(owner, worth * times)
+                    yield _rows([(_SINGLE, 0, batch, None, _zip(some.astype("<u4"), total[some], tokens[some].astype("<u4"), np.zeros(len(some), "<u4")))], pa_ids)
 
         pa_ids = to_arrow_type(id_type)
         sums.append(packs.where(F.col("kind") == _SCORE).mapInArrow(last, schema))
     whole = sums[0]
     for more in sums[1:]:
         whole = whole.unionByName(more)
-    by_text = _by_text(whole, T.StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_seen", "long").add("sum", "double"))
+    columns = T.StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_seen", "long").add("sum", "double")
+    by_text = _by_text(whole, columns, n_all)
     return by_text.select(
         "doc_id", "n_tokens", "n_seen", F.round("sum", 6).alias("log10_score"), F.round(F.col("sum") / F.col("n_tokens"), 6).alias("mean_log10")
     )

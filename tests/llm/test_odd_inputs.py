@@ -19,6 +19,7 @@ def _labels(spark, rows=()):
 OPERATORS = {
     "toxicity": lambda d: toxicity.score(d, toxicity.learn(d, _labels(d.sparkSession, [(4, 1, 0), (6, 1, 1), (None, 1, 1), (7, 0, None)]))),
     "lm_scores": lambda d: lm_scores.scores(d, PATH),
+    "lm_scores_left_out": lambda d: lm_scores.scores(d, PATH, least=1, order=lm_scores.ORDER, leave_out=True),
     "fingerprints": fingerprints.edited_fingerprints,
     "language": lambda d: language.classify(d, language.learn(d)),
     "packing": lambda d: packing.pack(d, PATH),
@@ -44,7 +45,7 @@ def test_empty_table(odd, name):
 
 
 def test_equal_rows_get_equal_results(odd):
-    for name in ("toxicity", "lm_scores", "language", "quality", "near_dup"):
+    for name in ("toxicity", "lm_scores", "lm_scores_left_out", "language", "quality", "near_dup"):
         rows = [r.asDict() for r in OPERATORS[name](odd).where("doc_id = 6").collect()]
         for r in rows:
             r.pop("row", None)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 from compare import connect, differences
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -256,17 +257,79 @@ def _sequences(docs):
     return {d.doc_id: [49406, *plain.encode(d.text, add_special_tokens=False).ids, 49407] for d in docs.collect()}
 
 
-def test_score_query_keeps_every_count(spark, sf, docs):
+def test_scores_keep_every_count(docs):
     """Counts are of the documents themselves, so none of their n-grams is unseen, however rare."""
     seqs = _sequences(docs)
     want = _backoff_scores(seqs, seqs, order=3)
-    got = QUERIES["op2_stupid_backoff"](spark, sf).collect()
+    got = lm_scores.scores(docs, PATH, least=1, order=3).collect()
     assert len(got) == len(seqs)
     for r in got:
         score, seen = want[r.doc_id]
         assert r.n_seen == seen == r.n_tokens and abs(r.log10_score - score) < 1e-5
 
 
+def _left_out_scores(seqs, order, least=1):
+    """(score, tokens whose longest n-gram is in the table) of every sequence, by counts of all the others."""
+    def grams(s):
+        s = [49406] * (order - 2) + s
+        return Counter(tuple(s[i - k + 1 : i + 1]) for i in range(order - 1, len(s)) for k in range(1, order + 1))
+
+    of = [grams(s) for s in seqs]
+    n = sum(of, Counter())
+    before = Counter()
+    for gram, count in n.items():
+        before[gram[:-1], len(gram)] += count
+    out = []
+    for s, own in zip(seqs, of, strict=True):
+        own_before = Counter()
+        for gram, count in own.items():
+            own_before[gram[:-1], len(gram)] += count
+        left = lambda gram: n[gram] - own[gram]  # noqa: E731, B023
+        of_context = lambda gram: before[gram[:-1], len(gram)] - own_before[gram[:-1], len(gram)]  # noqa: E731, B023
+        s, score, seen = [49406] * (order - 2) + s, 0.0, 0
+        for i in range(order - 1, len(s)):
+            k = order
+            while k > 1 and left(tuple(s[i - k + 1 : i + 1])) < least:
+                k -= 1
+            gram = tuple(s[i - k + 1 : i + 1])
+            score += math.log10(0.4 ** (order - k) * max(1, left(gram)) / max(1, of_context(gram)))
+            seen += k == order
+        out.append((score, seen))
+    return out
+
+
+def test_score_query_leaves_a_text_out_of_its_own_counts(spark, sf, docs):
+    seqs = _sequences(docs)
+    want = dict(zip(seqs, _left_out_scores(list(seqs.values()), 3), strict=True))
+    got = QUERIES["op2_stupid_backoff"](spark, sf).collect()
+    assert len(got) == len(seqs)
+    for r in got:
+        score, seen = want[r.doc_id]
+        assert abs(r.log10_score - score) < 1e-4 and r.n_seen == seen and r.n_tokens == len(seqs[r.doc_id]) - 1
+    assert 0 < sum(r.n_seen for r in got) < sum(r.n_tokens for r in got)
+
+
+@pytest.mark.parametrize(("order", "least", "part_grams"), [(2, 2, 30_000), (3, 2, 30_000), (4, 1, 3_000)])
+def test_left_out_scores_of_any_order(docs, order, least, part_grams):
+    some = docs.where("doc_id % 4 = 0")
+    seqs = _sequences(some)
+    want = dict(zip(seqs, _left_out_scores(list(seqs.values()), order, least), strict=True))
+    got = lm_scores.scores(some, PATH, least=least, part_grams=part_grams, order=order, leave_out=True).collect()
+    assert sorted(r.doc_id for r in got) == sorted(seqs)
+    for r in got:
+        assert abs(r.log10_score - want[r.doc_id][0]) < 1e-4 and r.n_seen == want[r.doc_id][1]
+
+
+def test_random_strings_score_worst(spark, docs):
+    """A text of random strings is among the worst 5 %, in the registered form too."""
+    rng = np.random.default_rng(7)
+    junk = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(300))
+    more = spark.createDataFrame([(-1, junk)], "doc_id long, text string")
+    rows = lm_scores.scores(docs.select("doc_id", "text").unionByName(more), PATH, least=1, order=3, leave_out=True).collect()
+    rank = sorted(rows, key=lambda r: r.mean_log10)
+    assert -1 in [r.doc_id for r in rank[: len(rank) // 20]]
+
+
 def test_longer_ngrams_back_off(spark, docs):
     """Counts of another corpus and a threshold: every step of the backoff is taken."""
     halves = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")

@@ -66,23 +66,37 @@ def _mask(tokens: int) -> np.uint64:
     return np.uint64((1 << 16 * tokens) - 1)
 
 
-def _within(code: np.ndarray, owner: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
-    """How often each row's code occurs in its own text, by rows or their ``times``."""
-    if len(code) and code.max() >> np.uint64(32):
-        code = np.unique(code, return_inverse=True)[1].astype(np.uint64)
-    _, at = np.unique(owner.astype(np.uint64) << np.uint64(32) | code, return_inverse=True)
-    return np.bincount(at, times).astype(np.int64)[at]
+def _groups(key: np.ndarray, shifts: list[int], times: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each shift: how many rows (or ``times``) have the key of each row, its lowest bits shifted out. One sort serves all."""
+    at = np.argsort(key)
+    ordered, out = key[at], []
+    for shift in shifts:
+        part = ordered >> np.uint64(shift)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.empty(0, np.int64)
+        size = np.diff(np.append(first, len(part)))
+        n = np.empty(len(key), np.int64)
+        n[at] = np.repeat(size if times is None or not len(first) else np.add.reduceat(times[at], first), size)
+        out.append(n)
+    return out
 
 
-def own_counts(code: np.ndarray, owner: np.ndarray, order: int) -> list[np.ndarray]:
-    """What the text itself adds to the counts of its shorter n-grams.
+def own_counts(code: np.ndarray, size: np.ndarray, order: int) -> list[np.ndarray]:
+    """What each text itself adds to the counts of its shorter n-grams; ``code`` and ``size`` as ``grams`` gives them.
 
-    For each order from ``order`` - 1 to 2 the n-gram and its context, then the last token.
+    For each order from ``order`` - 1 to 2 the n-gram and its context, then the last
+    token. At most 65,536 texts at once.
     """
-    out = []
-    for k in range(order - 1, 1, -1):
-        out += [_within(code & _mask(k), owner), _within(code >> _TOKEN & _mask(k - 1), owner)]
-    return [*out, _within(code & _mask(1), owner)]
+    token = [code >> np.uint64(16 * k) & _mask(1) for k in range(order - 1)]  # the last one first
+    of_text = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+
+    def counts(tokens: list[np.ndarray]) -> list[np.ndarray]:
+        key = of_text
+        for t in tokens:
+            key = key << _TOKEN | t
+        return _groups(key, [16 * k for k in range(len(tokens))])
+
+    longest, contexts = counts(token), counts(token[1:])
+    return [x for pair in zip(longest, contexts, strict=False) for x in pair] + longest[-1:]
 
 
 def part_of(code: np.ndarray, parts: int) -> np.ndarray:
@@ -110,34 +124,70 @@ def _unzip(data: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def _packs(
-    code: np.ndarray, owner: np.ndarray, times: np.ndarray, parts: int, own: list[np.ndarray] = ()
+    code: np.ndarray, batch: np.ndarray, owner: np.ndarray, times: np.ndarray, parts: int, own: list[np.ndarray] = (), merge: bool = True
 ) -> Iterator[tuple[int, bytes]]:
-    """(part, pack) of each class: its distinct n-grams, who has each how often, and ``own_counts`` if given."""
-    ascending = bool((owner[1:] >= owner[:-1]).all())
-    order = np.argsort(code, kind="stable") if ascending else np.lexsort((owner, code))
-    code, owner, times = code[order], owner[order], times[order]
-    new = np.ones(len(code), bool)
-    new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-    first = np.flatnonzero(new)
-    code, owner, times = code[first], owner[first], np.add.reduceat(times, first) if len(first) else times
-    own = [o[order][first].astype("<u4") for o in own]
+    """(part, pack) of each class: its n-grams, who (batch and owner) has each how often, and ``own_counts`` if given.
+
+    ``batch`` is one for all rows or one each. ``merge``: owners ascend, and equal rows become one.
+    """
+    order = np.argsort(code, kind="stable")
+    code, owner, times, own = code[order], owner[order], times[order], [o[order] for o in own]
+    batch = batch[order] if len(batch) > 1 else batch
+    if merge and len(code):
+        first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])]))
+        code, owner, times, own = code[first], owner[first], np.add.reduceat(times, first), [o[first] for o in own]
     part = part_of(code, parts)
     order = np.argsort(part, kind="stable")
     ends = np.cumsum(np.bincount(part, minlength=parts))
+    narrow = [x.astype("<u4") for x in (owner, times, *own)]
     for p, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
         if a < b:
             its = order[a:b]
             gram, size = np.unique(code[its], return_counts=True)
             step = np.diff(gram, prepend=np.uint64(0))
-            yield p, _zip(step, size.astype("<u4"), owner[its].astype("<u4"), times[its].astype("<u4"), *(o[its] for o in own))
+            yield p, _zip(step, (batch[its] if len(batch) > 1 else batch).astype("<u8"), size.astype("<u4"), *(x[its] for x in narrow))
 
 
 def _opened(pack: bytes) -> list[np.ndarray]:
-    """The pack's n-grams, the number of texts of each, these texts and times, and own counts."""
-    step, *more = _unzip(pack, "<u8", "<u4")
+    """The pack's n-grams, the batch of all rows or of each, the number of rows of each n-gram, owners, times, own counts."""
+    step, *more = _unzip(pack, "<u8", "<u8", "<u4")
     return [np.cumsum(step, dtype=np.uint64), *(x.astype(np.int64) for x in more)]
 
 
+class _Sums:
+    """Sums of texts of many batches, added up as they come."""
+
+    def __init__(self) -> None:
+        self.held, self.size, self.joined = [], 0, 0
+
+    def add(self, batch: np.ndarray, owner: np.ndarray, total: np.ndarray, tokens: np.ndarray) -> None:
+        self.held.append((np.broadcast_to(batch, owner.shape), owner, total, tokens))
+        self.size += len(owner)
+        if self.size > max(_GRAMS_AT_ONCE, 2 * self.joined):
+            self._join()
+
+    def _join(self) -> None:
+        batch, owner, total, tokens = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.lexsort((owner, batch))
+        batch, owner = batch[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], (batch[1:] != batch[:-1]) | (owner[1:] != owner[:-1])]))
+        self.held = [(batch[first], owner[first], np.add.reduceat(total[order], first), np.add.reduceat(tokens[order], first))]
+        self.size = self.joined = len(first)
+
+    def rows(self, kind: int, part: int) -> Iterator[tuple]:
+        """A row per batch."""
+        if self.size:
+            self._join()
+            batch, owner, total, tokens = self.held[0]
+            names, first = np.unique(batch, return_index=True)
+            for name, a, b in zip(names.tolist(), first, [*first[1:], len(batch)], strict=True):
+                yield kind, part, name, None, _sums(owner[a:b], total[a:b], tokens[a:b], False)
+
+
+def _sums(owner: np.ndarray, total: np.ndarray, tokens: np.ndarray, seen: bool) -> bytes:
+    return _zip(owner.astype("<u4"), total, tokens.astype("<u4"), (tokens * seen).astype("<u4"))
+
+
 def _rows(made: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(ids), pa.binary()]
     columns = list(zip(*made, strict=True)) if made else [()] * 5
@@ -152,13 +202,13 @@ def _exploded(docs: DataFrame, tokenizer: str, order: int, parts: int, kind: int
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, number = encoder(tokenizer), TaskContext.get().partitionId() << 32
-        texts, named, held = [], [], 0
+        made_of, named, held = [], [], 0
 
         def packed() -> pa.RecordBatch:
-            code, size = grams(texts, order)
-            owner = np.repeat(np.arange(len(texts)), size)
-            own = own_counts(code, owner, order) if leave_out else []
-            made = [(kind, p, number, None, data) for p, data in _packs(code, owner, np.ones(len(code), np.int64), parts, own)]
+            code, size, *own = (np.concatenate(x) for x in zip(*made_of, strict=True))
+            owner = np.repeat(np.arange(len(size)), size)
+            packs = _packs(code, np.array([number]), owner, np.ones(len(code), np.int64), parts, own)
+            made = [(kind, p, number, None, data) for p, data in packs]
             if kind != _COUNT:
                 made.append((_IDS, number % parts, number, [x for n in named for x in n.to_pylist()], None))
             return _rows(made, named[0].type)
@@ -166,13 +216,14 @@ def _exploded(docs: DataFrame, tokenizer: str, order: int, parts: int, kind: int
         for batch in batches:
             for a in range(0, batch.num_rows, _TEXTS_AT_ONCE):
                 part = batch.slice(a, _TEXTS_AT_ONCE)
-                texts += ids_of.encode(part.column("text").to_pylist())
+                code, size = grams(ids_of.encode(part.column("text").to_pylist()), order)
+                made_of.append((code, size, *(x.astype("<u4") for x in (own_counts(code, size, order) if leave_out else []))))
                 named.append(part.column("doc_id"))
-                held += sum(len(t) // 4 + 1 for t in texts[-part.num_rows :])
+                held += len(code)
                 if held > _GRAMS_AT_ONCE:
                     yield packed()
-                    texts, named, held, number = [], [], 0, number + 1
-        if texts:
+                    made_of, named, held, number = [], [], 0, number + 1
+        if made_of:
             yield packed()
 
     return docs.select("doc_id", "text").mapInArrow(explode, schema)
@@ -187,7 +238,7 @@ def _table(packs: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of the packs and how often each occurs."""
     held, size = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0
     for pack in packs:
-        gram, texts, _, times, *_ = _opened(pack)
+        gram, _, texts, _, times, *_ = _opened(pack)
         held.append((gram, np.add.reduceat(times, np.cumsum(texts) - texts)))
         size += len(gram)
         if size > max(_GRAMS_AT_ONCE, 2 * len(held[0][0])):
@@ -207,27 +258,30 @@ def _scored(
         held = defaultdict(list)
         for rows in batches:
             for row in range(rows.num_rows):
-                kind, part, batch = (rows.column(c)[row].as_py() for c in ("kind", "part", "batch"))
+                kind, part = (rows.column(c)[row].as_py() for c in ("kind", "part"))
                 if kind == _IDS:
                     yield rows.slice(row, 1)
                 else:
-                    held[part].append((kind, batch, rows.column("data")[row].as_py()))
+                    held[part].append((kind, rows.column("data")[row].as_py()))
         for part in sorted(held):
-            own = held.pop(part)
-            gram, n = _table(data for kind, _, data in own if kind != _SCORE)
+            packed = held.pop(part)
+            gram, n = _table(data for kind, data in packed if kind != _SCORE)
             context, first = np.unique(gram >> _TOKEN, return_index=True)
             all_of = np.add.reduceat(n, first) if len(first) else n
             of = np.repeat(all_of, np.diff(np.append(first, len(gram))))
             value = np.log10(n) - np.log10(of) + cost
             known = n >= least
-            for kind, batch, data in own:
+            sums, rests = _Sums(), []
+            for kind, data in packed:
                 if kind == _COUNT:
                     continue
-                its, texts, owner, times, *own = _opened(data)
+                its, batch, texts, owner, times, *own = _opened(data)
                 at = np.minimum(np.searchsorted(gram, its), max(0, len(gram) - 1))
                 if leave_out:
                     if level == order:
-                        own = [times, _within(np.repeat(its >> _TOKEN, texts), owner, times), *own]
+                        context = np.cumsum(np.diff(its >> _TOKEN, prepend=its[:1] >> _TOKEN) > 0).astype(np.uint64)
+                        key = np.repeat(context, texts) << np.uint64(32) | owner.astype(np.uint64)
+                        own = [times, *_groups(key, [0], times), *own]
                     (mine, mine_of), own = own[:2], own[2:]
                     others, others_of = np.repeat(n[at], texts) - mine, np.repeat(of[at], texts) - mine_of
                     hits = others >= max(1, least)
@@ -236,20 +290,24 @@ def _scored(
                     hit = (gram[at] == its) & known[at] if len(gram) else np.zeros(len(its), bool)
                     worth = np.repeat(np.where(hit, value[at], 0.0) if len(gram) else np.zeros(len(its)), texts)
                     hits = np.repeat(hit, texts)
-                count = times * hits
-                total = np.bincount(owner, worth * times)
-                seen = np.bincount(owner, count).astype(np.int64)
-                some = np.flatnonzero(seen)
-                tokens = seen[some]
-                made = [(_SUMS, part, batch, None, _zip(some.astype("<u4"), total[some], tokens.astype("<u4"), (tokens * (level == order)).astype("<u4")))]
+                if len(batch) == 1:
+                    tokens = np.bincount(owner, times * hits).astype(np.int64)
+                    some = np.flatnonzero(tokens)
+                    data = _sums(some, np.bincount(owner, worth * times)[some], tokens[some], level == order)
+                    yield _rows([(_SUMS, part, int(batch[0]), None, data)], pa_ids)
+                elif hits.any():
+                    sums.add(batch[hits], owner[hits], (worth * times)[hits], times[hits])
                 if not closed and not hits.all():
-                    rest = np.repeat(its, texts)[~hits] & mask
-                    to = _packs(rest, owner[~hits], times[~hits], parts, [o[~hits] for o in own])
-                    made += [(_SCORE, p, batch, None, d) for p, d in to]
-                yield _rows(made, pa_ids)
+                    gone = ~hits
+                    names = batch[gone] if len(batch) > 1 else np.repeat(batch, gone.sum())
+                    rests.append([np.repeat(its, texts)[gone] & mask, names, *(x[gone].astype("<u4") for x in (owner, times, *own))])
+            yield _rows(list(sums.rows(_SUMS, part)), pa_ids)
+            if rests:
+                code, names, *more = (np.concatenate(x) for x in zip(*rests, strict=True))
+                yield _rows([(_SCORE, p, -1, None, d) for p, d in _packs(code, names, *more[:2], parts, more[2:], merge=False)], pa_ids)
             if not closed and len(gram):
                 none = np.zeros(len(gram), np.int64)
-                yield _rows([(_COUNT, p, -1, None, d) for p, d in _packs(gram & mask, none, n, parts)], pa_ids)
+                yield _rows([(_COUNT, p, -1, None, d) for p, d in _packs(gram & mask, none[:1], none, n, parts)], pa_ids)
 
     return packs.repartition(parts, "part").mapInArrow(score, schema)
 
@@ -260,7 +318,7 @@ def _by_token(counts: DataFrame) -> np.ndarray:
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for data in rows.column("data").to_pylist():
-                token, _, _, n, *_ = _opened(data)
+                token, _, _, _, n, *_ = _opened(data)
                 yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(n)], names=["token", "n"])
 
     out = np.zeros(1 << 16)
@@ -334,15 +392,14 @@ def scores(
         n_all = float(after.sum()) if leave_out else None
 
         def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = _Sums()
             for rows in batches:
-                for batch, data in zip(rows.column("batch").to_pylist(), rows.column("data").to_pylist(), strict=True):
-                    token, texts, owner, times, *own = _opened(data)
-                    tokens = np.bincount(owner, times).astype(np.int64)
-                    some = np.flatnonzero(tokens)
+                for data in rows.column("data").to_pylist():
+                    token, batch, texts, owner, times, *own = _opened(data)
                     token = np.repeat(token.astype(np.int64), texts)
                     worth = cost + np.log10(np.maximum(1.0, after[token] - own[0])) if leave_out else lost[token]
-                    total = np.bincount(owner, worth * times)
-                    yield _rows([(_SINGLE, 0, batch, None, _zip(some.astype("<u4"), total[some], tokens[some].astype("<u4"), np.zeros(len(some), "<u4")))], pa_ids)
+                    sums.add(batch, owner, worth * times, times)
+            yield _rows(list(sums.rows(_SINGLE, 0)), pa_ids)
 
         pa_ids = to_arrow_type(id_type)
         sums.append(packs.where(F.col("kind") == _SCORE).mapInArrow(last, schema))

@@ -104,21 +104,27 @@ def part_of(code: np.ndarray, parts: int) -> np.ndarray:
     return ((((code >> _TOKEN) + np.uint64(1)) * _SPREAD >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers in as few bytes as they need."""
+    return a.astype(np.min_scalar_type(a.max())) if a.dtype.kind == "u" and len(a) else a
+
+
 def _zip(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed byte planes."""
+    arrays = [_narrow(a) for a in arrays]
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.itemsize))], "<u4")
     raw = head.tobytes() + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unzip(data: bytes, *kinds: str) -> list[np.ndarray]:
-    """The arrays, of the kinds given; those after them are of the last kind."""
+    """The arrays, each of the kind given (u or f); those after them are of the last kind."""
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
     shape = np.frombuffer(raw, "<u4", 2 * n, 4).reshape(n, 2).tolist()
     out, at = [], 4 + 8 * n
     for (rows, size), kind in zip(shape, [*kinds, *kinds[-1:] * (n - len(kinds))], strict=True):
-        out.append(np.frombuffer(raw, np.uint8, rows * size, at).reshape(size, rows).T.copy().view(kind).reshape(-1))
+        out.append(np.frombuffer(raw, np.uint8, rows * size, at).reshape(size, rows).T.copy().view(f"<{kind}{size}").reshape(-1))
         at += rows * size
     return out
 
@@ -130,27 +136,28 @@ def _packs(
 
     ``batch`` is one for all rows or one each. ``merge``: owners ascend, and equal rows become one.
     """
-    order = np.argsort(code, kind="stable")
-    code, owner, times, own = code[order], owner[order], times[order], [o[order] for o in own]
-    batch = batch[order] if len(batch) > 1 else batch
-    if merge and len(code):
-        first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])]))
-        code, owner, times, own = code[first], owner[first], np.add.reduceat(times, first), [o[first] for o in own]
     part = part_of(code, parts)
-    order = np.argsort(part, kind="stable")
+    by_part = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
     ends = np.cumsum(np.bincount(part, minlength=parts))
-    narrow = [x.astype("<u4") for x in (owner, times, *own)]
     for p, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
-        if a < b:
-            its = order[a:b]
-            gram, size = np.unique(code[its], return_counts=True)
-            step = np.diff(gram, prepend=np.uint64(0))
-            yield p, _zip(step, (batch[its] if len(batch) > 1 else batch).astype("<u8"), size.astype("<u4"), *(x[its] for x in narrow))
+        if a == b:
+            continue
+        its = by_part[a:b]
+        its = its[np.argsort(code[its], kind="stable")]
+        gram, who, n = code[its], owner[its], times[its]
+        new = np.concatenate([[True], gram[1:] != gram[:-1]])
+        if merge:
+            first = np.flatnonzero(new | np.concatenate([[True], who[1:] != who[:-1]]))
+            its, gram, who, n, new = its[first], gram[first], who[first], np.add.reduceat(n, first), new[first]
+        starts = np.flatnonzero(new)
+        step, size = np.diff(gram[starts], prepend=np.uint64(0)), np.diff(np.append(starts, len(gram)))
+        names = batch[its] if len(batch) > 1 else batch
+        yield p, _zip(step, *(x.astype("<u8") for x in (names, size, who, n)), *(o[its] for o in own))
 
 
 def _opened(pack: bytes) -> list[np.ndarray]:
     """The pack's n-grams, the batch of all rows or of each, the number of rows of each n-gram, owners, times, own counts."""
-    step, *more = _unzip(pack, "<u8", "<u8", "<u4")
+    step, *more = _unzip(pack, "u")
     return [np.cumsum(step, dtype=np.uint64), *(x.astype(np.int64) for x in more)]
 
 
@@ -185,7 +192,7 @@ class _Sums:
 
 
 def _sums(owner: np.ndarray, total: np.ndarray, tokens: np.ndarray, seen: bool) -> bytes:
-    return _zip(owner.astype("<u4"), total, tokens.astype("<u4"), (tokens * seen).astype("<u4"))
+    return _zip(owner.astype("<u8"), total, *(x.astype("<u8") for x in (tokens, tokens * seen)))
 
 
 def _rows(made: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
@@ -335,7 +342,7 @@ def _by_text(sums: DataFrame, schema: T.StructType, n_all: float | None) -> Data
         total, (tokens, seen, single) = np.zeros(len(named)), np.zeros((3, len(named)), np.int64)
         for kind, data in zip(rows.column("kind").to_pylist(), rows.column("data").to_pylist(), strict=True):
             if data is not None:
-                own, x, t, s = _unzip(data, "<u4", "<f8", "<u4", "<u4")
+                own, x, t, s = _unzip(data, "u", "f", "u")
                 total[own] += x
                 tokens[own] += t
                 seen[own] += s

@@ -273,11 +273,12 @@ def _scored(
         for part in sorted(held):
             packed = held.pop(part)
             gram, n = _table(data for kind, data in packed if kind != _SCORE)
-            context, first = np.unique(gram >> _TOKEN, return_index=True)
+            first = np.flatnonzero(np.diff(gram >> _TOKEN, prepend=~(gram[:1] >> _TOKEN)))
             all_of = np.add.reduceat(n, first) if len(first) else n
             of = np.repeat(all_of, np.diff(np.append(first, len(gram))))
-            value = np.log10(n) - np.log10(of) + cost
-            known = n >= least
+            if not leave_out:
+                value = np.log10(n) - np.log10(of) + cost
+                known = n >= least
             sums, rests = _Sums(), []
             for kind, data in packed:
                 if kind == _COUNT:

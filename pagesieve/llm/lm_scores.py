@@ -343,7 +343,8 @@ def _by_text(sums: DataFrame, schema: T.StructType, n_all: float | None) -> Data
         total, (tokens, seen, single) = np.zeros(len(named)), np.zeros((3, len(named)), np.int64)
         for kind, data in zip(rows.column("kind").to_pylist(), rows.column("data").to_pylist(), strict=True):
             if data is not None:
-                own, x, t, s = _unzip(data, "u", "f", "u")
+                own, x, *whole = _unzip(data, "u", "f", "u")
+                t, s = (w.astype(np.int64) for w in whole)
                 total[own] += x
                 tokens[own] += t
                 seen[own] += s

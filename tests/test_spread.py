@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagesieve.functions import fixed, markup
 from pagesieve.operators import extraction
+from pagesieve.plans.queries import _arrivals
 from pagesieve.sources import derived
 from pagesieve.sources.tables import ROWS_A_TASK, tasks_for
 
@@ -62,3 +63,23 @@ def test_card_texts_of_odd_cards(spark):
     got = df.select(extraction.card_title(F.col("c")).alias("t"), extraction.card_price(F.col("c")).alias("p")).collect()
     assert [r.t for r in got] == ["", "", "", "b & c", "", "", ""]
     assert [r.p for r in got] == [None, "", "", "", "£5", "$ 7.5", ""]
+
+
+def test_a_step_of_arrivals_is_as_many_files_as_its_rows_need(spark, tmp_path):
+    """Each step was one file, so one task made all items of it; steps stay in the order of their time."""
+    part = spark.range(4400).select(
+        F.col("id").alias("p_partkey"), F.lit("a part").alias("p_name"), F.lit("Brand#1").alias("p_brand"),
+        F.lit("TYPE").alias("p_type"), F.lit(9.5).alias("p_retailprice"),
+    )
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    seen = []
+
+    def note(batch, n):
+        seen.append(tuple(batch.selectExpr("count(distinct file)", "min(job_id)", "max(job_id)", "count(*)").first()))
+
+    arrivals = _arrivals(spark, str(tmp_path), derived.XML_CAPTURES).withColumn("file", F.input_file_name())
+    run = arrivals.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert len(seen) == 4 and {files for files, *_ in seen} == {tasks_for(spark, min(n for *_, n in seen))} != {1}
+    assert sum(n for *_, n in seen) == 4400
+    assert all(a[2] < b[1] for a, b in zip(seen, seen[1:], strict=False))

@@ -13,6 +13,8 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 _MARKS = b".,!?;:"
@@ -65,8 +67,9 @@ class TokenIds:
 
     def _recall(self, missing: set[bytes]) -> set[bytes]:
         """Move what the old generation knows to the young one; the rest is returned."""
-        back = missing.intersection(self.old)
-        self.young.update([(r, self.old[r]) for r in back])
+        old = self.old  # far larger than ``missing``: it is asked, never gone through
+        back = [r for r in missing if r in old]
+        self.young.update([(r, old[r]) for r in back])
         return missing.difference(back)
 
     def _learn(self, new: set[bytes]) -> None:
@@ -93,20 +96,26 @@ class TokenIds:
         if new := self._recall(missing):
             self._learn(new)
 
+    def _ids_of(self, run: bytes) -> bytes:
+        known = self.young.get(run)
+        return known if known is not None else self.direct(run.decode("utf-8"))  # a long run
+
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        parts = [t.lower().split() if _SPECIAL not in t else None for t in texts]
-        self._remember({r for r in set().union(*(p for p in parts if p)) if len(r) <= self.long_run})
-        own = self.young
-        out = []
-        for text, p in zip(texts, parts, strict=True):
-            if p is None:
-                out.append(self.direct(text.decode("utf-8")))
-                continue
-            try:
-                out.append(b"".join([own[r] for r in p]))
-            except KeyError:  # it has long runs
-                out.append(b"".join([i if (i := own.get(r)) is not None else self.direct(r.decode("utf-8")) for r in p]))
-        return out
+        special = [_SPECIAL in t for t in texts]
+        plain = pa.array([b"" if s else t.lower() for t, s in zip(texts, special, strict=True)], pa.string())
+        # Arrow parts the runs and sets their ids one behind another; Python sees each distinct run once.
+        parts = pc.ascii_split_whitespace(plain)
+        runs = parts.flatten().dictionary_encode()
+        distinct = runs.dictionary.cast(pa.binary()).to_pylist()
+        self._remember({r for r in distinct if 0 < len(r) <= self.long_run})
+        ids = pa.array([self._ids_of(r) if r else b"" for r in distinct], pa.binary()).take(runs.indices)
+        starts = np.concatenate(([0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        ends = starts[parts.offsets.to_numpy()].tolist()
+        whole = memoryview(ids.buffers()[2] or b"")
+        return [
+            self.direct(t.decode("utf-8")) if s else bytes(whole[x:y])
+            for t, s, x, y in zip(texts, special, ends, ends[1:], strict=False)
+        ]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as bytes; null and empty texts have none."""

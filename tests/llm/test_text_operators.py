@@ -484,3 +484,18 @@ def _repeated(t):
     words = t.split()
     n = Counter(zip(words, words[1:], words[2:], strict=False))
     return len({i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if n[w] > 1 for k in range(3)})
+
+
+def test_remembered_runs_are_asked_not_gone_through():
+    """Every batch went through the whole old generation, and Python looked at each run of each text."""
+    class Old(dict):
+        def __iter__(self):
+            raise AssertionError("gone through")
+
+    texts = [None, "", " ", "\x0b\x0cA\tb\n", "<|endoftext|> x", "x" * 100 + " y", "\x1c\x1d\x85 z", "a\x00b", "a  b a b."]
+    plain, ids = Tokenizer.from_file(PATH), TokenIds(PATH)
+    wanted = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(g, "<u4").tolist() for g in ids.encode(texts)] == wanted
+        ids.young, ids.old = {}, Old(ids.young)
+    assert ids.encode([]) == []

@@ -206,6 +206,29 @@ def test_extents_match_a_plain_walk(spark):
             break  # one page with pagers is enough for the slow part
 
 
+def test_spans_match_extents(spark):
+    """First and last of wanted elements without a step for each tag: whole, unclosed, crossed and deeply nested ones."""
+    rnd = random.Random(8)
+    rows = "".join(f"<li class=item><a href=/{i}><b>{i}</b></a><br><img src=x/></li>" for i in range(400))
+    pages = [
+        *(_random_page(rnd) for _ in range(300)), f"<html><body><ul class=listing>{rows}</ul></body></html>", f"<ul class=listing>{rows}<li class=card>",
+        "<div>" * 12 + "<p class=card><i></i></p>" + "</div>" * 12, "<p class=card>" * 12 + "</p>" * 12, "<div class=card><br></br></div></p>",
+        "<p class=card/><P CLASS=card></p ><p class=card></section></p>", "<div class=card><x></div></x><div1 class=item></div></div1>", "", "no tag",
+    ]
+
+    def is_card(t):
+        return F.coalesce(markup.attribute(t, "class").rlike(fixed.CARD_CLASS), F.lit(False))
+
+    def places(extent):
+        return F.transform(extent, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
+
+    both = lambda t: F.struct(markup.spans(t, is_card).alias("spans"), places(markup.extents(t, is_card)).alias("extents"))
+    got = column(spark, pages, lambda d: let(markup.tags(d), both))
+    assert [r.spans for r in got] == [r.extents for r in got]
+    assert len(got[300].spans) == 401 and sum(len(r.spans) for r in got[:300]) > 300
+    assert column(spark, [None], lambda d: markup.spans(markup.tags(d), is_card)) == [None]
+
+
 # --- XML ----------------------------------------------------------------------------
 XML = [
     "<a><b>1</b></a>", "<a></b>", "<a>1</a>junk", "<a/><b/>", "", " <a/> ", "\n<?xml version='1.0'?><a/>",

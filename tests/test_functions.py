@@ -42,6 +42,20 @@ def test_resolve_matches_urljoin(spark):
     assert wrong == []
 
 
+def test_paths_from_the_root_need_only_the_site(spark):
+    """The short way for most references gives what the long way gives."""
+    refs = [
+        "/p/1", "/list?page=2", "/a//b", "/a//", "/", "/.", "/.x", "/a/.b", "/a/..", "/a?", "/a?b?c", "/a?b/../c", "/a?b#c", "/a#", "///", "//h",
+        "//h/x", "/a:b", "/a?x=http://h", "/é/ü?ö", "/a.b/c..d", "/a?..", "/" + "a/" * 5_000 + "b",
+    ]
+    pairs = [(b, r) for b in BASES for r in refs]
+    df = spark.createDataFrame(pairs, "b string, r string").select("b", "r", urls.base_parts(F.col("b")).alias("p"))
+    rows = df.select("b", "r", urls.resolve(F.col("p"), F.col("r")).alias("u"), F.col("r").rlike(urls._ROOTED).alias("short")).collect()
+    assert [(x.b, x.r, x.u) for x in rows if x.u != urllib.parse.urljoin(x.b, x.r) and x.r not in ("///", "//h")] == []
+    short = {x.r for x in rows if x.short}
+    assert {"/p/1", "/list?page=2", "/a//b", "/", refs[-1]} <= short and not short & {"/.", "/.x", "/a/..", "/a?", "//h", "///", "/a#"}
+
+
 def test_quote_and_unquote(spark):
     values = ["/a b*~?=é+", "/list%3Fpage", "100%", "%zz%41", "a+b", "/p/%E2%82%AC"]
     assert column(spark, values, urls.quote) == [urllib.parse.quote(v) for v in values]

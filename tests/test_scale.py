@@ -6,7 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from pagesieve.functions import fixed
+from pagesieve.functions import fixed, markup
 from pagesieve.operators import cleaning, crawl, policy
 from pagesieve.plans import run as plan_of_run
 from pagesieve.plans.queries import QUERIES
@@ -97,3 +97,21 @@ def test_the_run_scans_each_input_once(spark):
     captures = source.with_request(derived.derive(spark, derived.CAPTURES, "/root/testdata/sf0.001"))
     plan = plan_of_run.assess(captures, for_walks=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 4 and "Exchange" not in plan
+
+
+def test_page_columns_leave_with_their_last_reader(spark):
+    """A page's tags, texts and source were copied at every later border, and buffered for the JSON helper."""
+    names = {"body", "html", *markup.PAGE_COLUMNS}
+
+    def carried(plan):
+        """Names at the JSON helper and at each border above it."""
+        below = [carried(plan.children().apply(i)) for i in range(plan.children().size())]
+        found = [x for one in below for x in one]
+        if "ArrowEvalPython" in plan.nodeName() or found:
+            found.append({plan.output().apply(i).name() for i in range(plan.output().size())})
+        return found
+
+    row = (1, None, 1, "http://h/a", "title", None, 200, "text/html", None, "<a href='/b'>b</a>")
+    captures = source.with_request(spark.createDataFrame([row], source.CAPTURE_SCHEMA))
+    seen = carried(plan_of_run.assess(captures, for_walks=True)._jdf.queryExecution().optimizedPlan())
+    assert seen and not any(names & columns for columns in seen)

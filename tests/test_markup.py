@@ -229,6 +229,40 @@ def test_spans_match_extents(spark):
     assert column(spark, [None], lambda d: markup.spans(markup.tags(d), is_card)) == [None]
 
 
+def test_short_ways_give_what_the_long_ways_give(spark):
+    """Texts with the marks that spans and pieces use themselves, names in capitals, quotes of both kinds."""
+    odd = "<P CLASS=card\x01x>a\x01b<b\x02>c</b><br class=item\x01/>\x02</p\x01><LI Class='item'/></br></!x><!x class=card>"
+
+    def is_card(t):
+        return F.coalesce(markup.attribute(t, "class").rlike(fixed.CARD_CLASS), F.lit(False))
+
+    def places(extent):
+        return F.transform(extent, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
+
+    both = lambda t: F.struct(markup.spans(t, is_card).alias("spans"), places(markup.extents(t, is_card)).alias("extents"))
+    [got] = column(spark, [odd], lambda d: let(markup.tags(d), both))
+    assert got.spans == got.extents and len(got.spans) == 3
+
+    texts = [odd, odd.replace("\x01", ""), "<a>", "no tag", "", None]
+    assert column(spark, texts, markup.pieces) == column(spark, texts, lambda d: F.split(d, fixed.TAG))
+    assert column(spark, texts[0:1], markup.pieces)[0][1] == "a\x01b"
+
+    quoted = {'"x"': "x", "'x'": "x", "\"'x'\"": "'x'", "x": "x", '""': "", "": ""}
+    assert column(spark, list(quoted), markup.unquoted) == list(quoted.values())
+    tags = ["<a CLASS=x>", "<a id=1>", "<a title='class=y'>", "<a class=''>", None]
+    assert column(spark, tags, lambda t: markup.attribute(t, "class")) == ["x", None, None, "", None]
+
+
+def test_a_paging_link_has_a_label(spark):
+    links = [
+        "<a href=/x rel='No Next'>1</a>", "<a href=/x> NEXT </a>", "<a href='/x?page=2'>1</a>", "<a href=/x class=pager>1</a>",
+        "<a href=/x id=Next-Page>1</a>", "<a href=/x rel=nextish class=x id=y>1</a>", "<a href=''></a>", "<a href=/x><b>ne</b><b>xt</b></a>",
+    ]
+    both = lambda a: F.struct(markup.is_paging_link(a).alias("is"), (F.size(markup.paging_labels(a, squeezed=True)) > 0).alias("has"))
+    got = [found for [found] in column(spark, links, lambda d: F.transform(markup.anchors(d), both))]
+    assert [r["is"] for r in got] == [r["has"] for r in got] == [True] * 5 + [False] * 3
+
+
 # --- XML ----------------------------------------------------------------------------
 XML = [
     "<a><b>1</b></a>", "<a></b>", "<a>1</a>junk", "<a/><b/>", "", " <a/> ", "\n<?xml version='1.0'?><a/>",
